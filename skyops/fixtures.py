@@ -6,9 +6,15 @@ timestamp literal). ``spark_table`` runs it here, ``ansi_sql`` gives it to the c
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyops.functions.times import window_label
+from skyops.operators import flights
+from skyops.specs import ENTITIES
+
 FLIGHTS_WIDE = """
 SELECT concat('A', CAST(l_suppkey % 12 AS STRING)) AS operating_airline_id,
  concat('N', lpad(CAST(c_nationkey AS STRING), 2, '0')) AS departure_airport_code,
@@ -48,12 +54,13 @@ FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) AS v, CAST((o_orderkey - o_
 
 _SNAPSHOT_RUNS = """(SELECT 1 AS n, '2024-01-01T10-05-00Z' AS run_id UNION ALL SELECT 2, '2024-02-01T10-05-00Z') r"""
 
-# Two full runs of a dimension; run 2 adds, drops and changes keys; has blanks and duplicates.
+# Two full runs of each dimension; run 2 adds, drops and changes keys; with blanks, and duplicates in the first. A page
+# holds at most 100 records, however large the table.
 DIM_SNAPSHOTS = f"""
 SELECT r.run_id, CASE WHEN c_custkey % 97 = 0 THEN '' ELSE concat(' c', CAST(c_custkey AS STRING), ' ') END AS airline_id_raw,
  concat('ic', CAST(c_custkey AS STRING)) AS airline_id_icao_raw,
  CASE WHEN c_custkey % 89 = 0 THEN NULL WHEN r.n = 2 AND c_custkey % 7 = 0 THEN concat(c_name, ' renamed') ELSE c_name END AS airline_name_raw,
- concat('page=', CAST(c_custkey % 50 + d.copy * 1000 AS STRING), '.json') AS source_file_path, d.copy AS copy
+ concat('copy=', CAST(d.copy AS STRING), '/page=', CAST(CAST((c_custkey - c_custkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
 FROM {{customer}} CROSS JOIN {_SNAPSHOT_RUNS}
  CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d
 WHERE (r.n = 1 AND c_custkey % 10 <> 0 OR r.n = 2 AND c_custkey % 10 <> 1) AND (d.copy = 0 OR c_custkey % 11 = 0)
@@ -62,7 +69,7 @@ WHERE (r.n = 1 AND c_custkey % 10 <> 0 OR r.n = 2 AND c_custkey % 10 <> 1) AND (
 AIRCRAFT_SNAPSHOTS = f"""
 SELECT r.run_id, CASE WHEN p_partkey % 97 = 0 THEN '  ' ELSE concat('p', CAST(p_partkey AS STRING)) END AS aircraft_code_raw,
  CASE WHEN p_partkey % 83 = 0 THEN NULL ELSE concat(' ', p_name) END AS aircraft_name_raw, lower(p_brand) AS airline_equip_code_raw,
- concat('page=', CAST(p_partkey % 50 AS STRING), '.json') AS source_file_path
+ concat('page=', CAST(CAST((p_partkey - p_partkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
 FROM {{part}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE p_partkey % 10 <> r.n
 """
 
@@ -71,14 +78,14 @@ SELECT r.run_id, CASE WHEN s_suppkey % 31 = 0 THEN NULL ELSE concat('s', CAST(s_
  CASE WHEN s_suppkey % 37 = 0 THEN '' ELSE concat('n', CAST(s_nationkey AS STRING)) END AS country_code_raw,
  CASE WHEN s_suppkey % 41 = 0 THEN ' ' ELSE concat(s_name, ' ') END AS city_name_raw,
  '+01:00' AS utc_offset_raw, concat('Zone/', CAST(s_nationkey AS STRING)) AS time_zone_id_raw,
- concat('page=', CAST(s_suppkey % 50 AS STRING), '.json') AS source_file_path
+ concat('page=', CAST(CAST((s_suppkey - s_suppkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
 FROM {{supplier}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE s_suppkey % 10 <> r.n
 """
 
 COUNTRY_SNAPSHOTS = f"""
 SELECT r.run_id, concat(' n', CAST(n_nationkey AS STRING)) AS country_code_raw,
  CASE WHEN n_nationkey % 9 = 4 THEN '' ELSE concat(n_name, CASE WHEN r.n = 2 AND n_nationkey % 4 = 0 THEN ' renamed' ELSE '' END) END AS country_name_raw,
- concat('page=', CAST(n_nationkey % 3 AS STRING), '.json') AS source_file_path
+ concat('page=', CAST(CASE WHEN n_nationkey = 5 THEN 1 ELSE 0 END AS STRING), '.json') AS source_file_path
 FROM {{nation}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE n_nationkey % 10 <> r.n
 """
 
@@ -89,7 +96,7 @@ SELECT r.run_id, concat('n', lpad(CAST(n_nationkey AS STRING), 2, '0'), ' ') AS
  CASE WHEN n_nationkey % 13 = 9 THEN NULL ELSE concat('r', CAST(n_regionkey AS STRING)) END AS country_code_raw,
  CAST(n_nationkey * 5 - 60 AS DOUBLE) AS latitude_raw, CAST(n_nationkey * 7 - 80 AS DOUBLE) AS longitude_raw,
  'Airport' AS location_type_raw, '+01:00' AS utc_offset_raw, concat('Zone/', CAST(n_regionkey AS STRING)) AS time_zone_id_raw,
- concat('page=', CAST(n_nationkey % 3 AS STRING), '.json') AS source_file_path
+ concat('page=', CAST(CASE WHEN n_nationkey = 5 THEN 1 ELSE 0 END AS STRING), '.json') AS source_file_path
 FROM {{nation}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE n_nationkey % 10 <> r.n
 """
 
@@ -144,3 +151,119 @@ def flights_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumns({
         f"actual_{end}_utc_ts": F.when(F.col(f"has_actual_{end}"), stamp) for end in ("departure", "arrival")
     })
+
+
+# --- JSON pages
+
+
+def _nested(leaves: Mapping[str, Column]) -> Column:
+    """A struct column from dotted paths."""
+    tree: dict = {}
+    for path, leaf in leaves.items():
+        *parents, last = path.split(".")
+        node = tree
+        for parent in parents:
+            node = node.setdefault(parent, {})
+        node[last] = leaf
+
+    def build(node: dict) -> Column:
+        return F.struct(*[(build(v) if isinstance(v, dict) else v).alias(k) for k, v in node.items()])
+
+    return build(tree)
+
+
+def _pages(rows: DataFrame, page_keys: list[str], record: Column, order: str, record_path: str, total: Column) -> DataFrame:
+    """Rows of one page (a bounded number) as its JSON ``body``; a page of one row holds an object, not a list."""
+    grouped = rows.select(*page_keys, F.struct(F.col(order).alias("o"), record.alias("r")).alias("row")).groupBy(*page_keys)
+    page = grouped.agg(F.transform(F.sort_array(F.collect_list("row")), lambda row: row["r"]).alias("records"))
+    meta = f"{record_path.split('.')[0]}.Meta.TotalCount"
+    listed = F.to_json(_nested({record_path: F.col("records"), meta: total}))
+    single = F.to_json(_nested({record_path: F.col("records")[0], meta: total}))
+    return page.withColumn("body", F.when(F.size("records") == 1, single).otherwise(listed)).drop("records")
+
+
+def flight_record() -> Column:
+    """A landed flight record from a row of ``flight_updates``; local times equal the UTC ones, an arrival is due two
+    hours after departure, and an actual time is the scheduled one plus the delay."""
+    departure = F.col("scheduled_departure_utc_ts")
+    arrival = F.timestamp_add("MINUTE", F.lit(120), departure)
+
+    def text(stamp: Column, zone: str) -> Column:
+        return F.concat(window_label(stamp), F.lit(zone))
+
+    leaves = {
+        "OperatingCarrier.AirlineID": F.col("operating_airline_id"),
+        "OperatingCarrier.FlightNumber": F.col("operating_flight_number"),
+        "FlightStatus.Code": F.col("flight_status_code"),
+        "Departure.AirportCode": F.col("departure_airport_code"),
+        "Arrival.AirportCode": F.col("arrival_airport_code"),
+    }
+    for end, due in (("Departure", departure), ("Arrival", arrival)):
+        delay = F.col(f"{end.lower()}_delay_minutes")
+        happened = F.timestamp_add("MINUTE", delay, due)
+        leaves[f"{end}.ScheduledTimeLocal.DateTime"] = text(due, "")
+        leaves[f"{end}.ScheduledTimeUTC.DateTime"] = text(due, "Z")
+        leaves[f"{end}.ActualTimeUTC.DateTime"] = text(happened, "Z")
+    return _nested(leaves)
+
+
+def flight_pages(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:
+    """``flight_updates`` as landed pages: a run per version, a request per run and departure airport."""
+    updates = spark_table(spark, sf_dir, "flight_updates")
+    group = F.floor(F.col("update_id") / 3)
+    requests = updates.withColumns({
+        "airport": F.col("departure_airport_code"),
+        # Within a request the flights are numbered without gaps, so a page holds page_size of them.
+        "page": F.floor(group / (25 * page_size)).cast("string"),
+    })
+    totals = requests.groupBy("version", "airport").agg(F.count(F.lit(1)).alias("total"))
+    keys = ["version", "airport", "page", "total"]
+    pages = _pages(
+        requests.join(totals, ["version", "airport"]), keys, flight_record(), "update_id", flights.RECORD_PATH, F.col("total")
+    )
+    hour = F.lpad((F.col("version") * 4).cast("string"), 2, "0")
+    return pages.select(
+        "version",
+        F.lit("departures").alias("direction"),
+        "airport",
+        F.lit("2024-01-12").alias("date"),
+        F.concat(F.lit("2024-01-12T"), hour, F.lit(":00")).alias("window_start"),
+        F.concat(F.lit("2024-01-12T"), hour, F.lit(":00:00Z")).alias("run_id"),
+        "page",
+        "body",
+    )
+
+
+def flight_bronze(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataFrame:
+    """The same pages as bronze rows, without files."""
+    pages = flight_pages(spark, sf_dir, page_size)
+    folder = F.concat_ws("/", "run_id", "airport", F.concat(F.lit("page="), "page", F.lit(".json")))
+    return pages.select(
+        F.col("body").alias("raw_json"),
+        "direction", "airport", "date", "window_start", "run_id",
+        folder.alias("_source_file_path"),
+        F.timestamp_add("HOUR", F.col("version") * 4, F.lit("2024-01-12 00:00:00Z").cast("timestamp")).alias(
+            "_source_file_modification_time"
+        ),
+    )
+
+
+def reference_pages(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """The snapshots of an entity as landed pages, with one record total per run."""
+    spec = ENTITIES[entity]
+    rows = spark_table(spark, sf_dir, f"{entity}_snapshots")
+    record = _nested({path: F.col(f"{c}_raw") for c, (path, _) in spec.columns.items()})
+    totals = rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
+    pages = _pages(
+        rows.join(totals, "run_id"), ["run_id", "source_file_path", "total"], record, f"{spec.keys[0]}_raw",
+        spec.record_path, F.col("total"),
+    )
+    return pages.select(F.substring("run_id", 1, 10).alias("date"), "run_id", "source_file_path", "body")
+
+
+def reference_bronze(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    pages = reference_pages(spark, sf_dir, entity)
+    return pages.select(
+        F.col("body").alias("raw_json"), "date", "run_id", F.col("source_file_path").alias("_source_file_path"),
+        F.to_timestamp("date").alias("_source_file_modification_time"),
+    )
