@@ -50,7 +50,7 @@ SELECT flight_instance_hash_key, CAST(flight_date AS VARCHAR) AS flight_date, fl
 def stream_scd2(spark, sf_dir):
     """Landing to history in three incremental runs. File times stand for the sequence, so versions are numbered."""
     layout = _run_flights(spark, sf_dir)
-    history = tables.read_table(spark, layout.silver("flight_status_history"), silver.history_schema(spark))
+    history = tables.read_table(spark, layout.silver("flight_status_history"), flights.HISTORY_SCHEMA)
     number = F.row_number().over(Window.partitionBy(flights.KEY).orderBy(cdc.START))
     return history.select(
         flights.KEY, "flight_date", "flight_status_code", "departure_delay_minutes", number.alias("version_no"),

@@ -218,8 +218,9 @@ def flight_pages(spark: SparkSession, sf_dir: str, page_size: int = 50) -> DataF
     })
     totals = requests.groupBy("version", "airport").agg(F.count(F.lit(1)).alias("total"))
     keys = ["version", "airport", "page", "total"]
+    # Three versions of 25 airports: at most 75 totals at any scale.
     pages = _pages(
-        requests.join(totals, ["version", "airport"]), keys, flight_record(), "update_id", flights.RECORD_PATH, F.col("total")
+        requests.join(F.broadcast(totals), ["version", "airport"]), keys, flight_record(), "update_id", flights.RECORD_PATH, F.col("total")
     )
     hour = F.lpad((F.col("version") * 4).cast("string"), 2, "0")
     return pages.select(
@@ -253,9 +254,10 @@ def reference_pages(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     spec = ENTITIES[entity]
     rows = spark_table(spark, sf_dir, f"{entity}_snapshots")
     record = _nested({path: F.col(f"{c}_raw") for c, (path, _) in spec.columns.items()})
+    # Two runs, so two totals at any scale.
     totals = rows.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
     pages = _pages(
-        rows.join(totals, "run_id"), ["run_id", "source_file_path", "total"], record, f"{spec.keys[0]}_raw",
+        rows.join(F.broadcast(totals), "run_id"), ["run_id", "source_file_path", "total"], record, f"{spec.keys[0]}_raw",
         spec.record_path, F.col("total"),
     )
     return pages.select(F.substring("run_id", 1, 10).alias("date"), "run_id", "source_file_path", "body")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyops.functions import envelope, text, times
+from skyops.operators.cdc import END, START
 from skyops.operators.quality import Rule, expect_or_drop, present, quarantine
 
 # Where the records sit in a page, and the flat name of every record field read.
@@ -75,6 +76,19 @@ STAGED = [
 ]
 FEED = STAGED + LINEAGE
 
+_KINDS = {
+    "flight_date": T.DateType(),
+    "departure_delay_minutes": T.IntegerType(),
+    "arrival_delay_minutes": T.IntegerType(),
+    "has_missing_status": T.BooleanType(),
+    **dict.fromkeys(STATUS_FLAGS, T.BooleanType()),
+    **dict.fromkeys(TIMES.values(), T.TimestampNTZType()),
+    SEQUENCE: T.TimestampType(),
+    "_source_file_modification_time": T.TimestampType(),
+}
+FEED_SCHEMA = T.StructType([T.StructField(c, _KINDS.get(c, T.StringType())) for c in FEED])
+HISTORY_SCHEMA = T.StructType([*FEED_SCHEMA.fields, *[T.StructField(c, _KINDS[SEQUENCE]) for c in (START, END)]])
+
 # A flight needs all of these; the order is that of the reasons in a quarantined row.
 RULES: list[Rule] = [
     present("operating_airline_id"),

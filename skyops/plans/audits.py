@@ -49,10 +49,13 @@ def landing_completeness(
     ).withColumn("is_complete", F.coalesce(F.col("pages_landed") >= F.col("pages_expected"), F.lit(False)))
 
 
-def complete_runs(pages: DataFrame, resource: str, page_size: int = REFERENCE_PAGE_SIZE) -> DataFrame:
-    """Pages of complete runs only: an optional guard against a partial run that would delete dimension rows."""
-    state = landing_completeness(pages, resource, REFERENCE_REQUEST, page_size).where("is_complete").select("run_id")
-    return pages.join(state, "run_id", "left_semi")
+def latest_complete_run(pages: DataFrame, resource: str, page_size: int = REFERENCE_PAGE_SIZE) -> DataFrame:
+    """Pages of the greatest complete run: an optional guard against a partial run that would delete dimension rows.
+
+    Like ``latest_run`` a filter by a scalar subquery, so the pages themselves are not shuffled.
+    """
+    complete = landing_completeness(pages, resource, REFERENCE_REQUEST, page_size).where("is_complete")
+    return pages.where(F.col("run_id") == complete.select(F.max("run_id")).scalar())
 
 
 def request_grid(runs: DataFrame) -> DataFrame:
@@ -73,4 +76,4 @@ def request_grid(runs: DataFrame) -> DataFrame:
 def coverage_audit(runs: DataFrame, landed: DataFrame) -> DataFrame:
     """Grid cells without a landed page; ``landed`` has ``airport, direction, window_start``."""
     cell = ["airport", "direction", "window_start"]
-    return request_grid(runs).join(landed.select(*cell), cell, "left_anti")
+    return request_grid(runs).join(landed.select(*cell).distinct(), cell, "left_anti")

@@ -15,13 +15,12 @@ from skyops.streaming import bronze, silver
 def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard: bool = False) -> dict[str, DataFrame]:
     """Latest bronze run of one entity to its quarantine, valid snapshot and current table.
 
-    With ``guard`` only complete runs count, so a partial run cannot delete dimension rows.
+    With ``guard`` the latest complete run is taken instead, so a partial run cannot delete dimension rows.
     """
     schema = landing.bronze_schema(landing.REFERENCE_PARTITIONS)
     pages = tables.read_table(spark, layout.bronze(spec.name), schema)
-    if guard:
-        pages = audits.complete_runs(pages, spec.resource)
-    staged = reference.stage_reference(reference.latest_run(pages), spec)
+    run = audits.latest_complete_run(pages, spec.resource) if guard else reference.latest_run(pages)
+    staged = reference.stage_reference(run, spec)
     quarantined = tables.replace_table(
         reference.quarantined_reference(staged, spec), layout.silver(f"{spec.name}_quarantine")
     )

@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Landed pages are small: at the default of 4 MiB per opened file a task would read 32 of them and write a tiny table
+    # file; at this value some hundreds.
+    "spark.sql.files.openCostInBytes": str(256 * 1024),
 }
 
 

@@ -6,7 +6,7 @@ that readers pick up only once it is complete; *partitioned* ones are recomputed
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -65,9 +65,11 @@ def is_ready(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path)[1])
 
 
-def stream_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def stream_table(
+    spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str | int] | None = None
+) -> DataFrame:
     """Stream read of an appended table: each row once."""
-    return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).options(**(options or {})).parquet(path)
 
 
 def append_stream(

@@ -29,10 +29,6 @@ _MAX_LISTED = 1000
 BRONZE = landing.bronze_schema(landing.FLIGHT_PARTITIONS)
 
 
-def feed_schema(spark: SparkSession) -> T.StructType:
-    return flights.cdc_feed(flights.stage_flights(spark.createDataFrame([], BRONZE))).schema
-
-
 def _touched(rows: DataFrame, column: str) -> list | None:
     """Distinct values of ``column``, or None when they are too many to list."""
     found = [r[0] for r in rows.select(column).distinct().take(_MAX_LISTED + 1)]
@@ -105,14 +101,9 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
     return process
 
 
-def history_schema(spark: SparkSession) -> T.StructType:
-    sequence = feed_schema(spark)[flights.SEQUENCE].dataType
-    return T.StructType([*feed_schema(spark).fields, T.StructField(cdc.START, sequence), T.StructField(cdc.END, sequence)])
-
-
 def refresh_current(spark: SparkSession, layout: Layout, dates: list | None) -> None:
     """Current flights and their mart sums for some dates."""
-    schema = history_schema(spark)
+    schema = flights.HISTORY_SCHEMA
     history = read_partitions(spark, layout.silver("flight_status_history"), schema, DATE, dates)
     tables.replace_partitions(cdc.current_of(history), layout.silver("flight_status_current"), [DATE])
     current = read_partitions(spark, layout.silver("flight_status_current"), schema, DATE, dates)
@@ -121,10 +112,9 @@ def refresh_current(spark: SparkSession, layout: Layout, dates: list | None) ->
 
 def update_flights(spark: SparkSession, layout: Layout, options: dict | None = None):
     """Process the bronze pages that are new since the last call."""
-    reader = spark.readStream.schema(BRONZE).options(**(options or {}))
+    pages = tables.stream_table(spark, layout.bronze("flight_status"), BRONZE, options)
     query = (
-        reader.parquet(layout.bronze("flight_status"))
-        .writeStream.foreachBatch(process_pages(layout))
+        pages.writeStream.foreachBatch(process_pages(layout))
         .option("checkpointLocation", layout.checkpoint("silver_flight_status"))
         .trigger(availableNow=True)
         .start()
