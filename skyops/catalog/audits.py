@@ -91,15 +91,17 @@ def coverage_audit(spark, sf_dir):
     return audits.coverage_audit(runs, landed)
 
 
+# Flights per landed file here: more than the 50 of a real page, to land fewer files.
+LANDED_PAGE_SIZE = 200
 _LANDED = f"""
 SELECT 'departures' AS direction, airport, '2024-01-12' AS date, {_RUN} || '-00' AS window_start, {_RUN} || '-00-00Z' AS run_id,
- count(*) AS pages, CAST(sum(rows) AS BIGINT) AS flights FROM ({_PAGES.replace("1250", "50000")}) p GROUP BY version, airport
+ count(*) AS pages, CAST(sum(rows) AS BIGINT) AS flights FROM ({_PAGES.replace("1250", str(25 * LANDED_PAGE_SIZE))}) p GROUP BY version, airport
 """
 
 
 def land_flights(spark, sf_dir, root: str, versions=(0, 1, 2)) -> None:
     """Land the fixture pages of some versions, one run after the other; the file times then follow the versions."""
-    pages = fixtures.flight_pages(spark, sf_dir, page_size=2000)
+    pages = fixtures.flight_pages(spark, sf_dir, page_size=LANDED_PAGE_SIZE)
     for version in versions:
         landing.write_landing(pages.where(F.col("version") == version), root, landing.FLIGHT_FOLDER)
 

@@ -22,7 +22,8 @@ def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard:
     run = audits.latest_complete_run(pages, spec.resource) if guard else reference.latest_run(pages)
     staged = reference.stage_reference(run, spec)
     quarantined = tables.replace_table(
-        reference.quarantined_reference(staged, spec), layout.silver(f"{spec.name}_quarantine")
+        reference.quarantined_reference(staged, spec), layout.silver(f"{spec.name}_quarantine"),
+        options=tables.PAGE_TEXT_OPTIONS,
     )
     snapshot = tables.replace_table(
         reference.valid_snapshot(staged, spec), layout.silver(f"{spec.name}_snapshot_valid")

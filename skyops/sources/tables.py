@@ -34,7 +34,9 @@ def _versions(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     return names, [n for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def replace_table(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), options: Mapping[str, str | int] | None = None
+) -> DataFrame:
     """Recompute a table: write the next version, then drop versions that no reader can still want.
 
     The job's success marker is the switch, so a failed write changes nothing, and ``df`` may read the version it is
@@ -44,7 +46,7 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     known, complete = _versions(spark, path)
     latest = int(known[-1][1:]) if known else 0
     target = f"{path}/v{latest + 1:012d}"
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
@@ -84,6 +86,15 @@ def append_stream(
     return query
 
 
+# A quarantined row carries its whole page. Pages repeat row after row, so a large dictionary stores each once; the writer
+# is told to check its buffers often, as its default of every 100 rows would hold 100 pages per column.
+PAGE_TEXT_OPTIONS = {
+    "parquet.dictionary.page.size": 16 * 1024 * 1024,
+    "parquet.page.size.row.check.min": 4,
+    "parquet.block.size.row.check.min": 4,
+}
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions that occur in ``df``."""
     (

@@ -88,7 +88,8 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
                 (flights.quarantined_flights(slim), "flight_status_quarantine"),
                 (quality.rule_metrics(slim, flights.RULES), "flight_status_rule_metrics"),
             ):
-                rows.write.mode("overwrite").parquet(_batch_folder(spark, layout.silver(name), batch_id))
+                folder = _batch_folder(spark, layout.silver(name), batch_id)
+                rows.write.mode("overwrite").options(**tables.PAGE_TEXT_OPTIONS).parquet(folder)
             touched = scd2_apply(
                 flights.cdc_feed(slim), batch_id, layout.silver("flight_status_cdc_source"),
                 layout.silver("flight_status_history"), [flights.KEY], flights.SEQUENCE, flights.TIE,
