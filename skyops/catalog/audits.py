@@ -39,7 +39,7 @@ FROM events
 def log_append(spark, sf_dir):
     """Two appends into one log table, then a read of all of it."""
     path = f"{workspace(spark, 'log')}/flight_status"
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = fixtures.source(spark, sf_dir, "events")
     records = events.select(
         times.window_label(F.col("ts")).alias("timestamp_utc"),
         F.col("event_type").alias("status"),

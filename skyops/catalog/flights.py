@@ -117,7 +117,7 @@ SELECT event_id, CAST(event_id % 6 AS INT) AS shape, date_trunc('minute', ts) AS
 
 
 def _raw_times(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = fixtures.source(spark, sf_dir, "events")
     label, shape = times.window_label(F.col("ts")), F.col("event_id") % 6
     raw = (
         F.when(shape == 0, label)
@@ -148,7 +148,7 @@ SELECT event_id, CAST(trunc(date_diff('microsecond', TIMESTAMP '2024-01-15 12:00
 """)
 def delay_minutes(spark, sf_dir):
     due = F.expr("TIMESTAMP_NTZ '2024-01-15 12:00:30'")
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = fixtures.source(spark, sf_dir, "events")
     return events.select("event_id", times.delay_minutes(due, F.col("ts")).alias("minutes"))
 
 
@@ -159,7 +159,7 @@ FROM (SELECT time_bucket(INTERVAL 4 HOUR, ts, TIMESTAMP '2024-01-01 00:00:00') A
 """)
 def window_floor(spark, sf_dir):
     ts = F.col("ts")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(
+    return fixtures.source(spark, sf_dir, "events").groupBy(
         *[
             times.window_label(times.window_floor(ts, hours)).alias(name)
             for name, hours in (("window_start", 0), ("half_day_before", 12), ("next_window", -4))
@@ -172,7 +172,7 @@ SELECT DISTINCT replace(o_orderpriority || ':' || o_orderstatus, ':', '-') AS sa
  replace(strftime(o_orderdate, '%Y-%m-%dT%H:%M'), ':', '-') AS window_folder FROM orders
 """)
 def path_safe_ids(spark, sf_dir):
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    orders = fixtures.source(spark, sf_dir, "orders")
     return orders.select(
         text.path_safe(F.concat_ws(":", "o_orderpriority", "o_orderstatus")).alias("safe"),
         text.path_safe(times.window_label(F.col("o_orderdate"))).alias("window_folder"),

@@ -61,7 +61,7 @@ SELECT {_ROW_SQL}, is_cancelled AS _is_cancelled, disrupted AS _is_route_disrupt
  planned AS _is_operated_as_planned FROM ({s.FLAGGED}) f
 """)
 def flight_flags(spark, sf_dir):
-    flags = ["_is_cancelled", "_is_route_disrupted", "_is_operated", "_is_operated_as_planned"]
+    flags = [kpi.CANCELLED, kpi.DISRUPTED, kpi.OPERATED, kpi.PLANNED]
     return kpi.flight_flags(fixtures.flights_wide(spark, sf_dir)).select(*_ROW, *flags)
 
 
@@ -74,8 +74,8 @@ def relevant_flights(spark, sf_dir):
 SELECT operating_airline_id, {s._BANDS}, count(*) AS flights FROM ({s.FLAGGED}) f GROUP BY operating_airline_id
 """)
 def delay_buckets(spark, sf_dir):
-    bands = kpi.delay_buckets(F.col("departure_delay_minutes"))
-    return fixtures.flights_wide(spark, sf_dir).groupBy("operating_airline_id").agg(
+    bands = kpi.delay_buckets()
+    return kpi.flight_flags(fixtures.flights_wide(spark, sf_dir)).groupBy("operating_airline_id").agg(
         *[F.count_if(inside).alias(name) for name, inside in bands.items()], F.count(F.lit(1)).alias("flights")
     )
 
@@ -89,11 +89,11 @@ SELECT operating_airline_id, round(coalesce(avg(departure_delay_minutes) FILTER
 FROM ({s.FLAGGED}) f GROUP BY operating_airline_id
 """)
 def otp_rates(spark, sf_dir):
-    delay, planned = F.col("departure_delay_minutes"), F.count_if(kpi.as_planned())
-    return fixtures.flights_wide(spark, sf_dir).groupBy("operating_airline_id").agg(
-        kpi.avg_or_zero(delay, kpi.as_planned()).alias("avg_delay"),
-        kpi.safe_ratio(F.count_if(kpi.on_time(delay)), planned).alias("departure_otp"),
-        kpi.safe_ratio(F.count_if(kpi.on_time(delay, 30)), planned).alias("departure_otp_30"),
+    flights, planned = kpi.flight_flags(fixtures.flights_wide(spark, sf_dir)), F.count_if(kpi.PLANNED)
+    return flights.groupBy("operating_airline_id").agg(
+        kpi.avg_or_zero(F.col("departure_delay_minutes"), F.col(kpi.PLANNED)).alias("avg_delay"),
+        kpi.safe_ratio(F.count_if(kpi.on_time("departure")), planned).alias("departure_otp"),
+        kpi.safe_ratio(F.count_if(kpi.on_time("departure", 30)), planned).alias("departure_otp_30"),
     )
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skyops.functions.times import window_label
 from skyops.operators import flights
+from skyops.sources import tables
 from skyops.specs import ENTITIES
 
 FLIGHTS_WIDE = """
@@ -128,12 +129,29 @@ SQL = {
     "ingest_log": INGEST_LOG,
     "landed_cells": LANDED_CELLS,
 }
-TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Declared schemas of the supplied tables (fixed values), so that no job has to infer them.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    df = spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+    return tables.spread(df, df.columns[0])
 
 
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = SQL[name].replace("{ts}", "TIMESTAMP_NTZ")
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    used = {t: source(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 

@@ -25,48 +25,35 @@ COUNTS = ("total_flights", "cancelled_flights", "route_disrupted_flights", "on_t
 DELAY_SUMS = ("departure_delay_sum", "departure_delay_n", "arrival_delay_sum", "arrival_delay_n")
 BANDS = tuple(DELAY_BANDS)
 
-
-def _flag(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(False))
-
-
-def cancelled() -> Column:
-    return _flag("is_cancelled")
-
-
-def disrupted() -> Column:
-    return _flag("is_diverted") | _flag("is_rerouted")
-
-
-def as_planned() -> Column:
-    return ~cancelled() & ~disrupted()
+# Flight columns that hold the flags below; the measures read them by name.
+CANCELLED, DISRUPTED, OPERATED, PLANNED = (
+    "_is_cancelled", "_is_route_disrupted", "_is_operated", "_is_operated_as_planned"
+)
 
 
 def flight_flags(df: DataFrame) -> DataFrame:
-    """NULL-safe ``_is_cancelled``, ``_is_route_disrupted``, ``_is_operated``, ``_is_operated_as_planned``."""
+    """NULL-safe flags of a flight: cancelled, diverted or rerouted, operated, operated without either."""
+    cancelled = "coalesce(is_cancelled, FALSE)"
+    disrupted = "(coalesce(is_diverted, FALSE) OR coalesce(is_rerouted, FALSE))"
     return df.withColumns({
-        "_is_cancelled": cancelled(),
-        "_is_route_disrupted": disrupted(),
-        "_is_operated": ~cancelled(),
-        "_is_operated_as_planned": as_planned(),
+        CANCELLED: F.expr(cancelled),
+        DISRUPTED: F.expr(disrupted),
+        OPERATED: F.expr(f"NOT {cancelled}"),
+        PLANNED: F.expr(f"NOT {cancelled} AND NOT {disrupted}"),
     })
 
 
-def on_time(delay: Column, limit: int = ON_TIME_MINUTES) -> Column:
-    """As planned and not later than ``limit``; an unknown delay is not on time, an early flight is."""
-    return as_planned() & F.coalesce(delay <= limit, F.lit(False))
+def on_time(end: str, limit: int = ON_TIME_MINUTES) -> Column:
+    """As planned and not later than ``limit`` at this end; an early flight is on time, one of unknown delay is not."""
+    return F.expr(f"{PLANNED} AND coalesce({end}_delay_minutes <= {limit}, FALSE)")
 
 
-def delay_buckets(delay: Column) -> dict[str, Column]:
-    """One condition per delay band, over whole minutes; an unknown delay is in no band."""
+def delay_buckets() -> dict[str, Column]:
+    """One condition per departure delay band, over whole minutes; an unknown delay is in no band."""
     bands = {}
     for name, (low, high) in DELAY_BANDS.items():
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (delay >= low)
-        if high is not None:
-            inside = inside & (delay <= high)
-        bands[name] = as_planned() & F.coalesce(inside, F.lit(False))
+        limits = [f"departure_delay_minutes {op} {v}" for op, v in ((">=", low), ("<=", high)) if v is not None]
+        bands[name] = F.expr(f"{PLANNED} AND coalesce({' AND '.join(limits)}, FALSE)")
     return bands
 
 
@@ -79,34 +66,33 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def additive_aggs(bands: bool = True) -> list[Column]:
-    """Counts and sums over flight rows."""
-    departure, arrival = F.col("departure_delay_minutes"), F.col("arrival_delay_minutes")
+    """Counts and sums over flight rows with their flags."""
     aggs = [
-        F.count(F.lit(1)).alias("total_flights"),
-        F.count_if(cancelled()).alias("cancelled_flights"),
-        F.count_if(disrupted()).alias("route_disrupted_flights"),
-        F.count_if(on_time(departure)).alias("on_time_departures"),
-        F.count_if(on_time(arrival)).alias("on_time_arrivals"),
-        F.coalesce(F.sum(F.when(as_planned(), departure)), F.lit(0)).cast("long").alias("departure_delay_sum"),
-        F.count(F.when(as_planned(), departure)).alias("departure_delay_n"),
-        F.coalesce(F.sum(F.when(as_planned(), arrival)), F.lit(0)).cast("long").alias("arrival_delay_sum"),
-        F.count(F.when(as_planned(), arrival)).alias("arrival_delay_n"),
+        F.expr("count(*) AS total_flights"),
+        F.expr(f"count_if({CANCELLED}) AS cancelled_flights"),
+        F.expr(f"count_if({DISRUPTED}) AS route_disrupted_flights"),
+        F.count_if(on_time("departure")).alias("on_time_departures"),
+        F.count_if(on_time("arrival")).alias("on_time_arrivals"),
     ]
+    for end in ("departure", "arrival"):
+        planned = f"CASE WHEN {PLANNED} THEN {end}_delay_minutes END"
+        aggs += [
+            F.expr(f"coalesce(sum({planned}), 0) AS {end}_delay_sum"), F.expr(f"count({planned}) AS {end}_delay_n")
+        ]
     if bands:
-        aggs += [F.count_if(condition).alias(name) for name, condition in delay_buckets(departure).items()]
+        aggs += [F.count_if(condition).alias(name) for name, condition in delay_buckets().items()]
     return aggs
 
 
 def rollup_aggs(bands: bool = True) -> list[Column]:
     """The same counts and sums over rows that already hold them at a finer grain."""
-    return [F.sum(name).alias(name) for name in COUNTS + DELAY_SUMS + (BANDS if bands else ())]
+    return [F.expr(f"sum({name}) AS {name}") for name in COUNTS + DELAY_SUMS + (BANDS if bands else ())]
 
 
 def derive_counts(df: DataFrame) -> DataFrame:
-    operated = F.col("total_flights") - F.col("cancelled_flights")
     return df.withColumns({
-        "operated_flights": operated,
-        "operated_as_planned_flights": operated - F.col("route_disrupted_flights"),
+        "operated_flights": F.expr("total_flights - cancelled_flights"),
+        "operated_as_planned_flights": F.expr("total_flights - cancelled_flights - route_disrupted_flights"),
     })
 
 

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.operators.skew import BROADCAST_BYTES, broadcast_if_small, hot_keys, is_hot
+from skyops.operators.skew import BROADCAST_BYTES, hot_keys, is_hot, is_small
 
 
 def left_lookup(
-    facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, columns: dict[str, str],
-    limit: int = BROADCAST_BYTES,
+    facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, columns: dict[str, str], small: bool,
 ) -> DataFrame:
     """``facts`` plus the dimension ``columns`` (source name to new name); unmatched rows keep NULLs.
 
-    ``dimension`` has one row per key. It is broadcast when its measured size allows. Beyond that the rows are joined by
-    a shuffle, except those of hot fact keys (NULL included): these few keys' dimension rows are broadcast instead, so
-    that no task receives a hot key's facts.
+    ``dimension`` has one row per key. It is broadcast when ``small``, which callers measure (``skew.is_small``). Otherwise
+    the rows are joined by a shuffle, except those of hot fact keys (NULL included): these few keys' dimension rows are
+    broadcast instead, so that no task receives a hot key's facts.
     """
     key = f"_{dimension_key}_lookup"
     side = dimension.select(F.col(dimension_key).alias(key), *[F.col(c).alias(n) for c, n in columns.items()])
@@ -24,9 +23,8 @@ def left_lookup(
     def joined(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.join(right, left[fact_key] == right[key], "left").drop(key)
 
-    small = broadcast_if_small(side, limit)
-    if small is not None:
-        return joined(facts, small)
+    if small:
+        return joined(facts, F.broadcast(side))
     hot = hot_keys(facts, [fact_key])
     if not hot:
         return joined(facts, side)
@@ -38,16 +36,19 @@ def left_lookup(
 
 def with_coordinates(flights: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Coordinates of both ends. Codes are matched as stored: a lower-case flight code finds no airport."""
+    small = is_small(airports.select("airport_code", "latitude", "longitude"), limit)
     out = flights
     for end, prefix in (("departure", "dep"), ("arrival", "arr")):
         names = {"latitude": f"{prefix}_latitude", "longitude": f"{prefix}_longitude"}
-        out = left_lookup(out, airports, f"{end}_airport_code", "airport_code", names, limit)
+        out = left_lookup(out, airports, f"{end}_airport_code", "airport_code", names, small)
     return out
 
 
 def airport_labels(codes: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Distinct departure airports with their names; an airport without a name is labelled by its code."""
     distinct = codes.select("departure_airport_code").distinct()
-    named = left_lookup(distinct, airports, "departure_airport_code", "airport_code", {"airport_name": "airport_name"}, limit)
+    name = {"airport_name": "airport_name"}
+    small = is_small(airports.select("airport_code", "airport_name"), limit)
+    named = left_lookup(distinct, airports, "departure_airport_code", "airport_code", name, small)
     label = F.concat_ws(" - ", "departure_airport_code", "airport_name")
     return named.withColumn("airport_label", label)

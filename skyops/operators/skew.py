@@ -47,8 +47,7 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame | None:
-    """``df`` marked for broadcast when its measured size is within ``limit``, else None."""
-    fixed = all(isinstance(f.dataType, (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType,
-                                        T.BooleanType)) for f in df.schema)
-    return F.broadcast(df) if fixed and measured_bytes(df) <= limit else None
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """May ``df`` (flat columns only) be broadcast?"""
+    flat = (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return all(isinstance(f.dataType, flat) for f in df.schema) and measured_bytes(df) <= limit

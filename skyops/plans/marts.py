@@ -60,7 +60,8 @@ def relevant_flights(flights: DataFrame, not_null: Sequence[str] = ()) -> DataFr
 
 
 def _is_relevant() -> Column:
-    return F.col("actual_departure_utc_ts").isNotNull() | F.col("actual_arrival_utc_ts").isNotNull() | kpi.cancelled()
+    known = "actual_departure_utc_ts IS NOT NULL OR actual_arrival_utc_ts IS NOT NULL"
+    return F.expr(f"{known} OR coalesce(is_cancelled, FALSE)")
 
 
 def departure_hour(flights: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def departure_hour(flights: DataFrame) -> DataFrame:
 
 
 def _sums(flights: DataFrame, keys: Sequence[str], bands: bool = False) -> DataFrame:
-    return flights.groupBy(*keys).agg(*kpi.additive_aggs(bands))
+    return kpi.flight_flags(flights).groupBy(*keys).agg(*kpi.additive_aggs(bands))
 
 
 def _rolled_up(base: DataFrame, keys: Sequence[str], bands: bool = False) -> DataFrame:

@@ -95,6 +95,21 @@ PAGE_TEXT_OPTIONS = {
 }
 
 
+# Tables between these sizes may be a single row group, which is one task however many cores there are.
+_SPREAD_ABOVE, _SPREAD_UP_TO = 4 * 1024 * 1024, 128 * 1024 * 1024
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A file table small enough to be one row group, but large enough to gain from all cores, is dealt out to them by the
+    hash of ``key`` (a round-robin deal would sort its rows first).
+
+    Larger tables stay as read: they have row groups, hence tasks, enough, and never pay for this exchange.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if _SPREAD_ABOVE < size <= _SPREAD_UP_TO else df
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions that occur in ``df``."""
     (
