@@ -137,9 +137,9 @@ def airport_lookup(spark, sf_dir):
 
 @register(_LOOKUP)
 def airport_lookup_unbounded(spark, sf_dir):
-    """The lookup as it runs when the dimension is too large to broadcast."""
+    """The lookup as it runs when the dimension is too large to broadcast, with the busier airports as hot keys."""
     flights = fixtures.flights_wide(spark, sf_dir).select(*_ROW)
-    return lookup.with_coordinates(flights, _airports(spark, sf_dir), limit=0).select(*_ROW, *_COORDINATES)
+    return lookup.with_coordinates(flights, _airports(spark, sf_dir), limit=0, hot_rows=2000).select(*_ROW, *_COORDINATES)
 
 
 # --- reports; marts are the ones checked above

@@ -1,7 +1,8 @@
 """Time parsing and arithmetic that give the same result in every session time zone.
 
 Wall-clock values are ``TIMESTAMP_NTZ``. Text is parsed as a UTC instant first and then shifted to the wall clock by
-counting microseconds from the epoch, so no value ever passes through the session zone and its daylight-saving gaps.
+counting microseconds from the epoch, so no value ever passes through the session zone and its daylight-saving gaps. For
+the same reason differences are taken by subtracting wall clocks: ``timestampdiff`` would cast both to instants first.
 """
 
 from __future__ import annotations
@@ -13,8 +14,6 @@ from pyspark.sql import functions as F
 OFFSET_PATTERN = "yyyy-MM-dd'T'HH:mmX"
 WINDOW_HOURS = 4
 
-_WINDOW_MICROS = WINDOW_HOURS * 3600 * 1_000_000
-
 
 def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
@@ -41,14 +40,19 @@ def flight_date(local: Column, utc: Column) -> Column:
 
 def delay_minutes(scheduled: Column, actual: Column) -> Column:
     """Whole minutes from scheduled to actual, cut toward zero; negative when early."""
-    return F.timestamp_diff("MINUTE", scheduled, actual).cast("int")
+    gap = actual - scheduled
+    # Every field of an interval has the interval's sign, so this sum is already cut toward zero.
+    whole = [F.extract(F.lit(field), gap) * minutes for field, minutes in (("DAY", 1440), ("HOUR", 60), ("MINUTE", 1))]
+    return (whole[0] + whole[1] + whole[2]).cast("int")
 
 
 def window_floor(wall_clock: Column, offset_hours: Column | int = 0) -> Column:
     """Start of the 4-hour window holding ``wall_clock``, moved back by ``offset_hours`` (negative: forward)."""
-    into_window = F.pmod(F.timestamp_diff("MICROSECOND", _epoch(), wall_clock), F.lit(_WINDOW_MICROS))
+    into_window = F.make_dt_interval(
+        F.lit(0), F.hour(wall_clock) % WINDOW_HOURS, F.minute(wall_clock), F.extract(F.lit("SECOND"), wall_clock)
+    )
     offset = F.lit(offset_hours) if isinstance(offset_hours, int) else offset_hours
-    return F.timestamp_add("HOUR", -offset, F.timestamp_add("MICROSECOND", -into_window, wall_clock))
+    return F.timestamp_add("HOUR", -offset, wall_clock - into_window)
 
 
 def window_label(window_start: Column) -> Column:

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.operators.skew import HOT_SHARE, hot_keys, is_hot
+from skyops.operators.skew import HOT_ROWS, hot_keys, is_hot
 
 START, END = "__START_AT", "__END_AT"
-_MAX_SLICES = 256
+_MAX_SLICES = 10_000
+_STRIDE = 100
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
@@ -29,7 +30,7 @@ def _required(sequence: str) -> Column:
 
 def scd2_history(
     changes: DataFrame, keys: Sequence[str], sequence: str, tie: Sequence[str] = (), track: Sequence[str] | None = None,
-    cluster_by: Sequence[str] = (), hot_share: float = HOT_SHARE,
+    cluster_by: Sequence[str] = (), hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions of every key: ``__START_AT`` is the row's own sequence, ``__END_AT`` that of the next version.
 
@@ -40,12 +41,12 @@ def scd2_history(
     ``cluster_by`` names columns that the key determines (such as a date inside the key): the result is then laid out by
     ranges of them, so a write partitioned by these columns makes few files per task.
 
-    Cold keys need one shuffle and one sort. A key that holds more than ``hot_share`` of the rows is cut into slices of
-    the sequence, see ``_sliced``.
+    Cold keys need one shuffle and one sort. A key of more than ``hot_rows`` rows is cut into slices of the sequence, see
+    ``_sliced``.
     """
     group = [*cluster_by, *keys]
     rows = changes.withColumn(START, _required(sequence))
-    hot = hot_keys(changes, keys, hot_share)
+    hot = hot_keys(changes, keys, hot_rows)
     cold = rows.where(~is_hot(keys, hot)) if hot else rows
     if cluster_by:
         cold = cold.repartitionByRange(*group)
@@ -53,7 +54,8 @@ def scd2_history(
     history = _versions(cold, group, [START, *content], track)
     if not hot:
         return history
-    sliced = _sliced(rows.where(is_hot(keys, hot)), group, content, track)
+    slices = min(_MAX_SLICES, 1 + sum(hot.values()) // hot_rows)
+    sliced = _sliced(rows.where(is_hot(keys, hot)), group, content, track, slices)
     return history.unionByName(sliced.withColumn(sequence, F.col(START)))
 
 
@@ -72,24 +74,27 @@ def _versions(rows: DataFrame, group: Sequence[str], order: Sequence[str], track
     return changed.drop("_before").withColumn(END, F.lead(START).over(by_key))
 
 
-def _sliced(rows: DataFrame, group: Sequence[str], content: Sequence[str], track: Sequence[str] | None) -> DataFrame:
+def _sliced(
+    rows: DataFrame, group: Sequence[str], content: Sequence[str], track: Sequence[str] | None, slices: int
+) -> DataFrame:
     """The same result for hot keys, without giving any task all rows of a key.
 
     Copies and ties collapse first, in a partial aggregate. The sequence range is then cut at quantiles of the hot rows,
     so each slice holds a bounded part of them whatever the key. Neighbours are found inside a slice; the neighbour of a
-    slice's edge row is the edge of the nearest non-empty slice, looked up in a table of one row per key and slice
-    (at most hot keys x slices rows, hence broadcast).
+    slice's edge row is the edge of the nearest non-empty slice, looked up in a table of one row per key and slice.
     """
     unique = rows.groupBy(*group, START).agg(F.max(F.struct(*content)).alias("_best")).select(*group, START, "_best.*")
-    parts = min(_MAX_SLICES, max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    shares = [F.lit(i / parts) for i in range(1, parts)]
-    cuts = rows.select(*group, START).distinct().agg(
-        F.percentile_approx(START, F.array(*shares), F.lit(10_000)).alias("cuts")
-    )
-    # One row of at most _MAX_SLICES cut points; read as a scalar subquery inside the plan.
-    sliced = unique.withColumn("_cuts", cuts.scalar()).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut <= F.col(START)))
-    ).drop("_cuts")
+    shares = ",".join(f"{i / slices}D" for i in range(1, slices + 1))
+    quantiles = F.percentile_approx(START, F.expr(f"array({shares})"), F.lit(10 * slices))
+    # One row of at most _MAX_SLICES cut points, read as a scalar subquery inside the plan. A row finds its slice in two
+    # steps, among every _STRIDE-th cut and then among the cuts between two of these.
+    cuts = rows.select(*group, START).distinct().agg(quantiles.alias("cuts"))
+    every = F.filter("cuts", lambda _, i: i % _STRIDE == _STRIDE - 1)
+    found = cuts.select(F.struct("cuts", every.alias("every"))).scalar()
+    coarse = F.size(F.filter("_cuts.every", lambda cut: cut <= F.col(START))) * _STRIDE
+    fine = F.size(F.filter(F.slice("_cuts.cuts", F.col("_coarse") + 1, F.lit(_STRIDE)), lambda cut: cut <= F.col(START)))
+    sliced = unique.withColumn("_cuts", found).withColumn("_coarse", coarse).withColumn("_slice", F.col("_coarse") + fine)
+    sliced = sliced.drop("_cuts", "_coarse")
 
     versions = sliced
     if track is not None:
@@ -110,7 +115,7 @@ def _neighbour(rows: DataFrame, group: Sequence[str], value: Column, name: str,
     edges = rows.groupBy(*group, "_slice").agg(edge.alias("_edge"))
     edges = edges.withColumn("_edge", step("_edge").over(across))
     # Null-safe on the key: NULL is a key like any other here.
-    left, right = rows.alias("l"), F.broadcast(edges).alias("r")
+    left, right = rows.alias("l"), edges.alias("r")
     same = F.lit(True)
     for column in [*group, "_slice"]:
         same = same & F.col(f"l.{column}").eqNullSafe(F.col(f"r.{column}"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyops.operators.skew import BROADCAST_BYTES, hot_keys, is_hot, is_small
+from skyops.operators.skew import BROADCAST_BYTES, HOT_ROWS, hot_keys, is_hot, is_small
 
 
 def left_lookup(
     facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, columns: dict[str, str], small: bool,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """``facts`` plus the dimension ``columns`` (source name to new name); unmatched rows keep NULLs.
 
@@ -25,7 +26,7 @@ def left_lookup(
 
     if small:
         return joined(facts, F.broadcast(side))
-    hot = hot_keys(facts, [fact_key])
+    hot = hot_keys(facts, [fact_key], hot_rows)
     if not hot:
         return joined(facts, side)
     hot_side = F.broadcast(side.where(is_hot([key], hot)))
@@ -34,13 +35,15 @@ def left_lookup(
     )
 
 
-def with_coordinates(flights: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def with_coordinates(
+    flights: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Coordinates of both ends. Codes are matched as stored: a lower-case flight code finds no airport."""
     small = is_small(airports.select("airport_code", "latitude", "longitude"), limit)
     out = flights
     for end, prefix in (("departure", "dep"), ("arrival", "arr")):
         names = {"latitude": f"{prefix}_latitude", "longitude": f"{prefix}_longitude"}
-        out = left_lookup(out, airports, f"{end}_airport_code", "airport_code", names, small)
+        out = left_lookup(out, airports, f"{end}_airport_code", "airport_code", names, small, hot_rows)
     return out
 
 

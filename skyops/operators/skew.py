@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key is hot from this share of all rows on; at most 1 / HOT_SHARE keys can reach it.
-HOT_SHARE = 0.01
-_TRACKED_ITEMS = 10_000
+# A key is hot when it has more rows than one task should own, HOT_ROWS, and this share of all rows: at most 1 / HOT_SHARE
+# keys can be hot, so a list of them is always short.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 0.0001
+_TRACKED_ITEMS = 100_000
 
 # Largest measured size, in bytes, of a table that may be broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -20,21 +22,22 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows, at most ``1 / share`` of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Hashes of the hot keys with their estimated rows.
 
     One pass with a frequent-items sketch: map-side partial sketches, no shuffle of rows. A key the sketch should miss,
-    or a cold key whose hash equals a hot one, costs time but never changes a result: every user of this list treats
+    or a cold key whose hash equals a hot one, costs time but never changes a result: every user of these hashes treats
     hot and cold keys exactly.
     """
     sketch = df.select(key_hash(keys).alias("k")).agg(
-        F.expr(f"approx_top_k(k, {int(1 / share)}, {_TRACKED_ITEMS})").alias("top"), F.count("k").alias("n")
+        F.expr(f"approx_top_k(k, {int(1 / HOT_SHARE)}, {_TRACKED_ITEMS})").alias("top"), F.count("k").alias("n")
     )
     row = sketch.first()
-    return sorted(item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"] and row["n"] > 1 / share)
+    floor = max(hot_rows, HOT_SHARE * row["n"])
+    return {item["item"]: item["count"] for item in row["top"] or [] if item["count"] > floor}
 
 
-def is_hot(keys: Sequence[str], hashes: Sequence[int]) -> Column:
+def is_hot(keys: Sequence[str], hashes: Iterable[int]) -> Column:
     return key_hash(keys).isin(*hashes)
 
 
