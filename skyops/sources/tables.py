@@ -96,7 +96,7 @@ PAGE_TEXT_OPTIONS = {
 
 
 # Tables between these sizes may be a single row group, which is one task however many cores there are.
-_SPREAD_ABOVE, _SPREAD_UP_TO = 4 * 1024 * 1024, 128 * 1024 * 1024
+_SPREAD_ABOVE, _SPREAD_UP_TO = 1024 * 1024, 128 * 1024 * 1024
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

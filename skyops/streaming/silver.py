@@ -1,7 +1,7 @@
 """Bronze flights to quarantine, change log, version history, current flights and mart sums.
 
-The change log is the truth: each micro-batch owns one folder of it and writes that folder whole, so a replayed batch
-replaces its own rows. Everything behind the log is a pure function of it, recomputed for the flight dates that the batch
+The change log is the truth: inside each flight date every micro-batch owns one folder, so a replayed batch replaces its
+own rows, and the updates of a date are found without listing those of other dates. Everything behind the log is a pure function of it, recomputed for the flight dates that the batch
 touches. A flight's key contains its date, so all versions of a flight live in one date, late and out-of-order updates
 need no special case, and the cost of a batch follows the few dates it touches rather than the length of the history.
 No step reads a table it writes.
@@ -22,7 +22,7 @@ from skyops.plans import marts
 from skyops.sources import landing, tables
 
 DATE = "flight_date"
-# Touched dates are listed in the scan filter up to this many; beyond that all dates are recomputed.
+# Touched dates are read one by one up to this many; beyond that all dates are recomputed.
 _MAX_LISTED = 1000
 
 
@@ -35,16 +35,20 @@ def _touched(rows: DataFrame, column: str) -> list | None:
     return found if len(found) <= _MAX_LISTED else None
 
 
-def _restricted(df: DataFrame, column: str, values: list | None) -> DataFrame:
-    """Literals in the filter prune partition folders at planning time."""
-    return df if values is None else df.where(F.col(column).isin(values))
+def read_dates(spark: SparkSession, path: str, schema: T.StructType, column: str, dates: list | None) -> DataFrame:
+    """Rows of a table partitioned by a date column, for the given dates (None: all). Only their folders are listed."""
+    folders = [path] if dates is None else [f"{path}/{column}={day}" for day in dates]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+
+
+def _query_id(spark: SparkSession) -> str:
+    """A query that starts over from a new checkpoint counts batches from 0 again; its id keeps it from replacing the
+    folders of its predecessor."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
 
 
 def _batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
-    """One folder per query and batch: a query that starts over from a new checkpoint counts batches from 0 again and must
-    not replace the folders of its predecessor."""
-    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
-    return f"{path}/query_id={query}/batch_id={batch_id}"
+    return f"{path}/query_id={_query_id(spark)}/batch_id={batch_id}"
 
 
 def scd2_apply(
@@ -53,27 +57,23 @@ def scd2_apply(
 ) -> list | None:
     """Add a batch to the change log and bring the history partitions it touches up to date.
 
-    ``partition`` is a column that the key determines. Returns the touched partition values (None: too many to list).
+    ``partition`` is a date column that the key determines. Returns the touched dates (None: too many to list).
     """
     spark = changes.sparkSession
-    folder = _batch_folder(spark, log, batch_id)
-    # Rebalanced by the partition column: few files per date, and a date that holds most rows is split over tasks.
-    changes.hint("rebalance", partition).write.mode("overwrite").partitionBy(partition).parquet(folder)
-    touched = _touched(spark.read.schema(changes.schema).parquet(folder), partition)
+    touched = _touched(changes, partition)
     if touched == []:
         return touched
-    logged = spark.read.schema(changes.schema).parquet(log).select(*changes.columns)
-    versions = cdc.scd2_history(
-        _restricted(logged, partition, touched), keys, sequence, tie, track, cluster_by=[partition]
+    # Rebalanced by date: few files per date, and a date that holds most rows is split over tasks.
+    owned = changes.hint("rebalance", partition).withColumns(
+        {"query_id": F.lit(_query_id(spark)), "batch_id": F.lit(batch_id)}
     )
+    tables.replace_partitions(owned, log, [partition, "query_id", "batch_id"])
+    logged = read_dates(spark, log, changes.schema, partition, touched)
+    versions = cdc.scd2_history(logged, keys, sequence, tie, track, cluster_by=[partition])
     tables.replace_partitions(versions, history, [partition])
     return touched
 
 
-def read_partitions(spark: SparkSession, path: str, schema: T.StructType, column: str, values: list | None) -> DataFrame:
-    return _restricted(spark.read.schema(schema).parquet(path).select(*schema.names), column, values)
-
-
 def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
     """The batch function: one parse of the pages feeds both the quarantine and the history."""
 
@@ -105,9 +105,9 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
 def refresh_current(spark: SparkSession, layout: Layout, dates: list | None) -> None:
     """Current flights and their mart sums for some dates."""
     schema = flights.HISTORY_SCHEMA
-    history = read_partitions(spark, layout.silver("flight_status_history"), schema, DATE, dates)
+    history = read_dates(spark, layout.silver("flight_status_history"), schema, DATE, dates)
     tables.replace_partitions(cdc.current_of(history), layout.silver("flight_status_current"), [DATE])
-    current = read_partitions(spark, layout.silver("flight_status_current"), schema, DATE, dates)
+    current = read_dates(spark, layout.silver("flight_status_current"), schema, DATE, dates)
     tables.replace_partitions(marts.kpi_base(current).hint("rebalance", DATE), layout.gold("kpi_base"), [DATE])
 
 
