@@ -84,21 +84,22 @@ FROM {{supplier}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE s_suppkey % 10 <> r.n
 """
 
 COUNTRY_SNAPSHOTS = f"""
-SELECT r.run_id, concat(' n', CAST(n_nationkey AS STRING)) AS country_code_raw,
- CASE WHEN n_nationkey % 9 = 4 THEN '' ELSE concat(n_name, CASE WHEN r.n = 2 AND n_nationkey % 4 = 0 THEN ' renamed' ELSE '' END) END AS country_name_raw,
- concat('page=', CAST(CASE WHEN n_nationkey = 5 THEN 1 ELSE 0 END AS STRING), '.json') AS source_file_path
-FROM {{nation}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE n_nationkey % 10 <> r.n
+SELECT r.run_id, concat(' k', CAST(c_custkey AS STRING)) AS country_code_raw,
+ CASE WHEN c_custkey % 9 = 4 THEN '' ELSE concat(c_name, CASE WHEN r.n = 2 AND c_custkey % 4 = 0 THEN ' renamed' ELSE '' END) END AS country_name_raw,
+ concat('page=', CAST(CAST((c_custkey - c_custkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
+FROM {{customer}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE c_custkey % 10 <> r.n
 """
 
+# The first 25 airports carry the codes that flights use. Airport 5 is alone on its page, which then holds a single object.
 AIRPORT_SNAPSHOTS = f"""
-SELECT r.run_id, concat('n', lpad(CAST(n_nationkey AS STRING), 2, '0'), ' ') AS airport_code_raw,
- CASE WHEN n_nationkey % 9 = 4 THEN NULL ELSE concat(' ', n_name) END AS airport_name_raw,
- CASE WHEN n_nationkey % 11 = 7 THEN '' ELSE concat('c', CAST(n_nationkey AS STRING)) END AS city_code_raw,
- CASE WHEN n_nationkey % 13 = 9 THEN NULL ELSE concat('r', CAST(n_regionkey AS STRING)) END AS country_code_raw,
- CAST(n_nationkey * 5 - 60 AS DOUBLE) AS latitude_raw, CAST(n_nationkey * 7 - 80 AS DOUBLE) AS longitude_raw,
- 'Airport' AS location_type_raw, '+01:00' AS utc_offset_raw, concat('Zone/', CAST(n_regionkey AS STRING)) AS time_zone_id_raw,
- concat('page=', CAST(CASE WHEN n_nationkey = 5 THEN 1 ELSE 0 END AS STRING), '.json') AS source_file_path
-FROM {{nation}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE n_nationkey % 10 <> r.n
+SELECT r.run_id, CASE WHEN s_suppkey < 25 THEN concat('n', lpad(CAST(s_suppkey AS STRING), 2, '0'), ' ') ELSE concat('x', CAST(s_suppkey AS STRING)) END AS airport_code_raw,
+ CASE WHEN s_suppkey % 19 = 4 THEN NULL ELSE concat(' ', s_name) END AS airport_name_raw,
+ CASE WHEN s_suppkey % 23 = 7 THEN '' ELSE concat('c', CAST(s_suppkey AS STRING)) END AS city_code_raw,
+ CASE WHEN s_suppkey % 29 = 9 THEN NULL ELSE concat('r', CAST(s_nationkey AS STRING)) END AS country_code_raw,
+ CAST((s_suppkey % 25) * 5 - 60 AS DOUBLE) AS latitude_raw, CAST((s_suppkey % 25) * 7 - 80 AS DOUBLE) AS longitude_raw,
+ 'Airport' AS location_type_raw, '+01:00' AS utc_offset_raw, concat('Zone/', CAST(s_nationkey AS STRING)) AS time_zone_id_raw,
+ concat('page=', CAST(CASE WHEN s_suppkey = 5 THEN 1 ELSE 2 + CAST((s_suppkey - s_suppkey % 100) / 100 AS BIGINT) END AS STRING), '.json') AS source_file_path
+FROM {{supplier}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE s_suppkey % 10 <> r.n
 """
 
 INGEST_LOG = """

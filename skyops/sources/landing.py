@@ -10,6 +10,10 @@ from pyspark.sql import types as T
 
 from skyops.functions.text import path_safe
 
+# The file source silently skips files that are much older than the newest one it has seen. Late files must not be lost, so
+# the age is set far out of reach; where the list of seen files grows too long, use ``cleanSource`` rather than a low age.
+SOURCE_OPTIONS = {"maxFileAge": "36500d"}
+
 # Landing folders and their partition columns.
 FLIGHT_PARTITIONS = ("direction", "airport", "date", "window_start", "run_id")
 REFERENCE_PARTITIONS = ("date", "run_id")
@@ -58,7 +62,7 @@ def landing_stream(
     """The same rows as a stream that sees each new file once. ``options`` go to the file source, for instance
     ``maxFilesPerTrigger``, ``maxFileAge`` or ``cleanSource`` where the folder grows large."""
     reader = spark.readStream.format("text").option("wholetext", True).schema(_schema(partitions))
-    return _bronze(reader.options(**(options or {})).load(path), partitions)
+    return _bronze(reader.options(**{**SOURCE_OPTIONS, **(options or {})}).load(path), partitions)
 
 
 def bronze_flights(spark: SparkSession, root: str, options: Mapping[str, str | int] | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from skyops.sources.landing import SOURCE_OPTIONS
+
 KEPT_VERSIONS = 2
 
 
@@ -71,7 +73,7 @@ def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str | int] | None = None
 ) -> DataFrame:
     """Stream read of an appended table: each row once."""
-    return spark.readStream.schema(schema).options(**(options or {})).parquet(path)
+    return spark.readStream.schema(schema).options(**{**SOURCE_OPTIONS, **(options or {})}).parquet(path)
 
 
 def append_stream(

@@ -74,8 +74,8 @@ def test_missing_text(spark):
 def test_key_counts_a_missing_part_as_empty(spark):
     import hashlib
 
-    key = text.instance_key(F.lit("LH"), F.lit(None).cast("string"), F.lit("FRA"), F.lit(dt.date(2024, 1, 2)))
-    assert one(spark, key) == hashlib.sha256(b"LH||||FRA||2024-01-02").hexdigest()
+    key = text.instance_key(F.lit("XY"), F.lit(None).cast("string"), F.lit("FRA"), F.lit(dt.date(2024, 1, 2)))
+    assert one(spark, key) == hashlib.sha256(b"XY||||FRA||2024-01-02").hexdigest()
 
 
 def test_route_label(spark):

@@ -113,7 +113,7 @@ def test_history_of_any_stream(spark, tmp_path):
 # --- whole runs over real files in the landing layout
 
 
-def flight(number, status="LD", departure="FRA", due="2024-01-01T10:00", delay=5, airline="LH", arrival="MUC"):
+def flight(number, status="LD", departure="FRA", due="2024-01-01T10:00", delay=5, airline="XY", arrival="MUC"):
     def at(minutes):
         return (dt.datetime.fromisoformat(due) + dt.timedelta(minutes=minutes)).strftime("%Y-%m-%dT%H:%MZ")
 
@@ -210,6 +210,14 @@ def test_a_date_without_relevant_flights_leaves_the_marts(spark, layout):
     assert all(m.count() == 0 for m in runs.run_operational(spark, layout).values())
 
 
+def test_files_much_older_than_the_newest_are_not_skipped(spark, layout):
+    for run, mtime in (("r1", 100_000_000), ("r2", 1000)):  # three years back
+        land(layout, run, 0, flight("1"), mtime)
+        bronze.ingest_flights(spark, layout)
+        silver.update_flights(spark, layout)
+    assert table(spark, layout, "flight_status_history").count() == 2
+
+
 def test_pages_only_invalid(spark, layout):
     land(layout, "r1", 0, "junk", 1000)
     bronze.ingest_flights(spark, layout)
