@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default all), ``BENCH_RUNS`` (default 3). Each query runs once to warm up,
+``BENCH_SF_DIR`` (default sf0.1), ``BENCH_CPUS`` (default all), ``BENCH_RUNS`` (default 2). Each query runs once to warm up,
 then ``BENCH_RUNS`` times into the ``noop`` sink; the median counts. Input is read from parquet in every run.
 """
 
@@ -20,9 +20,9 @@ from skyops.session import local_session  # noqa: E402
 
 HEADLINE = (
     "mart_hourly", "mart_route_daily", "mart_distance_daily", "base_departure_airport_hourly", "airport_lookup",
-    "delay_distribution", "route_detail", "top_routes_delay", "scd2_history", "scd2_events", "scd2_tracked",
-    "scd2_hot_keys", "dedup_latest", "scd1_snapshot", "snapshot_diff", "envelope_parse", "valid_feed",
-    "quarantine_summary", "rule_metrics", "ref_current_airlines", "landing_completeness", "coverage_audit", "log_health",
+    "route_detail", "scd2_history", "scd2_events", "scd2_tracked", "scd2_hot_keys", "dedup_latest", "scd1_snapshot",
+    "snapshot_diff", "envelope_parse", "quarantine_summary", "rule_metrics", "landing_completeness", "coverage_audit",
+    "log_health",
 )
 # These write tables as they run; once is enough.
 ONCE = ("stream_scd2",)
@@ -31,7 +31,7 @@ ONCE = ("stream_scd2",)
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count())
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus, shuffle_partitions=int(cpus), **{"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
 

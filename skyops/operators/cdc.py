@@ -99,28 +99,29 @@ def _sliced(
     versions = sliced
     if track is not None:
         state = F.struct(*track)
-        with_before = _neighbour(sliced, group, F.struct(state.alias("s")), "_before", forward=False)
-        versions = with_before.where(
-            F.col("_before").isNull() | ~F.col("_before.s").eqNullSafe(state)
+        versions = _neighbour(sliced, group, state, "_before", track, forward=False).where(
+            F.col("_before").isNull() | ~F.col("_before").eqNullSafe(state)
         ).drop("_before")
-    return _neighbour(versions, group, F.col(START), END, forward=True).drop("_slice")
+    return _neighbour(versions, group, F.col(START), END, (), forward=True).drop("_slice")
 
 
-def _neighbour(rows: DataFrame, group: Sequence[str], value: Column, name: str, forward: bool) -> DataFrame:
-    """``value`` of the next (or previous) row of the key in ``__START_AT`` order, across slices."""
+def _neighbour(
+    rows: DataFrame, group: Sequence[str], value: Column, name: str, needs: Sequence[str], forward: bool
+) -> DataFrame:
+    """``value`` (made of ``__START_AT`` and ``needs``) of the next or previous row of the key, across slices.
+
+    Each slice is lent the edge row of the nearest non-empty slice on that side. It sorts beyond all rows of the slice, so
+    one window inside slices finds every neighbour, and the lent rows are taken out again. No join is needed.
+    """
     inside = Window.partitionBy(*group, "_slice").orderBy(START)
     across = Window.partitionBy(*group).orderBy("_slice")
-    step = F.lead if forward else F.lag
-    edge = (F.min_by if forward else F.max_by)(value, F.col(START))
-    edges = rows.groupBy(*group, "_slice").agg(edge.alias("_edge"))
-    edges = edges.withColumn("_edge", step("_edge").over(across))
-    # Null-safe on the key: NULL is a key like any other here.
-    left, right = rows.alias("l"), edges.alias("r")
-    same = F.lit(True)
-    for column in [*group, "_slice"]:
-        same = same & F.col(f"l.{column}").eqNullSafe(F.col(f"r.{column}"))
-    stitched = left.join(right, same, "left").select("l.*", "r._edge")
-    return stitched.withColumn(name, F.coalesce(step(value).over(inside), F.col("_edge"))).drop("_edge")
+    edge, step = (F.min_by, F.lead) if forward else (F.max_by, F.lag)
+    edges = rows.groupBy(*group, "_slice").agg(edge(F.struct(START, *needs), F.col(START)).alias("_edge"))
+    lent = edges.withColumn("_edge", step("_edge").over(across)).where("_edge IS NOT NULL").select(
+        *group, "_slice", "_edge.*", F.lit(True).alias("_lent")
+    )
+    both = rows.withColumn("_lent", F.lit(False)).unionByName(lent, allowMissingColumns=True)
+    return both.withColumn(name, step(value).over(inside)).where("NOT _lent").drop("_lent")
 
 
 def current_of(history: DataFrame) -> DataFrame:
