@@ -51,6 +51,43 @@ def _register_from_base(mart: str, sql: str, rates: bool) -> None:
 for _mart, (_sql, _rates) in _FROM_BASE.items():
     _register_from_base(_mart, _sql, _rates)
 
+# The marts before their rules, and when a row fails each rule.
+_OTP_FAILS = {f"valid_{end}_otp_range": f"NOT {end}_otp_15_pct BETWEEN 0 AND 1" for end in ("departure", "arrival")}
+_COUNT_FAILS = {f"non_negative_{c}": f"{c} < 0" for c in (
+    "total_flights", "cancelled_flights", "route_disrupted_flights", "operated_flights", "operated_as_planned_flights"
+)}
+_FAILS = {
+    "departure_airport_hourly": (s.hourly(s.FLAGGED, checked=False), {
+        "valid_flight_date": "flight_date IS NULL",
+        "valid_airport": "coalesce(trim(departure_airport_code), '') = ''",
+        "valid_hour": "NOT coalesce(departure_hour BETWEEN 0 AND 23, FALSE)",
+        "non_negative_flights": "total_flights < 0",
+        **_OTP_FAILS,
+    }),
+    "route_daily_performance": (s.route(s.FLAGGED, checked=False), {
+        **{f"valid_{c}": f"{c} IS NULL" for c in marts.ROUTE_KEYS}, **_COUNT_FAILS, **_OTP_FAILS,
+    }),
+    "airport_distance_category_daily_performance": (s.distance(s.FLAGGED, s.AIRPORTS, checked=False), {
+        "valid_distance_category": "distance_category IS NULL", **_COUNT_FAILS, **_OTP_FAILS,
+    }),
+}
+
+
+def _fails_sql(mart: str, sql: str, fails: dict[str, str]) -> str:
+    dropped = " OR ".join(f"({f})" for f in fails.values())
+    listed = ", ".join(f"count(*) FILTER (WHERE {f}) AS {rule}" for rule, f in fails.items())
+    counted = f"SELECT count(*) AS n, count(*) FILTER (WHERE {dropped}) AS rows_dropped, {listed} FROM ({sql}) m"
+    return f"""
+SELECT '{mart}' AS mart, rule, n - failed AS passed, failed, rows_dropped
+FROM (UNPIVOT ({counted}) ON {", ".join(fails)} INTO NAME rule VALUE failed) u"""
+
+
+@register("\nUNION ALL\n".join(_fails_sql(mart, *checked) for mart, checked in _FAILS.items()))
+def mart_rule_metrics(spark, sf_dir):
+    base = marts.kpi_base(fixtures.flights_wide(spark, sf_dir))
+    return marts.mart_rule_metrics(marts.unchecked_marts(base, _airports(spark, sf_dir)))
+
+
 _ROW = ["operating_airline_id", "departure_airport_code", "arrival_airport_code", "flight_date", "scheduled_departure_local_ts"]
 _ROW_SQL = """operating_airline_id, departure_airport_code, arrival_airport_code, CAST(flight_date AS VARCHAR) AS flight_date,
  CAST(scheduled_departure_local_ts AS VARCHAR) AS scheduled_departure_local_ts"""

@@ -39,22 +39,23 @@ KM = """2 * 6371.0 * asin(sqrt(least(1.0, power(sin((radians(a.latitude) - radia
 CATEGORY = "CASE WHEN km < 1500 THEN 'short_haul' WHEN km < 3500 THEN 'medium_haul' WHEN km >= 3500 THEN 'long_haul' END"
 
 
-def hourly(flagged: str) -> str:
+def hourly(flagged: str, checked: bool = True) -> str:
+    rules = "flight_date IS NOT NULL AND trim(departure_airport_code) <> '' AND departure_hour BETWEEN 0 AND 23"
     return f"""
 SELECT {_OTP} FROM (SELECT {_OPERATED} FROM (
  SELECT flight_date, departure_airport_code, CAST(hour(scheduled_departure_local_ts) AS INT) AS departure_hour, {_COUNTS}, {_BANDS}
  FROM ({flagged}) f WHERE relevant GROUP BY ALL) g
- WHERE flight_date IS NOT NULL AND trim(departure_airport_code) <> '' AND departure_hour BETWEEN 0 AND 23) h
+ WHERE {rules if checked else "TRUE"}) h
 """
 
 
-def route(flagged: str) -> str:
+def route(flagged: str, checked: bool = True) -> str:
     return f"""
 SELECT * FROM (SELECT {_RATES} FROM (SELECT {_OTP} FROM (SELECT {_OPERATED} FROM (
  SELECT flight_date, departure_airport_code, arrival_airport_code,
   departure_airport_code || ' ->' || arrival_airport_code AS route, {_COUNTS}
  FROM ({flagged}) f WHERE relevant AND flight_date IS NOT NULL AND departure_airport_code IS NOT NULL
-  AND arrival_airport_code IS NOT NULL GROUP BY ALL) g) h) i) j WHERE {_SANE} AND {_NOT_NEGATIVE}
+  AND arrival_airport_code IS NOT NULL GROUP BY ALL) g) h) i) j WHERE {f"{_SANE} AND {_NOT_NEGATIVE}" if checked else "TRUE"}
 """
 
 
@@ -71,12 +72,12 @@ FROM ({flagged}) f LEFT JOIN ({airports}) d ON f.departure_airport_code = d.airp
 _KNOWN = "dep_latitude IS NOT NULL AND dep_longitude IS NOT NULL AND arr_latitude IS NOT NULL AND arr_longitude IS NOT NULL"
 
 
-def distance(flagged: str, airports: str) -> str:
+def distance(flagged: str, airports: str, checked: bool = True) -> str:
     return f"""
 SELECT * FROM (SELECT {_RATES} FROM (SELECT {_OTP} FROM (SELECT {_OPERATED} FROM (
  SELECT flight_date, departure_airport_code, {CATEGORY} AS distance_category, {_COUNTS}
  FROM ({located(flagged, airports)}) f WHERE relevant AND {_KNOWN} AND departure_airport_code IS NOT NULL GROUP BY ALL) g) h) i) j
-WHERE {_SANE} AND {_NOT_NEGATIVE}
+WHERE {f"{_SANE} AND {_NOT_NEGATIVE}" if checked else "TRUE"}
 """
 
 

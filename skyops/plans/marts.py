@@ -1,6 +1,6 @@
 """The three performance marts.
 
-Each mart is ``finish(sums)``: sums per mart key, then means and ratios, then the mart's rules. The sums come either
+Each mart is ``finish(sums)``: sums per mart key, then means and ratios; its rules then drop rows. The sums come either
 straight from flights or from ``kpi_base``, the same sums at the finest grain, which one scan of the flights makes and
 all three marts share.
 """
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from skyops.functions import geo, kpi
 from skyops.functions.text import route_label
 from skyops.operators.lookup import with_coordinates
-from skyops.operators.quality import Rule, expect_or_drop, present
+from skyops.operators.quality import Rule, expect_or_drop, present, rule_metrics
 from skyops.operators.skew import BROADCAST_BYTES
 
 HOURLY_KEYS = ("flight_date", "departure_airport_code", "departure_hour")
@@ -87,13 +87,13 @@ def kpi_base(current: DataFrame) -> DataFrame:
 
 def _finish_hourly(sums: DataFrame) -> DataFrame:
     mart = kpi.derive_otp(kpi.derive_counts(kpi.derive_means(sums)))
-    return expect_or_drop(mart.select(*HOURLY_KEYS, *_MEASURES, *kpi.BANDS, *_DERIVED), HOURLY_RULES)
+    return mart.select(*HOURLY_KEYS, *_MEASURES, *kpi.BANDS, *_DERIVED)
 
 
 def _finish_route(sums: DataFrame) -> DataFrame:
     mart = kpi.derive_rates(kpi.derive_otp(kpi.derive_counts(kpi.derive_means(sums))))
     route = route_label(F.col("departure_airport_code"), F.col("arrival_airport_code")).alias("route")
-    return expect_or_drop(mart.select(*ROUTE_KEYS, *_MEASURES, route, *_DERIVED, *_RATES), ROUTE_RULES)
+    return mart.select(*ROUTE_KEYS, *_MEASURES, route, *_DERIVED, *_RATES)
 
 
 def _finish_distance(route_sums: DataFrame, airports: DataFrame, limit: int) -> DataFrame:
@@ -101,7 +101,7 @@ def _finish_distance(route_sums: DataFrame, airports: DataFrame, limit: int) ->
     located = with_coordinates(route_sums.where(F.col("departure_airport_code").isNotNull()), airports, limit)
     sums = _rolled_up(distances(located).where(F.col("distance_category").isNotNull()), DISTANCE_KEYS)
     mart = kpi.derive_rates(kpi.derive_otp(kpi.derive_counts(kpi.derive_means(sums))))
-    return expect_or_drop(mart.select(*DISTANCE_KEYS, *_MEASURES, *_DERIVED, *_RATES), DISTANCE_RULES)
+    return mart.select(*DISTANCE_KEYS, *_MEASURES, *_DERIVED, *_RATES)
 
 
 def distances(located: DataFrame) -> DataFrame:
@@ -113,19 +113,29 @@ def distances(located: DataFrame) -> DataFrame:
 
 
 def mart_hourly(current: DataFrame) -> DataFrame:
-    return _finish_hourly(_sums(departure_hour(relevant_flights(current)), HOURLY_KEYS, bands=True))
+    sums = _sums(departure_hour(relevant_flights(current)), HOURLY_KEYS, bands=True)
+    return expect_or_drop(_finish_hourly(sums), HOURLY_RULES)
 
 
 def mart_route_daily(current: DataFrame) -> DataFrame:
-    return _finish_route(_sums(relevant_flights(current, ROUTE_KEYS), ROUTE_KEYS))
+    return expect_or_drop(_finish_route(_sums(relevant_flights(current, ROUTE_KEYS), ROUTE_KEYS)), ROUTE_RULES)
 
 
 def mart_distance_daily(current: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    return _finish_distance(_sums(relevant_flights(current), ROUTE_KEYS), airports, limit)
+    sums = _sums(relevant_flights(current), ROUTE_KEYS)
+    return expect_or_drop(_finish_distance(sums, airports, limit), DISTANCE_RULES)
 
 
-def marts_from_base(base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
-    """The three marts from stored ``kpi_base`` rows; equal to the three functions above on the flights."""
+# Table names of the marts, with their rules.
+MART_RULES = {
+    "departure_airport_hourly": HOURLY_RULES,
+    "route_daily_performance": ROUTE_RULES,
+    "airport_distance_category_daily_performance": DISTANCE_RULES,
+}
+
+
+def unchecked_marts(base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
+    """The three marts from stored ``kpi_base`` rows, before their rules."""
     base = base.where("is_relevant")
     known = base.where(" AND ".join(f"{c} IS NOT NULL" for c in ROUTE_KEYS))
     return {
@@ -133,3 +143,17 @@ def marts_from_base(base: DataFrame, airports: DataFrame, limit: int = BROADCAST
         "route_daily_performance": _finish_route(_rolled_up(known, ROUTE_KEYS)),
         "airport_distance_category_daily_performance": _finish_distance(_rolled_up(base, ROUTE_KEYS), airports, limit),
     }
+
+
+def marts_from_base(base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
+    """The three marts; equal to the three functions above on the flights."""
+    marts = unchecked_marts(base, airports, limit)
+    return {name: expect_or_drop(mart, MART_RULES[name]) for name, mart in marts.items()}
+
+
+def mart_rule_metrics(unchecked: dict[str, DataFrame]) -> DataFrame:
+    """Passed, failed and dropped rows of every rule of every mart."""
+    counted = [
+        rule_metrics(mart, MART_RULES[name]).withColumn("mart", F.lit(name)) for name, mart in unchecked.items()
+    ]
+    return reduce(DataFrame.unionByName, counted).select("mart", "rule", "passed", "failed", "rows_dropped")

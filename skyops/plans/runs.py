@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skyops.layout import Layout
-from skyops.operators import cdc, reference
+from skyops.operators import cdc, quality, reference
 from skyops.plans import audits, marts
 from skyops.sources import landing, tables
 from skyops.specs import ENTITIES, EntitySpec
@@ -25,6 +25,7 @@ def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard:
         reference.quarantined_reference(staged, spec), layout.silver(f"{spec.name}_quarantine"),
         options=tables.PAGE_TEXT_OPTIONS,
     )
+    tables.replace_table(quality.rule_metrics(staged, spec.rules), layout.silver(f"{spec.name}_rule_metrics"))
     snapshot = tables.replace_table(
         reference.valid_snapshot(staged, spec), layout.silver(f"{spec.name}_snapshot_valid")
     )
@@ -52,9 +53,12 @@ def run_operational(spark: SparkSession, layout: Layout, options: dict | None =
         raise RuntimeError("no current airports: the distance mart needs them, run the reference data first")
     bronze.ingest_flights(spark, layout, options)
     silver.update_flights(spark, layout)
-    base = spark.read.parquet(layout.gold("kpi_base"))
-    built = marts.marts_from_base(base, tables.read_table(spark, airports))
-    return {name: tables.replace_table(mart, layout.gold(name)) for name, mart in built.items()}
+    built = marts.unchecked_marts(spark.read.parquet(layout.gold("kpi_base")), tables.read_table(spark, airports))
+    tables.replace_table(marts.mart_rule_metrics(built), layout.gold("rule_metrics"))
+    return {
+        name: tables.replace_table(quality.expect_or_drop(mart, marts.MART_RULES[name]), layout.gold(name))
+        for name, mart in built.items()
+    }
 
 
 def run_all(spark: SparkSession, layout: Layout, guard: bool = False) -> dict[str, DataFrame]:

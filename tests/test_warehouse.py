@@ -197,6 +197,10 @@ def test_flights_from_files_to_marts(spark, layout):
     # Nothing new: nothing changes.
     third = runs.run_operational(spark, layout)
     assert all(same(second[name], third[name]) for name in second)
+    metrics = tables.read_table(spark, layout.gold("rule_metrics"))
+    assert metrics.count() == 6 + 10 + 8 and metrics.where("failed > 0").count() == 0
+    of_airports = tables.read_table(spark, layout.silver("airports_rule_metrics")).collect()
+    assert [(r.passed, r.failed) for r in of_airports] == [(3, 0)] * 4
     dropped = spark.read.parquet(layout.silver("flight_status_rule_metrics")).agg(F.max("rows_dropped")).first()[0]
     assert dropped == 4
 
