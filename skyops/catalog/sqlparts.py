@@ -33,7 +33,6 @@ _SANE = "departure_otp_15_pct BETWEEN 0 AND 1 AND arrival_otp_15_pct BETWEEN 0 A
 _NOT_NEGATIVE = """total_flights >= 0 AND cancelled_flights >= 0 AND route_disrupted_flights >= 0
  AND operated_flights >= 0 AND operated_as_planned_flights >= 0"""
 
-PHI = "radians(d.latitude)", "radians(a.latitude)"
 KM = """2 * 6371.0 * asin(sqrt(least(1.0, power(sin((radians(a.latitude) - radians(d.latitude)) / 2), 2)
  + cos(radians(d.latitude)) * cos(radians(a.latitude)) * power(sin((radians(a.longitude) - radians(d.longitude)) / 2), 2))))"""
 CATEGORY = "CASE WHEN km < 1500 THEN 'short_haul' WHEN km < 3500 THEN 'medium_haul' WHEN km >= 3500 THEN 'long_haul' END"

@@ -1,10 +1,10 @@
 """Bronze flights to quarantine, change log, version history, current flights and mart sums.
 
 The change log is the truth: inside each flight date every micro-batch owns one folder, so a replayed batch replaces its
-own rows, and the updates of a date are found without listing those of other dates. Everything behind the log is a pure function of it, recomputed for the flight dates that the batch
-touches. A flight's key contains its date, so all versions of a flight live in one date, late and out-of-order updates
-need no special case, and the cost of a batch follows the few dates it touches rather than the length of the history.
-No step reads a table it writes.
+own rows, and the updates of a date are found without listing those of other dates. Everything behind the log is a pure
+function of it, recomputed for the flight dates that the batch touches. A flight's key contains its date, so all versions
+of a flight live in one date, late and out-of-order updates need no special case, and the cost of a batch follows the few
+dates it touches rather than the length of the history. No step reads a table it writes.
 """
 
 from __future__ import annotations
@@ -25,17 +25,19 @@ DATE = "flight_date"
 # Touched dates are read one by one up to this many; beyond that all dates are recomputed.
 _MAX_LISTED = 1000
 
-
 BRONZE = landing.bronze_schema(landing.FLIGHT_PARTITIONS)
 
 
-def _touched(rows: DataFrame, column: str) -> list | None:
-    """Distinct values of ``column``, or None when they are too many to list."""
-    found = [r[0] for r in rows.select(column).distinct().take(_MAX_LISTED + 1)]
+def _touched(rows: DataFrame, column: str) -> list[str] | None:
+    """Distinct dates of ``column`` as their folders name them, or None when they are too many to list."""
+    name = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    found = [r[0] for r in rows.select(name).distinct().take(_MAX_LISTED + 1)]
     return found if len(found) <= _MAX_LISTED else None
 
 
-def read_dates(spark: SparkSession, path: str, schema: T.StructType, column: str, dates: list | None) -> DataFrame:
+def read_dates(
+    spark: SparkSession, path: str, schema: T.StructType, column: str, dates: list[str] | None
+) -> DataFrame:
     """Rows of a table partitioned by a date column, for the given dates (None: all). Only their folders are listed."""
     folders = [path] if dates is None else [f"{path}/{column}={day}" for day in dates]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
@@ -54,7 +56,7 @@ def _batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
 def scd2_apply(
     changes: DataFrame, batch_id: int, log: str, history: str, keys: Sequence[str], sequence: str,
     tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str = DATE,
-) -> list | None:
+) -> list[str] | None:
     """Add a batch to the change log and bring the history partitions it touches up to date.
 
     ``partition`` is a date column that the key determines. Returns the touched dates (None: too many to list).
@@ -102,7 +104,7 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
     return process
 
 
-def refresh_current(spark: SparkSession, layout: Layout, dates: list | None) -> None:
+def refresh_current(spark: SparkSession, layout: Layout, dates: list[str] | None) -> None:
     """Current flights and their mart sums for some dates."""
     schema = flights.HISTORY_SCHEMA
     history = read_dates(spark, layout.silver("flight_status_history"), schema, DATE, dates)
