@@ -28,7 +28,7 @@ def _rows(arrow) -> tuple[list[str], list[str], Counter]:
 def difference(spark, con, query, sql: str, sf_dir: str) -> str | None:
     """None when both sides agree on column names, types and the bag of rows."""
     got_names, got_kinds, got = _rows(query(spark, sf_dir).toArrow())
-    want_names, want_kinds, want = _rows(con.execute(sql).to_arrow_table())
+    want_names, want_kinds, want = _rows(con.sql(sql).to_arrow_table())
     if got_names != want_names:
         return f"columns {got_names} vs {want_names}"
     if got_kinds != want_kinds:
