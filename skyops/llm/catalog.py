@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyops.llm import chat, mixing, simhash, token_counts, url_rules, warc
+from skyops.llm import chat, decontaminate, katz, line_dedup, mixing, quality, simhash, token_counts, url_rules, warc
 from skyops.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +25,21 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return deduped.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"), n=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.katz_scores(read(spark, sf_dir, "documents"), held_out)
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "warc-archives")
     warc.write_archives(read(spark, sf_dir, "pages"), path)
@@ -47,25 +57,91 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), PIECES)
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality.measured(docs, quality.fit_lines(docs, read(spark, sf_dir, "labels")))
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "n_rules")
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.perspectives(read(spark, sf_dir, "conversations"))
+    """The mask as text: start+length of each span."""
+    rendered = chat.perspectives(read(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws("+", m["start"].cast("string"), m["length"].cast("string")))
+    return rendered.withColumn("mask", F.array_join(spans, ","))
 
 
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
+    "op2_line_dedup": op2_line_dedup,
     "op3_simhash": op3_simhash,
+    "op4_katz": op4_katz,
     "op5_warc": op5_warc,
     "op6_token_counts": op6_token_counts,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_quality": op8_quality,
     "op9_url_rules": op9_url_rules,
     "op10_chat": op10_chat,
 }
 
+_LINES = r"""
+raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS line_no FROM raw),
+w AS (SELECT doc_id, line_no, line, list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
+e AS (SELECT doc_id, line_no, ws, array_to_string(ws, ' ') AS norm, len(ws) AS n FROM w WHERE len(ws) >= 5),
+f AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, line_no) AS copy FROM e),
+d AS (SELECT * FROM f WHERE copy = 1 AND n >= 10),
+v AS (SELECT doc_id, line_no, i, array_to_string(ws[1:i - 1] || ws[i + 1:n], ' ') AS rest
+ FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d) x),
+s AS (SELECT doc_id, line_no, row_number() OVER (PARTITION BY rest, i ORDER BY doc_id, line_no) AS k FROM v),
+o AS (SELECT v.doc_id AS a_id, v.line_no AS a_no, d.doc_id AS b_id, d.line_no AS b_no FROM v JOIN d ON v.rest = d.norm),
+gone AS (
+ SELECT doc_id, line_no FROM f WHERE copy > 1 UNION SELECT doc_id, line_no FROM s WHERE k > 1
+ UNION SELECT a_id, a_no FROM o WHERE b_id < a_id OR b_id = a_id AND b_no < a_no
+ UNION SELECT b_id, b_no FROM o WHERE a_id < b_id OR a_id = b_id AND a_no < b_no)
+"""
+
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": f"""
+        WITH {_LINES}, k AS (
+            SELECT l.doc_id, count(g.doc_id) AS n_dropped,
+                string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.doc_id IS NULL) AS kept
+            FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line_no = g.line_no GROUP BY l.doc_id
+        )
+        SELECT raw.doc_id, coalesce(len(ls), 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+            CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text
+        FROM raw LEFT JOIN k ON raw.doc_id = k.doc_id
+    """,
+    "op10_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '<\|') AS speaker,
+                replace(coalesce(text, ''), '<|', '<\|') AS body FROM conversations
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, body) - 1 AS rank FROM t
+        ), s AS (
+            SELECT conv_id, rank, rank // 256 AS stretch, speaker, body || '<|end|>' || chr(10) AS body FROM r
+        ), p AS (
+            SELECT DISTINCT conv_id, stretch, speaker AS me FROM s
+        ), j AS (
+            SELECT s.*, me, speaker = me AS own,
+                CASE WHEN speaker = me THEN '<|assistant|>' ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
+            FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.stretch = p.stretch
+        ), a AS (
+            SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, stretch, me ORDER BY rank) - length(body) AS at FROM j
+        )
+        SELECT conv_id, stretch, me AS speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+            string_agg(head || body, '' ORDER BY rank) AS rendered,
+            string_agg(at::BIGINT::VARCHAR || '+' || length(body)::VARCHAR, ',' ORDER BY rank) FILTER (WHERE own) AS mask
+        FROM a GROUP BY conv_id, stretch, me
+    """,
     "op5_warc": """
         WITH p AS (
             SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages

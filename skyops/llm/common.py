@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,3 +75,12 @@ def split_words(texts: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray]:
     real = np.asarray(pc.not_equal(words, ""))
     kept = np.concatenate(([0], np.cumsum(real)))
     return words.filter(pa.array(real)), kept[offsets]
+
+
+def hash_texts(texts: pa.Array, seed: int) -> np.ndarray:
+    """Unsigned XXH64 of the UTF-8 bytes of each text."""
+    texts = texts.cast(pa.large_binary())
+    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
+    data = (texts.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(data[a:b], seed) for a, b in zip(offsets, offsets[1:])), np.uint64, len(texts))

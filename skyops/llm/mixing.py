@@ -76,8 +76,8 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list
             more = min(counts[i] - taken[i], left // sizes[i], -(-(left - _REMAINDER) // sizes[i]))
             taken[i] += more
             left -= more * sizes[i]
-    smallest = min((sizes[i] for i in order if taken[i] < counts[i]), default=0)
-    limit = min(left + smallest, _TABLE)
+    # Nothing beyond twice the rest comes nearer to it than taking nothing more.
+    limit = min(2 * left, _TABLE)
     # last[s]: the item that first reached the sum s; items are halving multiples of one length, each usable once.
     last = np.full(limit + 1, -1, dtype=np.int32)
     reached = np.zeros(limit + 1, dtype=bool)

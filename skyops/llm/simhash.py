@@ -7,11 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.llm.common import split_words, stored, text_slices
+from skyops.llm.common import hash_texts, split_words, stored, text_slices
 from skyops.llm.components import components
 
 HASH_SEED = 42
@@ -21,14 +20,6 @@ BUCKET = 64
 _SHINGLE_STEP = 1 << 18
 
 
-def _hashes(texts: pa.Array) -> np.ndarray:
-    texts = texts.cast(pa.large_binary())
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1].tolist()
-    data = (texts.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
-    seeded = xxhash.xxh64_intdigest
-    return np.fromiter((seeded(data[a:b], HASH_SEED) for a, b in zip(offsets, offsets[1:])), np.uint64, len(texts))
-
-
 def _shingle_hashes(words: pa.Array, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles and, for each text, how many it has. A text of fewer words is one shingle."""
     per_text = np.diff(starts)
@@ -38,11 +29,12 @@ def _shingle_hashes(words: pa.Array, starts: np.ndarray, n: int) -> tuple[np.nda
     out = np.empty(len(first), dtype=np.uint64)
     at = np.flatnonzero(~short)
     for part in np.array_split(at, max(1, -(-len(at) // _SHINGLE_STEP))):
-        out[part] = _hashes(pc.binary_join_element_wise(*[words.take(pa.array(first[part] + i)) for i in range(n)], " "))
+        shingles = pc.binary_join_element_wise(*[words.take(pa.array(first[part] + i)) for i in range(n)], " ")
+        out[part] = hash_texts(shingles, HASH_SEED)
     if short.any():
         texts = np.repeat(np.arange(len(per_text)), counts)[short]
         joined = [" ".join(words.slice(starts[t], per_text[t]).to_pylist()) for t in texts]
-        out[short] = _hashes(pa.array(joined, pa.string()))
+        out[short] = hash_texts(pa.array(joined, pa.string()), HASH_SEED)
     return out, counts
 
 
