@@ -420,7 +420,7 @@ def _finish(unigrams: Unigrams, pair_discounts: np.ndarray, hot_gain: np.ndarray
         ids, no_id, held, sizes, logs, beyond, lost, known, *rest = unpack(blobs[kinds.index("docs")])
         few, (doc, hot) = rest[:MAX_DISCOUNTED], rest[MAX_DISCOUNTED:]
         n = len(ids)
-        gain = np.bincount(doc.astype(np.int64), weights=hot_gain[hot.astype(np.int64)], minlength=n)
+        gain = np.bincount(doc.astype(np.int64), weights=hot_gain[hot.astype(np.int64)], minlength=n).astype(float)
         for kind, blob in zip(kinds, blobs):
             if kind == "gain":
                 docs, added = unpack(blob)
