@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.llm.common import SPACES, ascii_lower, sized, stored, text_hash
+from skyops.llm.common import BROADCAST_BYTES, SPACES, ascii_lower, stored, text_hash
+from skyops.operators.skew import is_small
 
 # Shorter lines (list marks, captions, rows of tables) are left alone; lines from EDIT_WORDS words may differ by one word.
 MIN_WORDS = 5
@@ -106,8 +107,8 @@ def _marks(places: DataFrame) -> DataFrame:
     before = F.concat(F.array(F.lit(-1)), F.slice("nos", F.lit(1), F.size("nos") - 1))
     parts = F.zip_with("nos", before, lambda n, b: F.concat(F.repeat(F.lit("0"), n - b - 1), F.lit("1")))
     marks = F.array_join(parts, "").cast("binary").alias("_marks")
-    made = numbers.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), marks)
-    return F.broadcast(made) if sized(places) is not places else made
+    made = stored(numbers.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), marks), "lines-marks")
+    return F.broadcast(made) if is_small(made.withColumn("_marks", F.col("_marks").cast("string")), BROADCAST_BYTES) else made
 
 
 def _marked(line_no: Column) -> Column:
