@@ -23,7 +23,8 @@ def _normal(line: Column) -> Column:
 
 
 def _flat(text: Column) -> Column:
-    return ascii_lower(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "))
+    # Single blanks, nearly all there are, stay as they are.
+    return ascii_lower(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " "))
 
 
 def _word_count(normal: Column) -> Column:
@@ -42,8 +43,9 @@ def eligible_lines(docs: DataFrame, min_words: int, edit_words: int) -> DataFram
     half = lambda n, side: F.xxhash64(
         F.lit(side), n, F.call_function("substring_index", F.col("line"), F.lit(" "), n * side)
     )
-    shorter, longer = F.floor((F.col("words") - 1) / 2).cast("int"), F.floor(F.col("words") / 2).cast("int")
-    halves = F.array_distinct(F.array(half(shorter, 1), half(shorter, -1), half(longer, 1), half(longer, -1)))
+    longer = F.floor(F.col("words") / 2).cast("int")
+    own, less = [half(longer, 1), half(longer, -1)], [half(longer - 1, 1), half(longer - 1, -1)]
+    halves = F.array_distinct(F.when(F.col("words") % 2 == 1, F.array(*own)).otherwise(F.array(*own, *less)))
     return normal.where(F.col("words") >= min_words).select(
         *_AT, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"), "words",
         F.when(F.col("words") >= edit_words, halves).alias("halves"),
