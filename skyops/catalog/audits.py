@@ -11,6 +11,7 @@ from skyops.operators import flights
 from skyops.plans import audits, reports
 from skyops.session import workspace
 from skyops.sources import landing, logs, tables
+from skyops.specs import ENTITIES
 
 _LOG = fixtures.ansi_sql("ingest_log")
 
@@ -75,6 +76,23 @@ def landing_completeness(spark, sf_dir):
     return audits.landing_completeness(pages.where(~lost), flights.RESOURCE)
 
 
+@register(f"""
+SELECT run_id, CAST(count(DISTINCT source_file_path) FILTER (WHERE NOT lost) AS BIGINT) AS pages_landed, CAST(count(*) AS INT) AS total_count,
+ CAST(greatest(1, ceil(count(*) / 100.0)) AS BIGINT) AS pages_expected,
+ count(DISTINCT source_file_path) FILTER (WHERE NOT lost) >= greatest(1, ceil(count(*) / 100.0)) AS is_complete
+FROM (SELECT *, run_id LIKE '2024-02%' AND source_file_path <> 'page=0.json' AS lost FROM ({fixtures.ansi_sql("countries_snapshots")}) c) x
+GROUP BY run_id
+""")
+def landing_completeness_reference(spark, sf_dir):
+    """Countries; of the second run only the first page has landed."""
+    pages = fixtures.reference_bronze(spark, sf_dir, "countries")
+    lost = F.col("run_id").startswith("2024-02") & (F.col("_source_file_path") != "page=0.json")
+    spec = ENTITIES["countries"]
+    return audits.landing_completeness(
+        pages.where(~lost), spec.resource, audits.REFERENCE_REQUEST, audits.REFERENCE_PAGE_SIZE
+    )
+
+
 @register(f"""
 WITH cells AS ({fixtures.ansi_sql("landed_cells")}),
 offsets AS (SELECT 'departures' AS direction, unnest([24, 20, 16, 12, 8, 4, 0, -4]) AS hours
@@ -91,17 +109,15 @@ def coverage_audit(spark, sf_dir):
     return audits.coverage_audit(runs, landed)
 
 
-# Flights per landed file here: more than the 50 of a real page, to land fewer files.
-LANDED_PAGE_SIZE = 200
 _LANDED = f"""
 SELECT 'departures' AS direction, airport, '2024-01-12' AS date, {_RUN} || '-00' AS window_start, {_RUN} || '-00-00Z' AS run_id,
- count(*) AS pages, CAST(sum(rows) AS BIGINT) AS flights FROM ({_PAGES.replace("1250", str(25 * LANDED_PAGE_SIZE))}) p GROUP BY version, airport
+ count(*) AS pages, CAST(sum(rows) AS BIGINT) AS flights FROM ({_PAGES}) p GROUP BY version, airport
 """
 
 
 def land_flights(spark, sf_dir, root: str, versions=(0, 1, 2)) -> None:
     """Land the fixture pages of some versions, one run after the other; the file times then follow the versions."""
-    pages = fixtures.flight_pages(spark, sf_dir, page_size=LANDED_PAGE_SIZE)
+    pages = fixtures.flight_pages(spark, sf_dir)
     for version in versions:
         landing.write_landing(pages.where(F.col("version") == version), root, landing.FLIGHT_FOLDER)
 

@@ -28,30 +28,60 @@ def flight_keys(spark, sf_dir):
     return _updates(spark, sf_dir).select("update_id", flights.KEY)
 
 
-_STAGED = [
-    "flight_instance_hash_key", "flight_date", "operating_airline_id", "operating_flight_number", "departure_airport_code",
-    "arrival_airport_code", "scheduled_departure_local_ts", "scheduled_departure_utc_ts", "flight_status_code",
-    "departure_delay_minutes", "arrival_delay_minutes", "has_missing_status", "is_landed", "is_cancelled", "is_diverted",
-    "is_rerouted", "requested_direction", "requested_airport", "requested_window_start",
-]
+def _times_sql(end: str, due: str) -> str:
+    happened = f"{due} + INTERVAL 1 MINUTE * {end}_delay_minutes"
+    return f"""CAST({due} AS VARCHAR) AS scheduled_{end}_local_ts, CAST({due} AS VARCHAR) AS scheduled_{end}_utc_ts,
+ CAST({happened} + INTERVAL 60 MINUTE AS VARCHAR) AS actual_{end}_local_ts, CAST({happened} AS VARCHAR) AS actual_{end}_utc_ts"""
+
+
+_HOUR = "lpad(CAST(version * 4 AS VARCHAR), 2, '0')"
 _STAGED_SQL = f"""
 SELECT update_id, flight_instance_hash_key, CAST(flight_date AS VARCHAR) AS flight_date, operating_airline_id,
- operating_flight_number, departure_airport_code, arrival_airport_code,
- CAST(scheduled_departure_utc_ts AS VARCHAR) AS scheduled_departure_local_ts,
- CAST(scheduled_departure_utc_ts AS VARCHAR) AS scheduled_departure_utc_ts, flight_status_code,
- departure_delay_minutes, arrival_delay_minutes, flight_status_code IS NULL AS has_missing_status,
+ operating_flight_number, departure_airport_code, arrival_airport_code, {", ".join(fixtures.PLAIN_FIELDS)},
+ {_times_sql("departure", "scheduled_departure_utc_ts")},
+ {_times_sql("arrival", "(scheduled_departure_utc_ts + INTERVAL 120 MINUTE)")},
+ flight_status_code, departure_delay_minutes, arrival_delay_minutes, flight_status_code IS NULL AS has_missing_status,
  coalesce(flight_status_code = 'LD', FALSE) AS is_landed, coalesce(flight_status_code = 'CD', FALSE) AS is_cancelled,
  coalesce(flight_status_code = 'DV', FALSE) AS is_diverted, coalesce(flight_status_code = 'RT', FALSE) AS is_rerouted,
- 'departures' AS requested_direction, departure_airport_code AS requested_airport,
- '2024-01-12T' || lpad(CAST(version * 4 AS VARCHAR), 2, '0') || ':00' AS requested_window_start
+ 'departures' AS requested_direction, departure_airport_code AS requested_airport, '2024-01-12' AS requested_date,
+ '2024-01-12T' || {_HOUR} || ':00' AS requested_window_start,
+ CAST(TIMESTAMP '2024-01-12 00:00:00' + INTERVAL 4 HOUR * version AS VARCHAR) AS sequence_ts
 FROM ({s.UPDATES}) u
 """
 
 
 @register(f"SELECT * EXCLUDE (update_id) FROM ({_STAGED_SQL}) x")
 def envelope_parse(spark, sf_dir):
-    """Fixture rows to JSON pages of 50 and back."""
-    return _staged(spark, sf_dir).select(*_STAGED)
+    """Fixture rows to JSON pages of 50 and back, every staged column."""
+    return _staged(spark, sf_dir).select(*flights.STAGED)
+
+
+@register(f"""
+WITH u AS (SELECT *, (version + CAST(substr(departure_airport_code, 2) AS INT)) % 5 AS broken, (update_id // 3) // 1250 AS page
+ FROM ({s.UPDATES}) x)
+SELECT departure_airport_code AS requested_airport, '2024-01-12T' || {_HOUR} || ':00' AS requested_window_start, broken,
+ CASE WHEN broken > 2 THEN count(*) ELSE count(DISTINCT page) END AS records,
+ CASE WHEN broken > 2 THEN count(operating_flight_number) ELSE 0 END AS numbers
+FROM u GROUP BY departure_airport_code, version, broken
+""")
+def malformed_pages(spark, sf_dir):
+    """Of five kinds of pages one is cut off, one has an empty list and one a text where records should be. Each of
+    these counts as one empty record."""
+    pages = fixtures.flight_bronze(spark, sf_dir)
+    hour, airport = F.substring("window_start", 12, 2).cast("int"), F.substring("airport", 2, 2).cast("int")
+    broken = (F.floor(hour / 4) + airport) % 5
+    resource = '{"FlightStatusResource":{"Flights":{"Flight":%s}}}'
+    body = (
+        F.when(broken == 0, F.expr("substring(raw_json, 1, length(raw_json) DIV 2)"))
+        .when(broken == 1, F.lit(resource % "[]")).when(broken == 2, F.lit(resource % '"none"')).otherwise(F.col("raw_json"))
+    )
+    staged = flights.stage_flights(pages.withColumn("raw_json", body))
+    hour, airport = F.substring("requested_window_start", 12, 2).cast("int"), F.substring("requested_airport", 2, 2).cast("int")
+    return staged.groupBy(
+        "requested_airport", "requested_window_start", ((F.floor(hour / 4) + airport) % 5).cast("int").alias("broken")
+    ).agg(
+        F.count(F.lit(1)).alias("records"), F.count("operating_flight_number").alias("numbers")
+    )
 
 
 @register(f"""
@@ -89,10 +119,13 @@ def quarantine_summary(spark, sf_dir):
 
 
 @register(f"""
-SELECT * EXCLUDE (update_id) FROM ({_STAGED_SQL}) x WHERE update_id IN (SELECT update_id FROM ({s.VALID}) v)
+SELECT * EXCLUDE (update_id), replace(requested_window_start, ':00', ':00:00Z') AS run_id,
+ concat_ws('/', replace(requested_window_start, ':00', ':00:00Z'), requested_airport, 'page=' || CAST((update_id // 3) // 1250 AS VARCHAR) || '.json')
+  AS _source_file_path, sequence_ts AS _source_file_modification_time
+FROM ({_STAGED_SQL}) x WHERE update_id IN (SELECT update_id FROM ({s.VALID}) v)
 """)
 def valid_feed(spark, sf_dir):
-    return flights.cdc_feed(_staged(spark, sf_dir)).select(*_STAGED)
+    return flights.cdc_feed(_staged(spark, sf_dir))
 
 
 @register(f"""

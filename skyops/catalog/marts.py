@@ -45,7 +45,7 @@ def _register_from_base(mart: str, sql: str, rates: bool) -> None:
     @register(s.rounded(sql, rates), f"base_{mart}")
     def from_base(spark, sf_dir):
         base = marts.kpi_base(fixtures.flights_wide(spark, sf_dir))
-        return marts.marts_from_base(base, _airports(spark, sf_dir))[mart]
+        return marts.mart_from_base(mart, base, _airports(spark, sf_dir))
 
 
 for _mart, (_sql, _rates) in _FROM_BASE.items():
@@ -85,7 +85,8 @@ FROM (UNPIVOT ({counted}) ON {", ".join(fails)} INTO NAME rule VALUE failed) u""
 @register("\nUNION ALL\n".join(_fails_sql(mart, *checked) for mart, checked in _FAILS.items()))
 def mart_rule_metrics(spark, sf_dir):
     base = marts.kpi_base(fixtures.flights_wide(spark, sf_dir))
-    return marts.mart_rule_metrics(marts.unchecked_marts(base, _airports(spark, sf_dir)))
+    airports = _airports(spark, sf_dir)
+    return marts.mart_rule_metrics({name: marts.unchecked_mart(name, base, airports) for name in marts.MART_RULES})
 
 
 _ROW = ["operating_airline_id", "departure_airport_code", "arrival_airport_code", "flight_date", "scheduled_departure_local_ts"]
@@ -179,6 +180,17 @@ def airport_lookup_unbounded(spark, sf_dir):
     return lookup.with_coordinates(flights, _airports(spark, sf_dir), limit=0, hot_rows=2000).select(*_ROW, *_COORDINATES)
 
 
+@register(f"SELECT {_ROW_SQL}, {', '.join(c for c in _COORDINATES if c.startswith('dep'))} FROM ({s.located(s.FLAGGED, s.AIRPORTS)}) l")
+def lookup_mixed_types(spark, sf_dir):
+    """Airport numbers, INT in flights and BIGINT in the dimension, the busier ones hot."""
+    number = F.substring("departure_airport_code", 2, 2).cast("int")
+    flights = fixtures.flights_wide(spark, sf_dir).select(*_ROW, number.alias("number"))
+    airports = _airports(spark, sf_dir).withColumn("number", F.substring("airport_code", 2, 2).cast("long"))
+    names = {"latitude": "dep_latitude", "longitude": "dep_longitude"}
+    found = lookup.left_lookup(flights, airports, "number", "number", names, small=False, hot_rows=240)
+    return found.select(*_ROW, *names.values())
+
+
 # --- reports; marts are the ones checked above
 
 
@@ -197,6 +209,11 @@ _OTP = """round(CASE WHEN sum(operated_as_planned_flights) > 0 THEN sum(on_time_
  / sum(operated_as_planned_flights) ELSE 0.0 END, 6)"""
 
 
+def _exact(rounded: str) -> str:
+    """The value before rounding, by which reports rank."""
+    return rounded.removeprefix("round(").removesuffix(", 6)")
+
+
 def _big(name: str, alias: str | None = None) -> str:
     return f"CAST(sum({name}) AS BIGINT) AS {alias or name}"
 
@@ -261,14 +278,18 @@ def distance_compare(spark, sf_dir):
 
 
 _over_route(reports.top_routes_delay, f"""
-SELECT route, {_DELAY} AS avg_departure_delay_minutes FROM ({s.ROUTE}) r GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
+SELECT route, {_DELAY} AS avg_departure_delay_minutes FROM ({s.ROUTE}) r GROUP BY 1 ORDER BY {_exact(_DELAY)} DESC, 1 LIMIT 10
 """)
 _over_route(reports.top_routes_otp, f"""
-SELECT route, {_OTP} AS departure_otp_15_pct FROM ({s.ROUTE}) r GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
+SELECT route, {_OTP} AS departure_otp_15_pct FROM ({s.ROUTE}) r GROUP BY 1 ORDER BY {_exact(_OTP)} DESC, 1 LIMIT 10
 """)
 _over_route(reports.top_routes_volume, f"""
 SELECT route, {_big("total_flights")} FROM ({s.ROUTE}) r GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """)
+_over_route(reports.top_routes_cancellation, f"""
+SELECT route, round(sum(cancelled_flights) / sum(total_flights), 6) AS cancellation_rate FROM ({s.ROUTE}) r
+GROUP BY 1 ORDER BY sum(cancelled_flights) / sum(total_flights) DESC, 1 LIMIT 10
+""")
 _over_route(reports.route_detail, f"""
 SELECT route, {", ".join(_big(c) for c in (
     "total_flights", "cancelled_flights", "route_disrupted_flights", "operated_flights", "operated_as_planned_flights",

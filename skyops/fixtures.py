@@ -1,7 +1,7 @@
 """Flight-like tables derived from the supplied test tables.
 
-Each derivation is one SQL text that both engines run; ``{ts}`` is the only difference (the keyword of a zone-free
-timestamp literal). ``spark_table`` runs it here, ``ansi_sql`` gives it to the checking engine.
+Each derivation is one SQL text that both engines run, but for the words in ``_SPARK`` and ``_ANSI``. ``spark_table`` runs it
+here, ``ansi_sql`` gives it to the checking engine.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from skyops.functions.times import window_label
 from skyops.operators import flights
-from skyops.sources import tables
 from skyops.specs import ENTITIES
 
 FLIGHTS_WIDE = """
@@ -38,6 +37,13 @@ SELECT concat('N', lpad(CAST(n_nationkey AS STRING), 2, '0')) AS airport_code, n
 FROM {nation} WHERE n_nationkey <> 24
 """
 
+# Record fields that no rule or key reads; they pass through unchanged.
+PLAIN_FIELDS = (
+    "marketing_airline_id", "marketing_flight_number", "departure_time_status_code", "departure_time_status_definition",
+    "departure_terminal_name", "departure_gate", "arrival_time_status_code", "arrival_time_status_definition", "aircraft_code",
+    "aircraft_registration", "flight_status_definition", "service_type",
+)
+
 FLIGHT_UPDATES = """
 SELECT o_orderkey AS update_id, v AS version,
  CASE WHEN g % 41 = 0 THEN NULL WHEN g % 43 = 0 THEN '   ' ELSE concat('A', CAST(g % 12 AS STRING)) END AS operating_airline_id,
@@ -49,49 +55,56 @@ SELECT o_orderkey AS update_id, v AS version,
  CASE WHEN v < 2 OR g % 20 IN (0, 4) THEN NULL ELSE CAST((g * 11) % 220 AS INT) - 50 END AS arrival_delay_minutes,
  CASE WHEN v = 0 THEN CASE WHEN g % 5 = 0 THEN NULL ELSE 'EX' END WHEN v = 1 THEN 'DP'
   ELSE CASE g % 20 WHEN 0 THEN 'CD' WHEN 1 THEN 'DV' WHEN 2 THEN 'RT' WHEN 4 THEN 'DP' ELSE 'LD' END END AS flight_status_code,
- {ts} '2024-01-12 00:00:00' + INTERVAL '1' MINUTE * CAST(v * 240 + g % 240 AS INT) AS sequence_ts
+ {ts} '2024-01-12 00:00:00' + INTERVAL '1' MINUTE * CAST(v * 240 + g % 240 AS INT) AS sequence_ts,
+ CASE WHEN g % 8 = 0 THEN NULL ELSE concat('M', CAST(g % 9 AS STRING)) END AS marketing_airline_id,
+ CAST(g % 1000 AS STRING) AS marketing_flight_number,
+ concat('T', CAST(v AS STRING)) AS departure_time_status_code,
+ CASE v WHEN 0 THEN 'No status' WHEN 1 THEN 'On time' ELSE 'Delayed' END AS departure_time_status_definition,
+ CASE WHEN v > 0 THEN CAST(g % 3 + 1 AS STRING) END AS departure_terminal_name,
+ CASE WHEN g % 6 <> 0 THEN concat('G', CAST(g % 60 AS STRING)) END AS departure_gate,
+ concat('U', CAST(g % 4 AS STRING)) AS arrival_time_status_code, concat('arrival ', CAST(g % 4 AS STRING)) AS arrival_time_status_definition,
+ CAST(g % 90 + 300 AS STRING) AS aircraft_code, concat('D-', CAST(g % 500 AS STRING)) AS aircraft_registration,
+ CASE WHEN g % 5 <> 0 THEN concat('status ', CAST(v AS STRING)) END AS flight_status_definition,
+ CASE WHEN g % 2 = 0 THEN 'Passenger' ELSE 'Cargo' END AS service_type
 FROM (SELECT o_orderkey, CAST(o_orderkey % 3 AS INT) AS v, CAST((o_orderkey - o_orderkey % 3) / 3 AS BIGINT) AS g FROM {orders}) b
 """
 
-_SNAPSHOT_RUNS = """(SELECT 1 AS n, '2024-01-01T10-05-00Z' AS run_id UNION ALL SELECT 2, '2024-02-01T10-05-00Z') r"""
-
 # Two full runs of each dimension; run 2 adds, drops and changes keys; with blanks, and duplicates in the first. A page
 # holds at most 100 records, however large the table.
-DIM_SNAPSHOTS = f"""
+DIM_SNAPSHOTS = """
 SELECT r.run_id, CASE WHEN c_custkey % 97 = 0 THEN '' ELSE concat(' c', CAST(c_custkey AS STRING), ' ') END AS airline_id_raw,
  concat('ic', CAST(c_custkey AS STRING)) AS airline_id_icao_raw,
  CASE WHEN c_custkey % 89 = 0 THEN NULL WHEN r.n = 2 AND c_custkey % 7 = 0 THEN concat(c_name, ' renamed') ELSE c_name END AS airline_name_raw,
  concat('copy=', CAST(d.copy AS STRING), '/page=', CAST(CAST((c_custkey - c_custkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
-FROM {{customer}} CROSS JOIN {_SNAPSHOT_RUNS}
- CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d
+FROM {customer} {runs} {copies}
 WHERE (r.n = 1 AND c_custkey % 10 <> 0 OR r.n = 2 AND c_custkey % 10 <> 1) AND (d.copy = 0 OR c_custkey % 11 = 0)
 """
 
-AIRCRAFT_SNAPSHOTS = f"""
+AIRCRAFT_SNAPSHOTS = """
 SELECT r.run_id, CASE WHEN p_partkey % 97 = 0 THEN '  ' ELSE concat('p', CAST(p_partkey AS STRING)) END AS aircraft_code_raw,
  CASE WHEN p_partkey % 83 = 0 THEN NULL ELSE concat(' ', p_name) END AS aircraft_name_raw, lower(p_brand) AS airline_equip_code_raw,
  concat('page=', CAST(CAST((p_partkey - p_partkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
-FROM {{part}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE p_partkey % 10 <> r.n
+FROM {part} {runs} WHERE p_partkey % 10 <> r.n
 """
 
-CITY_SNAPSHOTS = f"""
+CITY_SNAPSHOTS = """
 SELECT r.run_id, CASE WHEN s_suppkey % 31 = 0 THEN NULL ELSE concat('s', CAST(s_suppkey AS STRING)) END AS city_code_raw,
  CASE WHEN s_suppkey % 37 = 0 THEN '' ELSE concat('n', CAST(s_nationkey AS STRING)) END AS country_code_raw,
  CASE WHEN s_suppkey % 41 = 0 THEN ' ' ELSE concat(s_name, ' ') END AS city_name_raw,
  '+01:00' AS utc_offset_raw, concat('Zone/', CAST(s_nationkey AS STRING)) AS time_zone_id_raw,
  concat('page=', CAST(CAST((s_suppkey - s_suppkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
-FROM {{supplier}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE s_suppkey % 10 <> r.n
+FROM {supplier} {runs} WHERE s_suppkey % 10 <> r.n
 """
 
-COUNTRY_SNAPSHOTS = f"""
+COUNTRY_SNAPSHOTS = """
 SELECT r.run_id, concat(' k', CAST(c_custkey AS STRING)) AS country_code_raw,
  CASE WHEN c_custkey % 9 = 4 THEN '' ELSE concat(c_name, CASE WHEN r.n = 2 AND c_custkey % 4 = 0 THEN ' renamed' ELSE '' END) END AS country_name_raw,
  concat('page=', CAST(CAST((c_custkey - c_custkey % 100) / 100 AS BIGINT) AS STRING), '.json') AS source_file_path
-FROM {{customer}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE c_custkey % 10 <> r.n
+FROM {customer} {runs} WHERE c_custkey % 10 <> r.n
 """
 
 # The first 25 airports carry the codes that flights use. Airport 5 is alone on its page, which then holds a single object.
-AIRPORT_SNAPSHOTS = f"""
+AIRPORT_SNAPSHOTS = """
 SELECT r.run_id, CASE WHEN s_suppkey < 25 THEN concat('n', lpad(CAST(s_suppkey AS STRING), 2, '0'), ' ') ELSE concat('x', CAST(s_suppkey AS STRING)) END AS airport_code_raw,
  CASE WHEN s_suppkey % 19 = 4 THEN NULL ELSE concat(' ', s_name) END AS airport_name_raw,
  CASE WHEN s_suppkey % 23 = 7 THEN '' ELSE concat('c', CAST(s_suppkey AS STRING)) END AS city_code_raw,
@@ -99,7 +112,7 @@ SELECT r.run_id, CASE WHEN s_suppkey < 25 THEN concat('n', lpad(CAST(s_suppkey A
  CAST((s_suppkey % 25) * 5 - 60 AS DOUBLE) AS latitude_raw, CAST((s_suppkey % 25) * 7 - 80 AS DOUBLE) AS longitude_raw,
  'Airport' AS location_type_raw, '+01:00' AS utc_offset_raw, concat('Zone/', CAST(s_nationkey AS STRING)) AS time_zone_id_raw,
  concat('page=', CAST(CASE WHEN s_suppkey = 5 THEN 1 ELSE 2 + CAST((s_suppkey - s_suppkey % 100) / 100 AS BIGINT) END AS STRING), '.json') AS source_file_path
-FROM {{supplier}} CROSS JOIN {_SNAPSHOT_RUNS} WHERE s_suppkey % 10 <> r.n
+FROM {supplier} {runs} WHERE s_suppkey % 10 <> r.n
 """
 
 INGEST_LOG = """
@@ -146,18 +159,36 @@ TABLES = {
 
 
 def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    df = spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
-    return tables.spread(df, df.columns[0])
+    return spark.read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+# What the engines word differently: zone-free timestamps, and rows times a fixed list.
+_SPARK = {
+    "ts": "TIMESTAMP_NTZ",
+    "runs": "LATERAL VIEW inline(array(struct(1, '2024-01-01T10-05-00Z'), struct(2, '2024-02-01T10-05-00Z'))) r AS n, run_id",
+    "copies": "LATERAL VIEW explode(array(0, 1)) d AS copy",
+}
+_ANSI = {
+    "ts": "TIMESTAMP",
+    "runs": "CROSS JOIN (SELECT 1 AS n, '2024-01-01T10-05-00Z' AS run_id UNION ALL SELECT 2, '2024-02-01T10-05-00Z') r",
+    "copies": "CROSS JOIN (SELECT 0 AS copy UNION ALL SELECT 1) d",
+}
+
+
+def _worded(text: str, words: Mapping[str, str]) -> str:
+    for word, replacement in words.items():
+        text = text.replace("{" + word + "}", replacement)
+    return text
 
 
 def spark_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = SQL[name].replace("{ts}", "TIMESTAMP_NTZ")
+    text = _worded(SQL[name], _SPARK)
     used = {t: source(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 
 def ansi_sql(name: str) -> str:
-    text = SQL[name].replace("{ts}", "TIMESTAMP")
+    text = _worded(SQL[name], _ANSI)
     for table in TABLES:
         text = text.replace("{" + table + "}", table)
     return text
@@ -202,8 +233,8 @@ def _pages(rows: DataFrame, page_keys: list[str], record: Column, order: str, re
 
 
 def flight_record() -> Column:
-    """A landed flight record from a row of ``flight_updates``; local times equal the UTC ones, an arrival is due two
-    hours after departure, and an actual time is the scheduled one plus the delay."""
+    """A landed flight record from a row of ``flight_updates``; scheduled local times equal the UTC ones, actual local ones
+    are an hour ahead, an arrival is due two hours after departure, and an actual time is the scheduled one plus the delay."""
     departure = F.col("scheduled_departure_utc_ts")
     arrival = F.timestamp_add("MINUTE", F.lit(120), departure)
 
@@ -216,6 +247,7 @@ def flight_record() -> Column:
         "FlightStatus.Code": F.col("flight_status_code"),
         "Departure.AirportCode": F.col("departure_airport_code"),
         "Arrival.AirportCode": F.col("arrival_airport_code"),
+        **{flights.FIELDS[name]: F.col(name) for name in PLAIN_FIELDS},
     }
     for end, due in (("Departure", departure), ("Arrival", arrival)):
         delay = F.col(f"{end.lower()}_delay_minutes")
@@ -223,6 +255,7 @@ def flight_record() -> Column:
         leaves[f"{end}.ScheduledTimeLocal.DateTime"] = text(due, "")
         leaves[f"{end}.ScheduledTimeUTC.DateTime"] = text(due, "Z")
         leaves[f"{end}.ActualTimeUTC.DateTime"] = text(happened, "Z")
+        leaves[f"{end}.ActualTimeLocal.DateTime"] = text(F.timestamp_add("MINUTE", F.lit(60), happened), "")
     return _nested(leaves)
 
 

@@ -51,5 +51,6 @@ def explode_records(df: DataFrame, record_path: str, record: T.StructType, into:
 
 
 def total_count(raw: Column, resource: str) -> Column:
-    """The record total a page announces for its whole request."""
-    return F.get_json_object(raw, f"$.{resource}.Meta.TotalCount").cast("int")
+    """The record total a page announces for its whole request; NULL if it announces none or no whole number."""
+    number = F.get_json_object(raw, f"$.{resource}.Meta.TotalCount").try_cast("double")
+    return F.when((number >= 0) & (number == F.floor(number)), number).try_cast("int")

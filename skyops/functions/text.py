@@ -10,11 +10,6 @@ KEY_SEPARATOR = "||"
 ROUTE_SEPARATOR = " ->"
 
 
-def is_missing(column: Column) -> Column:
-    """True for NULL and for text made of spaces only; never NULL itself."""
-    return column.isNull() | (F.trim(column.cast("string")) == "")
-
-
 def clean_text(column: Column) -> Column:
     return F.trim(column)
 

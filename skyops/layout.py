@@ -16,6 +16,11 @@ class Layout:
     def landing(self) -> str:
         return self.landing_root or f"{self.root}/landing"
 
+    @property
+    def archive(self) -> str:
+        """Where read pages move if they are archived. Beside the landing folder: a file source may not archive into itself."""
+        return f"{self.root}/archive"
+
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}_raw"
 

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.operators.skew import HOT_ROWS, hot_keys, is_hot
+from skyops.operators.skew import HOT_ROWS, hot_keys, mark_hot
+from skyops.session import workspace
 
 START, END = "__START_AT", "__END_AT"
-_MAX_SLICES = 10_000
-_STRIDE = 100
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
@@ -38,25 +37,22 @@ def scd2_history(
     then the greatest row content. Without ``track`` every event is a version; with it, an event that leaves the tracked
     columns as they were adds none.
 
-    ``cluster_by`` names columns that the key determines (such as a date inside the key): the result is then laid out by
-    ranges of them, so a write partitioned by these columns makes few files per task.
+    ``cluster_by`` names columns that the key determines (such as a date inside the key); they may stand in front of the key.
 
     Cold keys need one shuffle and one sort. A key of more than ``hot_rows`` rows is cut into slices of the sequence, see
-    ``_sliced``.
+    ``_sliced``; the sequence may have any type that can be sorted.
     """
     group = [*cluster_by, *keys]
     rows = changes.withColumn(START, _required(sequence))
     hot = hot_keys(changes, keys, hot_rows)
-    cold = rows.where(~is_hot(keys, hot)) if hot else rows
-    if cluster_by:
-        cold = cold.repartitionByRange(*group)
     content = [*tie, *[c for c in changes.columns if c not in (sequence, *group, *tie)]]
-    history = _versions(cold, group, [START, *content], track)
-    if not hot:
-        return history
-    slices = min(_MAX_SLICES, 1 + sum(hot.values()) // hot_rows)
-    sliced = _sliced(rows.where(is_hot(keys, hot)), group, content, track, slices)
-    return history.unionByName(sliced.withColumn(sequence, F.col(START)))
+    if hot is None:
+        return _versions(rows, group, [START, *content], track)
+    marked = mark_hot(rows, keys, hot, "_is_hot")
+    cold = _versions(marked.where("NOT _is_hot").drop("_is_hot"), group, [START, *content], track)
+    hot_count = hot.agg(F.sum("rows")).first()[0]
+    sliced = _sliced(marked.where("_is_hot").drop("_is_hot"), group, content, track, 1 + hot_count // hot_rows)
+    return cold.unionByName(sliced.withColumn(sequence, F.col(START)))
 
 
 def _versions(rows: DataFrame, group: Sequence[str], order: Sequence[str], track: Sequence[str] | None) -> DataFrame:
@@ -79,22 +75,18 @@ def _sliced(
 ) -> DataFrame:
     """The same result for hot keys, without giving any task all rows of a key.
 
-    Copies and ties collapse first, in a partial aggregate. The sequence range is then cut at quantiles of the hot rows,
-    so each slice holds a bounded part of them whatever the key. Neighbours are found inside a slice; the neighbour of a
-    slice's edge row is the edge of the nearest non-empty slice, looked up in a table of one row per key and slice.
+    Copies and ties collapse first, in a partial aggregate. What is left is dealt out by ranges of key and sequence, as many
+    as ``slices`` at least, so a range holds its share of the rows whatever the keys; it is written down, as ranges come from
+    a sample and must not move. Neighbours are found inside a slice; the neighbour of a slice's edge row is the edge of the
+    nearest slice of its key, looked up in a table of one row per key and slice.
     """
+    spark = rows.sparkSession
     unique = rows.groupBy(*group, START).agg(F.max(F.struct(*content)).alias("_best")).select(*group, START, "_best.*")
-    shares = ",".join(f"{i / slices}D" for i in range(1, slices + 1))
-    quantiles = F.percentile_approx(START, F.expr(f"array({shares})"), F.lit(10 * slices))
-    # One row of at most _MAX_SLICES cut points, read as a scalar subquery inside the plan. A row finds its slice in two
-    # steps, among every _STRIDE-th cut and then among the cuts between two of these.
-    cuts = rows.select(*group, START).distinct().agg(quantiles.alias("cuts"))
-    every = F.filter("cuts", lambda _, i: i % _STRIDE == _STRIDE - 1)
-    found = cuts.select(F.struct("cuts", every.alias("every"))).scalar()
-    coarse = F.size(F.filter("_cuts.every", lambda cut: cut <= F.col(START))) * _STRIDE
-    fine = F.size(F.filter(F.slice("_cuts.cuts", F.col("_coarse") + 1, F.lit(_STRIDE)), lambda cut: cut <= F.col(START)))
-    sliced = unique.withColumn("_cuts", found).withColumn("_coarse", coarse).withColumn("_slice", F.col("_coarse") + fine)
-    sliced = sliced.drop("_cuts", "_coarse")
+    parts = max(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranged = unique.repartitionByRange(parts, *group, START).withColumn("_slice", F.spark_partition_id())
+    path = workspace(spark, "slices")
+    ranged.write.parquet(path)
+    sliced = spark.read.schema(ranged.schema).parquet(path)
 
     versions = sliced
     if track is not None:

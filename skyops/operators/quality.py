@@ -56,11 +56,6 @@ def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
-def observe_rules(df: DataFrame, name: str, rules: Sequence[Rule]) -> DataFrame:
-    """``df`` that reports the same counts as named metrics while it runs; works on streams, where a count cannot."""
-    return df.observe(name, *_counts(rules))
-
-
 def reasons(rules: Sequence[Rule], mode: str) -> Column:
     """Why a row fails: ``all`` reasons joined in rule order, or only the ``first``."""
     failed = [F.when(~passes(r), F.lit(r.reason)) for r in rules]

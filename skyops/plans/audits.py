@@ -49,13 +49,14 @@ def landing_completeness(
     ).withColumn("is_complete", F.coalesce(F.col("pages_landed") >= F.col("pages_expected"), F.lit(False)))
 
 
-def latest_complete_run(pages: DataFrame, resource: str, page_size: int = REFERENCE_PAGE_SIZE) -> DataFrame:
+def latest_complete_run(pages: DataFrame, resource: str, page_size: int = REFERENCE_PAGE_SIZE) -> DataFrame | None:
     """Pages of the greatest complete run: an optional guard against a partial run that would delete dimension rows.
 
-    Like ``latest_run`` a filter by a scalar subquery, so the pages themselves are not shuffled.
+    None if no run is complete; otherwise a filter on the run, so only its files are read.
     """
     complete = landing_completeness(pages, resource, REFERENCE_REQUEST, page_size).where("is_complete")
-    return pages.where(F.col("run_id") == complete.select(F.max("run_id")).scalar())
+    run_id = complete.agg(F.max("run_id")).first()[0]
+    return None if run_id is None else pages.where(F.col("run_id") == run_id)
 
 
 def request_grid(runs: DataFrame) -> DataFrame:

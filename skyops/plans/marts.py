@@ -134,21 +134,20 @@ MART_RULES = {
 }
 
 
-def unchecked_marts(base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
-    """The three marts from stored ``kpi_base`` rows, before their rules."""
+def unchecked_mart(name: str, base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A mart from stored ``kpi_base`` rows, before its rules; only the distance mart looks at the airports."""
     base = base.where("is_relevant")
-    known = base.where(" AND ".join(f"{c} IS NOT NULL" for c in ROUTE_KEYS))
-    return {
-        "departure_airport_hourly": _finish_hourly(_rolled_up(base, HOURLY_KEYS, bands=True)),
-        "route_daily_performance": _finish_route(_rolled_up(known, ROUTE_KEYS)),
-        "airport_distance_category_daily_performance": _finish_distance(_rolled_up(base, ROUTE_KEYS), airports, limit),
-    }
-
-
-def marts_from_base(base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
-    """The three marts; equal to the three functions above on the flights."""
-    marts = unchecked_marts(base, airports, limit)
-    return {name: expect_or_drop(mart, MART_RULES[name]) for name, mart in marts.items()}
+    if name == "departure_airport_hourly":
+        return _finish_hourly(_rolled_up(base, HOURLY_KEYS, bands=True))
+    if name == "route_daily_performance":
+        known = base.where(" AND ".join(f"{c} IS NOT NULL" for c in ROUTE_KEYS))
+        return _finish_route(_rolled_up(known, ROUTE_KEYS))
+    return _finish_distance(_rolled_up(base, ROUTE_KEYS), airports, limit)
+
+
+def mart_from_base(name: str, base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A mart from stored sums; equal to the function above of that mart on the flights."""
+    return expect_or_drop(unchecked_mart(name, base, airports, limit), MART_RULES[name])
 
 
 def mart_rule_metrics(unchecked: dict[str, DataFrame]) -> DataFrame:

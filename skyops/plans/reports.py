@@ -139,11 +139,15 @@ def _top_routes(routes: DataFrame, value: Column, name: str, k: int) -> DataFram
 
 
 def top_routes_delay(routes: DataFrame, k: int = 10) -> DataFrame:
-    return _top_routes(routes, F.round(_planned_mean(), 6), "avg_departure_delay_minutes", k)
+    return _top_routes(routes, _planned_mean(), "avg_departure_delay_minutes", k)
 
 
 def top_routes_otp(routes: DataFrame, k: int = 10) -> DataFrame:
-    return _top_routes(routes, F.round(_planned_otp(), 6), "departure_otp_15_pct", k)
+    return _top_routes(routes, _planned_otp(), "departure_otp_15_pct", k)
+
+
+def top_routes_cancellation(routes: DataFrame, k: int = 10) -> DataFrame:
+    return _top_routes(routes, safe_ratio(_total("cancelled_flights"), _total("total_flights")), "cancellation_rate", k)
 
 
 def top_routes_volume(routes: DataFrame, k: int = 10) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from skyops.layout import Layout
@@ -15,11 +18,16 @@ from skyops.streaming import bronze, silver
 def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard: bool = False) -> dict[str, DataFrame]:
     """Latest bronze run of one entity to its quarantine, valid snapshot and current table.
 
-    With ``guard`` the latest complete run is taken instead, so a partial run cannot delete dimension rows.
+    With ``guard`` the latest complete run is taken instead, so a partial run cannot delete dimension rows. Where no run is
+    complete, or nothing has landed, all tables stay as they are: a warning says so, and the result has the tables that exist.
     """
     schema = landing.bronze_schema(landing.REFERENCE_PARTITIONS)
-    pages = tables.read_table(spark, layout.bronze(spec.name), schema)
+    pages = tables.read_or_empty(spark, layout.bronze(spec.name), schema)
     run = audits.latest_complete_run(pages, spec.resource) if guard else reference.latest_run(pages)
+    if run is None or not guard and pages.isEmpty():
+        warnings.warn(f"{spec.name}: no {'complete ' if guard else ''}run, tables left as they are", stacklevel=2)
+        names = {k: layout.silver(f"{spec.name}_{k}") for k in ("quarantine", "snapshot_valid", "current")}
+        return {k.partition("_")[0]: tables.read_table(spark, p) for k, p in names.items() if tables.is_ready(spark, p)}
     staged = reference.stage_reference(run, spec)
     quarantined = tables.replace_table(
         reference.quarantined_reference(staged, spec), layout.silver(f"{spec.name}_quarantine"),
@@ -36,24 +44,36 @@ def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard:
 
 
 def run_reference(
-    spark: SparkSession, layout: Layout, entities: list[str] | None = None, guard: bool = False
+    spark: SparkSession, layout: Layout, entities: list[str] | None = None, guard: bool = False,
+    options: Mapping[str, str | int] | None = None, archive: bool = False,
 ) -> dict[str, dict[str, DataFrame]]:
+    """New pages of some entities (default: all) through to their current tables. ``options`` go to the file source that
+    reads the landing folder; with ``archive`` read pages move to the layout's archive folder."""
     out = {}
     for name in entities or ENTITIES:
-        bronze.ingest_reference(spark, layout, name)
+        bronze.ingest_reference(spark, layout, name, options, archive)
         out[name] = apply_snapshot(spark, layout, ENTITIES[name], guard)
     return out
 
 
-def run_operational(spark: SparkSession, layout: Layout, options: dict | None = None) -> dict[str, DataFrame]:
+def run_operational(
+    spark: SparkSession, layout: Layout, options: Mapping[str, str | int] | None = None, archive: bool = False,
+) -> dict[str, DataFrame]:
     """New flight pages through to the three marts. The marts are recomputed whole, from the stored sums rather than from
-    flights, so a changed airport list reaches all dates at the price of reading a small table."""
+    flights, so a changed airport list reaches all dates at the price of reading a small table. Without any flight so far,
+    the marts are empty.
+
+    ``options`` go to both stages (landing to bronze, bronze to silver) and bound their micro-batches, for instance
+    ``maxFilesPerTrigger``; the defaults are in ``landing.SOURCE_OPTIONS``. ``archive`` as in ``run_reference``.
+    """
     airports = layout.silver("airports_current")
     if not tables.is_ready(spark, airports):
         raise RuntimeError("no current airports: the distance mart needs them, run the reference data first")
-    bronze.ingest_flights(spark, layout, options)
-    silver.update_flights(spark, layout)
-    built = marts.unchecked_marts(spark.read.parquet(layout.gold("kpi_base")), tables.read_table(spark, airports))
+    bronze.ingest_flights(spark, layout, options, archive)
+    silver.update_flights(spark, layout, options)
+    base = tables.read_or_empty(spark, layout.gold("kpi_base"), silver.kpi_base_schema(spark))
+    dimension = tables.read_table(spark, airports)
+    built = {name: marts.unchecked_mart(name, base, dimension) for name in marts.MART_RULES}
     tables.replace_table(marts.mart_rule_metrics(built), layout.gold("rule_metrics"))
     return {
         name: tables.replace_table(quality.expect_or_drop(mart, marts.MART_RULES[name]), layout.gold(name))
@@ -61,6 +81,9 @@ def run_operational(spark: SparkSession, layout: Layout, options: dict | None =
     }
 
 
-def run_all(spark: SparkSession, layout: Layout, guard: bool = False) -> dict[str, DataFrame]:
-    run_reference(spark, layout, guard=guard)
-    return run_operational(spark, layout)
+def run_all(
+    spark: SparkSession, layout: Layout, guard: bool = False, options: Mapping[str, str | int] | None = None,
+    archive: bool = False,
+) -> dict[str, DataFrame]:
+    run_reference(spark, layout, guard=guard, options=options, archive=archive)
+    return run_operational(spark, layout, options, archive)

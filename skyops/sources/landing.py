@@ -9,10 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skyops.functions.text import path_safe
+from skyops.sources import files
 
 # The file source silently skips files that are much older than the newest one it has seen. Late files must not be lost, so
-# the age is set far out of reach; where the list of seen files grows too long, use ``cleanSource`` rather than a low age.
-SOURCE_OPTIONS = {"maxFileAge": "36500d"}
+# the age is far out of reach, and the driver remembers every file of the folder. Where that list grows too long, read pages
+# are archived: the folder then holds new pages only, and the driver forgets files a month older than the newest.
+# A micro-batch takes a bounded number of files, so that a backlog is worked off in pieces.
+SOURCE_OPTIONS = {"maxFileAge": "36500d", "maxFilesPerTrigger": 20_000}
+ARCHIVE_FILE_AGE = "30d"
+
+
+def source_options(options: Mapping[str, str | int] | None, archive: str | None = None) -> dict[str, str | int]:
+    """Options of a file source: the defaults, with ``archive`` (a folder) those that move read files there, then the caller's."""
+    moved = {"cleanSource": "archive", "sourceArchiveDir": archive, "maxFileAge": ARCHIVE_FILE_AGE} if archive else {}
+    return {**SOURCE_OPTIONS, **moved, **(options or {})}
 
 # Landing folders and their partition columns.
 FLIGHT_PARTITIONS = ("direction", "airport", "date", "window_start", "run_id")
@@ -57,38 +67,48 @@ def landing_batch(spark: SparkSession, path: str, partitions: Sequence[str]) ->
 
 
 def landing_stream(
-    spark: SparkSession, path: str, partitions: Sequence[str], options: Mapping[str, str | int] | None = None
+    spark: SparkSession, path: str, partitions: Sequence[str], options: Mapping[str, str | int] | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """The same rows as a stream that sees each new file once. ``options`` go to the file source, for instance
-    ``maxFilesPerTrigger``, ``maxFileAge`` or ``cleanSource`` where the folder grows large."""
+    ``maxFilesPerTrigger``; ``archive`` is a folder outside ``path`` to which read files move."""
     reader = spark.readStream.format("text").option("wholetext", True).schema(_schema(partitions))
-    return _bronze(reader.options(**{**SOURCE_OPTIONS, **(options or {})}).load(path), partitions)
+    return _bronze(reader.options(**source_options(options, archive)).load(path), partitions)
 
 
-def bronze_flights(spark: SparkSession, root: str, options: Mapping[str, str | int] | None = None) -> DataFrame:
-    return landing_stream(spark, f"{root}/{FLIGHT_FOLDER}", FLIGHT_PARTITIONS, options)
+def flight_folder(root: str) -> str:
+    return f"{root}/{FLIGHT_FOLDER}"
 
 
-def bronze_reference(
-    spark: SparkSession, root: str, entity: str, options: Mapping[str, str | int] | None = None
-) -> DataFrame:
-    return landing_stream(spark, f"{root}/{REFERENCE_FOLDER}/{entity}", REFERENCE_PARTITIONS, options)
+def reference_folder(root: str, entity: str) -> str:
+    return f"{root}/{REFERENCE_FOLDER}/{entity}"
+
+
+def landed_pages(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    """Folder values and ``page`` of every file below ``path``; files are listed, not read."""
+    files_below = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+
+    def value(folder: str):
+        found = F.regexp_extract("path", rf"/{folder}=([^/]*)", 1)
+        decoded = F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B")))
+        return F.nullif(decoded, F.lit("__HIVE_DEFAULT_PARTITION__"))
+
+    # A page is a folder ``page=<n>`` or a file ``page=<n>.json``.
+    page = F.regexp_extract("path", r"page=([^/]*?)(\.json)?(/[^/]*)?$", 1)
+    return files_below.select(*[value(c).alias(c) for c in folders], page.alias("page"))
 
 
 def write_landing(pages: DataFrame, root: str, dataset: str) -> None:
     """Write pages (folder columns, ``page``, ``body``) in the landing layout, one file per page.
 
-    Spark names files itself, so a page is a folder ``page=<n>``; the readers above accept it like a file of that name.
-    Only the folders that occur in ``pages`` are replaced: landing a page again leaves one copy of it.
+    Spark names files itself, so a page is a folder ``page=<n>``; the readers above accept it like a file of that name. A page
+    that has landed is left alone: landing it again adds no second file, which a stream would read as new.
     """
+    spark = pages.sparkSession
     folders = FLIGHT_PARTITIONS if dataset == FLIGHT_FOLDER else REFERENCE_PARTITIONS
     safe = {c: path_safe(F.col(c)) for c in ("window_start", "run_id") if c in folders}
-    (
-        pages.select(*folders, "page", "body")
-        .withColumns(safe)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy(*folders, "page")
-        .text(f"{root}/{dataset}")
-    )
+    new = pages.select(*folders, "page", "body").withColumns(safe)
+    if files.exists(spark, f"{root}/{dataset}"):
+        new = new.join(landed_pages(spark, f"{root}/{dataset}", folders), [*folders, "page"], "left_anti")
+    writer = new.select(*folders, "page", "body").write.mode("append").option("maxRecordsPerFile", 1)
+    writer.partitionBy(*folders, "page").text(f"{root}/{dataset}")

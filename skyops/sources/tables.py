@@ -12,27 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from skyops.sources.landing import SOURCE_OPTIONS
+from skyops.sources import files
+from skyops.sources.files import exists
+from skyops.sources.landing import source_options
 
 KEPT_VERSIONS = 2
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, folder = _folder(spark, path)
-    return files.exists(folder)
-
-
 def _versions(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """All version folders in order, and the complete ones among them."""
-    files, folder = _folder(spark, path)
-    if not files.exists(folder):
-        return [], []
-    names = sorted(s.getPath().getName() for s in files.listStatus(folder) if s.getPath().getName().startswith("v"))
+    names = [n for n in files.names(spark, path) if n.startswith("v")]
     return names, [n for n in names if exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
@@ -53,8 +42,7 @@ def replace_table(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
     for name in [n for n in known if n not in complete[-(KEPT_VERSIONS - 1):]]:
-        files, folder = _folder(spark, f"{path}/{name}")
-        files.delete(folder, True)
+        files.delete(spark, f"{path}/{name}")
     return spark.read.schema(df.schema).parquet(target)
 
 
@@ -65,6 +53,11 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(f"{path}/{complete[-1]}" if complete else path)
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table that may not have been written yet."""
+    return read_table(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
+
+
 def is_ready(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path)[1])
 
@@ -73,7 +66,7 @@ def stream_table(
     spark: SparkSession, path: str, schema: T.StructType, options: Mapping[str, str | int] | None = None
 ) -> DataFrame:
     """Stream read of an appended table: each row once."""
-    return spark.readStream.schema(schema).options(**{**SOURCE_OPTIONS, **(options or {})}).parquet(path)
+    return spark.readStream.schema(schema).options(**source_options(options)).parquet(path)
 
 
 def append_stream(
@@ -97,21 +90,6 @@ PAGE_TEXT_OPTIONS = {
 }
 
 
-# Tables between these sizes may be a single row group, which is one task however many cores there are.
-_SPREAD_ABOVE, _SPREAD_UP_TO = 1024 * 1024, 128 * 1024 * 1024
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A file table small enough to be one row group, but large enough to gain from all cores, is dealt out to them by the
-    hash of ``key`` (a round-robin deal would sort its rows first).
-
-    Larger tables stay as read: they have row groups, hence tasks, enough, and never pay for this exchange.
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if _SPREAD_ABOVE < size <= _SPREAD_UP_TO else df
-
-
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions that occur in ``df``."""
     (

@@ -9,7 +9,8 @@ dates it touches rather than the length of the history. No step reads a table it
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,27 +20,23 @@ from pyspark.sql import types as T
 from skyops.layout import Layout
 from skyops.operators import cdc, flights, quality
 from skyops.plans import marts
-from skyops.sources import landing, tables
+from skyops.sources import files, landing, tables
 
 DATE = "flight_date"
-# Touched dates are read one by one up to this many; beyond that all dates are recomputed.
-_MAX_LISTED = 1000
+_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 BRONZE = landing.bronze_schema(landing.FLIGHT_PARTITIONS)
 
 
-def _touched(rows: DataFrame, column: str) -> list[str] | None:
-    """Distinct dates of ``column`` as their folders name them, or None when they are too many to list."""
-    name = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-    found = [r[0] for r in rows.select(name).distinct().take(_MAX_LISTED + 1)]
-    return found if len(found) <= _MAX_LISTED else None
+def _touched(rows: DataFrame, column: str) -> list[str]:
+    """Distinct dates of ``column`` as their folders name them: one entry per calendar day, whatever the rows."""
+    name = F.coalesce(F.col(column).cast("string"), F.lit(_NO_DATE))
+    return [r[0] for r in rows.select(name).distinct().collect()]
 
 
-def read_dates(
-    spark: SparkSession, path: str, schema: T.StructType, column: str, dates: list[str] | None
-) -> DataFrame:
-    """Rows of a table partitioned by a date column, for the given dates (None: all). Only their folders are listed."""
-    folders = [path] if dates is None else [f"{path}/{column}={day}" for day in dates]
+def read_dates(spark: SparkSession, path: str, schema: T.StructType, column: str, dates: list[str]) -> DataFrame:
+    """Rows of a table partitioned by a date column, for the given dates. Only their folders are listed."""
+    folders = [f"{path}/{column}={day}" for day in dates]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
 
 
@@ -56,14 +53,14 @@ def _batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
 def scd2_apply(
     changes: DataFrame, batch_id: int, log: str, history: str, keys: Sequence[str], sequence: str,
     tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str = DATE,
-) -> list[str] | None:
+) -> list[str]:
     """Add a batch to the change log and bring the history partitions it touches up to date.
 
-    ``partition`` is a date column that the key determines. Returns the touched dates (None: too many to list).
+    ``partition`` is a date column that the key determines. Returns the touched dates.
     """
     spark = changes.sparkSession
     touched = _touched(changes, partition)
-    if touched == []:
+    if not touched:
         return touched
     # Rebalanced by date: few files per date, and a date that holds most rows is split over tasks.
     owned = changes.hint("rebalance", partition).withColumns(
@@ -72,10 +69,31 @@ def scd2_apply(
     tables.replace_partitions(owned, log, [partition, "query_id", "batch_id"])
     logged = read_dates(spark, log, changes.schema, partition, touched)
     versions = cdc.scd2_history(logged, keys, sequence, tie, track, cluster_by=[partition])
-    tables.replace_partitions(versions, history, [partition])
+    tables.replace_partitions(versions.hint("rebalance", partition), history, [partition])
     return touched
 
 
+def compact_log(spark: SparkSession, log: str, schema: T.StructType, dates: list[str] | None = None, partition: str = DATE) -> None:
+    """Rewrite the log of some dates (default: all) as one folder per date instead of one per batch.
+
+    The new folder is complete before the old ones go. If the job dies in between, rows stand in the log twice, which changes
+    no history, and the next compaction removes them. Not to be run beside a batch that writes to the same dates.
+    """
+    folders = [f"{partition}={day}" for day in dates] if dates is not None else files.names(spark, log)
+    for folder in folders:
+        if not folder.startswith(f"{partition}="):
+            continue
+        old = [n for n in files.names(spark, f"{log}/{folder}") if n.startswith("query_id=")]
+        if len(old) < 2 and all(len(files.names(spark, f"{log}/{folder}/{n}")) < 2 for n in old):
+            continue
+        batch = f"query_id=compacted-{uuid.uuid4().hex}/batch_id=0"
+        inside = T.StructType([f for f in schema if f.name != partition])
+        rows = spark.read.schema(inside).parquet(*[f"{log}/{folder}/{n}" for n in old])
+        rows.select(*inside.names).distinct().hint("rebalance").write.parquet(f"{log}/{folder}/{batch}")
+        for name in old:
+            files.delete(spark, f"{log}/{folder}/{name}")
+
+
 def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
     """The batch function: one parse of the pages feeds both the quarantine and the history."""
 
@@ -98,13 +116,17 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
             )
         finally:
             slim.unpersist()
-        if touched != []:
+        if touched:
             refresh_current(spark, layout, touched)
 
     return process
 
 
-def refresh_current(spark: SparkSession, layout: Layout, dates: list[str] | None) -> None:
+def kpi_base_schema(spark: SparkSession) -> T.StructType:
+    return marts.kpi_base(spark.createDataFrame([], flights.HISTORY_SCHEMA)).schema
+
+
+def refresh_current(spark: SparkSession, layout: Layout, dates: list[str]) -> None:
     """Current flights and their mart sums for some dates."""
     schema = flights.HISTORY_SCHEMA
     history = read_dates(spark, layout.silver("flight_status_history"), schema, DATE, dates)
@@ -113,8 +135,10 @@ def refresh_current(spark: SparkSession, layout: Layout, dates: list[str] | None
     tables.replace_partitions(marts.kpi_base(current).hint("rebalance", DATE), layout.gold("kpi_base"), [DATE])
 
 
-def update_flights(spark: SparkSession, layout: Layout, options: dict | None = None):
-    """Process the bronze pages that are new since the last call."""
+def update_flights(spark: SparkSession, layout: Layout, options: Mapping[str, str | int] | None = None):
+    """Process the bronze pages that are new since the last call; None where no page has reached bronze yet."""
+    if not tables.exists(spark, layout.bronze("flight_status")):
+        return None
     pages = tables.stream_table(spark, layout.bronze("flight_status"), BRONZE, options)
     query = (
         pages.writeStream.foreachBatch(process_pages(layout))

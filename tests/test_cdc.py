@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyops.operators import cdc
-from skyops.operators.skew import hot_keys, is_small, measured_bytes
+from skyops.operators.skew import hot_keys, is_small, mark_hot, measured_bytes
 
 SCHEMA = "k string, day date, seq timestamp_ntz, src string, v int, note string"
 
@@ -67,7 +67,8 @@ def test_history_equals_brute_force(spark, track, cluster_by, hot_rows):
     """With the lowest limit all keys are cut, one or a few rows a slice; with 20 the heavy ones, NULL among them."""
     rows = make(600, ["hot", "warm", None, *[f"k{i}" for i in range(120)]], 7, [200, 60, 40, *[2] * 120])
     df = spark.createDataFrame(rows, SCHEMA)
-    assert len(hot_keys(df, ["k"], hot_rows)) == {1: len({r[0] for r in rows if rows_of(rows, r[0]) > 1}), 20: 3}.get(hot_rows, 0)
+    hot = hot_keys(df, ["k"], hot_rows)
+    assert ({r.k for r in hot.collect()} if hot is not None else set()) == {r[0] for r in rows if rows_of(rows, r[0]) > hot_rows}
     got = cdc.scd2_history(df, ["k"], "seq", ["src"], track, cluster_by, hot_rows)
     assert result(got) == brute(rows, track and [4])
 
@@ -141,7 +142,32 @@ def test_measured_size(spark):
 
 
 def test_hot_keys_are_the_frequent_ones(spark):
-    df = spark.range(10_000).withColumn("k", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
-    minus_one = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
-    assert list(hot_keys(df, ["k"], 1000)) == [minus_one]
-    assert hot_keys(df, ["k"]) == hot_keys(spark.range(10_000), ["id"], 1000) == hot_keys(spark.range(0), ["id"]) == {}
+    df = spark.range(10_000).withColumn("k", F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id")))
+    assert [tuple(r) for r in hot_keys(df, ["k"], 1000).collect()] == [(None, 3334)]
+    assert hot_keys(df, ["k"]) is hot_keys(spark.range(10_000), ["id"], 1000) is hot_keys(spark.range(0), ["id"]) is None
+
+
+def test_a_key_above_the_limit_is_split_whatever_the_table_size(spark):
+    for others in (0, 20_000, 200_000):
+        df = spark.range(16).select(F.lit(-1).cast("long").alias("k")).union(spark.range(others))
+        assert [tuple(r) for r in hot_keys(df, ["k"], 15).collect()] == [(-1, 16)]
+    rows = [("hot", None, f"2024-01-{i:02d}", None, i, None) for i in range(1, 17)]
+    text = "k string, day date, seq string, src string, v int, note string"
+    plan = cdc.scd2_history(spark.createDataFrame(rows, text), ["k"], "seq", hot_rows=15)._jdf.queryExecution().toString()
+    assert "_slice" in plan
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_hot_rows_are_marked_with_and_without_broadcast(spark, limit):
+    df = spark.range(1000).select(F.when(F.col("id") % 2 == 0, None).otherwise(F.col("id") % 10).alias("k"), "id")
+    hot = hot_keys(df, ["k"], 150)
+    got = {(r.k, r.flag) for r in mark_hot(df, ["k"], hot, "flag", limit).select("k", "flag").collect()}
+    assert got == {(None, True), *[(k, False) for k in (1, 3, 5, 7, 9)]} and mark_hot(df, ["k"], hot, "flag", limit).count() == 1000
+
+
+def test_text_sequences_give_the_same_versions_hot_and_cold(spark):
+    rows = [("a", None, f"2024-01-{1 + i % 14:02d}T00", "s", i, None) for i in range(200)]
+    df = spark.createDataFrame(rows, "k string, day date, seq string, src string, v int, note string")
+    for track in (None, ["v"]):
+        cold, hot = (result(cdc.scd2_history(df, ["k"], "seq", ["src"], track, hot_rows=n)) for n in (10**6, 5))
+        assert cold == hot == brute(rows, track and [4]) and (track or len(cold) == 14)

@@ -66,11 +66,6 @@ def test_delay_is_cut_toward_zero(spark):
     assert one(spark, times.delay_minutes(due, F.lit(None).cast("timestamp_ntz"))) is None
 
 
-def test_missing_text(spark):
-    df = spark.createDataFrame([(None,), ("",), ("  ",), ("\t",), ("x",)], "c string")
-    assert [r[0] for r in df.select(text.is_missing(F.col("c"))).collect()] == [True, True, True, False, False]
-
-
 def test_key_counts_a_missing_part_as_empty(spark):
     import hashlib
 

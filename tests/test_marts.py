@@ -44,7 +44,8 @@ def test_buckets_sum_to_planned_flights_with_known_delay(flights):
 
 
 def test_marts_from_stored_sums_equal_direct_ones(flights, airports):
-    built = marts.marts_from_base(marts.kpi_base(flights), airports)
+    base = marts.kpi_base(flights)
+    built = {name: marts.mart_from_base(name, base, airports) for name in marts.MART_RULES}
     assert same(marts.mart_hourly(flights), built["departure_airport_hourly"])
     assert same(marts.mart_route_daily(flights), built["route_daily_performance"])
     assert same(
@@ -82,6 +83,33 @@ def test_lookup_without_broadcast_gives_the_same_rows(flights, airports):
     assert same(expected, lookup.with_coordinates(rows, airports, limit=0, hot_rows=100))
 
 
+def test_lookup_compares_numbers_in_their_common_type(spark):
+    facts = spark.range(1000).select(F.lit(5).alias("k"), "id")
+    dimension = spark.createDataFrame([(5, "five"), (6, "six")], "k long, name string")
+    for small, hot_rows in ((True, 10), (False, 10**6), (False, 10)):
+        got = lookup.left_lookup(facts, dimension, "k", "k", {"name": "name"}, small, hot_rows)
+        assert got.where("name = 'five'").count() == 1000
+    with pytest.raises(TypeError, match="compared"):
+        lookup.left_lookup(facts, dimension, "k", "name", {"name": "n"}, False)
+
+
+def test_reports_are_in_order(flights, airports):
+    """By value, greatest first, then by name."""
+    hourly, routes = marts.mart_hourly(flights), marts.mart_route_daily(flights)
+    for report, source, key, k in (
+        (reports.busiest_airports, hourly, "departure_airport_code", None), (reports.airport_mean_delay, hourly, "departure_airport_code", None),
+        (reports.airport_cancel_rate, hourly, "departure_airport_code", None), (reports.airport_otp, hourly, "departure_airport_code", None),
+        (reports.peak_delay_hours, hourly, "departure_hour", None), (reports.top_routes_delay, routes, "route", 10),
+        (reports.top_routes_otp, routes, "route", 10), (reports.top_routes_volume, routes, "route", 10),
+        (reports.top_routes_cancellation, routes, "route", 10),
+    ):
+        rows = [tuple(r) for r in report(source).collect()]
+        assert rows == sorted(rows, key=lambda r: (-r[1], r[0])) and len(rows) == (k or len(rows)) > 0
+        if k:
+            every = [tuple(r) for r in report(source, 10**6).collect()]
+            assert rows == sorted(every, key=lambda r: (-r[1], r[0]))[:k]
+
+
 def test_filters(flights):
     hourly = marts.mart_hourly(flights)
     day = dt.date(2024, 1, 3)
@@ -101,6 +129,11 @@ def test_completeness(spark):
     assert state(page(0, 120), page(1, 120)) == [(2, 120, 3, False)]
     assert state(page(0, 120), page(1, 120), page(2, 120), page(2, 120)) == [(3, 120, 3, True)]
     assert state(page(0, 0)) == [(1, 0, 1, True)]
+    # A total that is no whole number is unknown, and nothing breaks.
+    for odd in ('"abc"', '""', "12.5", "-3", "1e300", "null", "[1]", "true"):
+        assert state(page(0, odd)) == [(1, None, None, False)]
+    for whole in ("12.0", '"12.0"', '" 12 "'):
+        assert state(page(0, whole)) == [(1, 12, 1, True)]
     assert state(page(0, None)) == [(1, None, None, False)]
 
 

@@ -1,9 +1,7 @@
 import pytest
-from pyspark.sql import Observation
-from pyspark.sql import functions as F
 
 from skyops.operators.quality import (
-    Rule, expect_or_drop, observe_rules, present, quarantine, rule_metrics,
+    Rule, expect_or_drop, present, quarantine, rule_metrics,
 )
 
 RULES = [present("a"), present("b", text=False), Rule("small", "b BETWEEN 0 AND 9", "b out of range")]
@@ -37,10 +35,3 @@ def test_reasons(df):
 def test_metrics(df):
     got = {r.rule: (r.passed, r.failed, r.rows_dropped) for r in rule_metrics(df, RULES).collect()}
     assert got == {"valid_a": (3, 3, 5), "valid_b": (4, 2, 5), "small": (2, 4, 5)}
-
-
-def test_observed_metrics_equal_counted_ones(df):
-    seen = Observation("rules")
-    watched = df.observe(seen, *[F.count(F.lit(1)).alias("n")])
-    assert observe_rules(watched, "named", RULES).count() == len(DATA)
-    assert seen.get["n"] == len(DATA)

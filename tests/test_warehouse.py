@@ -73,6 +73,13 @@ def test_landing_twice_leaves_one_copy(spark, tmp_path):
     assert len(got) == 2
     assert {(r.window_start, r.run_id, r.date) for r in got} == {("2024-01-01T04-00", "2024-01-01T04-05-06Z", "2024-01-01")}
     assert all(json.loads(r.raw_json) == {"a": 1} and r._source_file_size > 0 for r in got)
+    # A page that stands as a plain file is known as well.
+    plain = Path(f"{tmp_path}/x/flight_status/direction=d/airport=A/date=2024-01-01/window_start=w/run_id=r")
+    plain.mkdir(parents=True)
+    (plain / "page=7.json").write_text("{}")
+    again = spark.createDataFrame([("d", "A", "2024-01-01", "w", "r", p, "{}") for p in "78"], [*landing.FLIGHT_PARTITIONS, "page", "body"])
+    landing.write_landing(again, f"{tmp_path}/x", landing.FLIGHT_FOLDER)
+    assert sorted(r.page for r in landing.landed_pages(spark, f"{tmp_path}/x/flight_status", landing.FLIGHT_PARTITIONS).collect()) == ["7", "8"]
 
 
 # --- history as a stream of batches
@@ -222,6 +229,54 @@ def test_files_much_older_than_the_newest_are_not_skipped(spark, layout):
     assert table(spark, layout, "flight_status_history").count() == 2
 
 
+def test_first_run_with_nothing_or_only_invalid_pages(spark, layout):
+    land_airports(layout, "2024-01-01T00-00-00Z", [("FRA", 50.0), ("MUC", 48.0)])
+    runs.run_reference(spark, layout, ["airports"])
+    for _ in range(2):  # nothing has landed, then nothing is new
+        assert {n: m.count() for n, m in runs.run_operational(spark, layout).items()} == dict.fromkeys(marts.MART_RULES, 0)
+    land(layout, "r1", 0, "junk", 1000)
+    assert all(m.count() == 0 for m in runs.run_operational(spark, layout).values())
+    land(layout, "r2", 0, flight("1"), 2000)
+    first = runs.run_operational(spark, layout)
+    assert first["departure_airport_hourly"].count() == 1
+    again = runs.run_operational(spark, layout)
+    assert all(same(first[name], again[name]) for name in first)
+
+
+def test_guard_without_a_complete_run_leaves_everything(spark, layout):
+    land_airports(layout, "2024-01-01T00-00-00Z", [("FRA", 50.0), ("MUC", 48.0)], total=500)
+    with pytest.warns(UserWarning, match="no complete run"):
+        assert runs.run_reference(spark, layout, ["airports"], guard=True) == {"airports": {}}
+    plain = runs.run_reference(spark, layout, ["airports"])["airports"]["current"]
+    assert plain.count() == 2
+    with pytest.warns(UserWarning, match="left as they are"):
+        kept = runs.run_reference(spark, layout, ["airports"], guard=True)["airports"]
+    assert sorted(kept) == ["current", "quarantine", "snapshot"] and kept["current"].count() == 2
+
+
+def test_small_batches_archive_and_compaction(spark, layout):
+    land_airports(layout, "2024-01-01T00-00-00Z", [("FRA", 50.0), ("MUC", 48.0)])
+    runs.run_reference(spark, layout, ["airports"], archive=True)
+    for run in range(3):
+        for page in range(4):
+            land(layout, f"r{run}", page, flight(str(page), "EX" if run < 2 else "LD"), 1000 + run)
+        runs.run_operational(spark, layout, {"maxFilesPerTrigger": 1}, archive=True)
+    history = table(spark, layout, "flight_status_history")
+    assert history.count() == 12 and cdc.current_of(history).count() == 4
+    log = layout.silver("flight_status_cdc_source")
+    day = "flight_date=2024-01-01"
+    assert len([d for d in os.listdir(f"{log}/{day}") if d.startswith("query_id")]) >= 1
+    before = silver.read_dates(spark, log, flights.FEED_SCHEMA, silver.DATE, ["2024-01-01"]).collect()
+    silver.compact_log(spark, log, flights.FEED_SCHEMA)
+    after = silver.read_dates(spark, log, flights.FEED_SCHEMA, silver.DATE, ["2024-01-01"]).collect()
+    assert sorted(map(str, before)) == sorted(map(str, after)) and len(os.listdir(f"{log}/{day}")) == 1
+    silver.compact_log(spark, log, flights.FEED_SCHEMA)  # nothing to do
+    land(layout, "r9", 0, flight("0", "LD", delay=9), 5000)
+    runs.run_operational(spark, layout, archive=True)
+    assert table(spark, layout, "flight_status_history").count() == 13
+    assert os.path.isdir(layout.archive)
+
+
 def test_pages_only_invalid(spark, layout):
     land(layout, "r1", 0, "junk", 1000)
     bronze.ingest_flights(spark, layout)
