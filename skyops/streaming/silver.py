@@ -88,7 +88,7 @@ def compact_log(spark: SparkSession, log: str, schema: T.StructType, dates: list
             continue
         batch = f"query_id=compacted-{uuid.uuid4().hex}/batch_id=0"
         inside = T.StructType([f for f in schema if f.name != partition])
-        rows = spark.read.schema(inside).parquet(*[f"{log}/{folder}/{n}" for n in old])
+        rows = spark.read.schema(inside).option("basePath", f"{log}/{folder}").parquet(*[f"{log}/{folder}/{n}" for n in old])
         rows.select(*inside.names).distinct().hint("rebalance").write.parquet(f"{log}/{folder}/{batch}")
         for name in old:
             files.delete(spark, f"{log}/{folder}/{name}")
