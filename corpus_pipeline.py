@@ -10,7 +10,7 @@ from skyops.llm.common import sized, stored, words_of
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS = 5
-MAX_BITS = 2
+MIN_SIMILARITY = 0.8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,8 +32,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id."""
-    found = simhash.near_duplicates(docs, SHINGLE_WORDS, MAX_BITS)
+    """Of each group of texts that are similar enough the document with the least id."""
+    found = simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY)
     later = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_later"))
     later = stored(later, "pipeline-near")
     kept = docs.join(sized(later), F.col("doc_id").eqNullSafe(F.col("_later")), "left_anti")

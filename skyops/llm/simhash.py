@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.llm.common import hash_texts, split_words, stored, text_slices
+from skyops.llm.common import hash_texts, sized, split_words, stored, text_slices
 from skyops.llm.components import components
 
 HASH_SEED = 42
@@ -158,3 +158,77 @@ def near_duplicates(docs: DataFrame, n: int = 3, max_bits: int = 2, bucket: int
     names = member.groupBy("component").agg(F.min("least_id").alias("component_id"))
     of_print = member.join(names, "component").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def _samples(hashes: np.ndarray, counts: np.ndarray, bins: int, size: int) -> np.ndarray:
+    """For each text and bin (a residue of the shingles' hashes) the fingerprint of the ``size`` least distinct hashes."""
+    group = np.repeat(np.arange(len(counts)), counts) * bins + (hashes % np.uint64(bins)).astype(np.int64)
+    order = np.lexsort((hashes, group))
+    group, hashes = group[order], hashes[order]
+    new = np.ones(len(group), dtype=bool)
+    new[1:] = (group[1:] != group[:-1]) | (hashes[1:] != hashes[:-1])
+    group, hashes = group[new], hashes[new]
+    first = np.searchsorted(group, np.arange(len(counts) * bins + 1))
+    rank = np.arange(len(group)) - np.repeat(first[:-1], np.diff(first))
+    chosen = rank < size
+    return _set_bits(hashes[chosen], np.bincount(group[chosen], minlength=len(counts) * bins)).reshape(len(counts), bins)
+
+
+def similar_duplicates(
+    docs: DataFrame, n: int = 5, max_bits: int = 2, min_similarity: float = 0.8, bins: int = 10, sample: int = 3
+) -> DataFrame:
+    """One row per row of ``docs`` (``doc_id`` and ``text`` are read): ``doc_id, component_id``, by similarity.
+
+    Texts belong together if their sets of ``n``-word shingles have a Jaccard similarity of at least ``min_similarity``,
+    directly or through others. Candidates are the links of ``linked`` between whole fingerprints and, as those reach only
+    texts that are nearly equal, equal fingerprints of samples: shingles fall into ``bins`` by their hash, and in each bin the
+    ``sample`` least hashes make a fingerprint. At similarity s a bin agrees with probability about s ** sample, so of pairs
+    at 0.8 about one in a thousand has no bin in common. Members of a group are linked to its least document only; every
+    link is then verified on the whole shingle sets. Texts with equal whole fingerprints count as equal.
+
+    Nulls, blanks, repeated ids and the empty table as in ``near_duplicates``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                hashes, counts = _shingle_hashes(*split_words(part.column("text"), lower=True), n)
+                whole, samples = _set_bits(hashes, counts), _samples(hashes, counts, bins, sample)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), pa.list_(pa.int64()))],
+                    ["doc_id", "fp", "samples"],
+                )
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                hashes, counts = _shingle_hashes(*split_words(part.column("text"), lower=True), n)
+                ends = np.cumsum(counts)
+                own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, counts)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(own, pa.list_(pa.int64()))], ["id", "shingles"])
+
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    prints = stored(read.mapInArrow(run, "doc_id long, fp long, samples array<long>"), "simhash-prints")
+    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
+    named = classes.where("least_id IS NOT NULL")
+    near = linked(classes, max_bits)
+    for end in ("a", "b"):
+        near = near.join(named.select(F.col("fp").alias(end), F.col("least_id").alias(f"{end}_id")), end)
+    of_class = prints.join(named.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("least_id")))
+    binned = of_class.where("fp <> 0").select("doc_id", F.posexplode("samples").alias("bin", "print")).where("print <> 0")
+    groups = binned.groupBy("bin", "print").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    alike = binned.join(groups, ["bin", "print"]).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    links = stored(near.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).union(alike).distinct(), "simhash-candidates")
+
+    ids = links.select(F.col("a").alias("_id")).union(links.select("b")).distinct()
+    whole = stored(read.join(sized(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text").mapInArrow(sets, "id long, shingles array<long>"), "simhash-sets")
+    of_a = whole.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
+    of_b = whole.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    similar = links.join(of_a, "a").join(of_b, "b").where(
+        both >= min_similarity * (F.size("of_a") + F.size("of_b") - both)
+    )
+    found = components(stored(similar.select("a", "b").distinct(), "simhash-links"), "a", "b")
+    of_print = classes.join(found, F.col("least_id") == F.col("node"), "left").select(
+        F.col("fp").alias("_fp"), F.coalesce("component", "least_id").alias("component_id")
+    )
+    return prints.join(of_print, F.col("fp") == F.col("_fp")).select("doc_id", "component_id")

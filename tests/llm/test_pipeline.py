@@ -7,7 +7,7 @@ from test_decontaminate import by_alignment
 from test_line_dedup import by_all_pairs, words
 from test_mixing import by_resharing
 from test_quality import counts
-from test_simhash import classes, fingerprint
+from test_simhash import classes, shingles, similarity
 
 from skyops.llm.common import stored
 
@@ -60,8 +60,8 @@ def test_stages(spark, tmp_path):
     assert {i: r.text for i, r in lines.items()} == alive and all(r.n_chars == len(r.text) for r in lines.values())
     assert not set(range(1, 90, 9)) & set(lines)
     # Near-duplicates.
-    prints = {i: fingerprint(r.text, 5) for i, r in lines.items()}
-    of = classes(prints, lambda a, b: bin(prints[a] ^ prints[b]).count("1") <= 2)
+    sets = {i: shingles(r.text, 5) for i, r in lines.items()}
+    of = classes(sets, lambda a, b: similarity(sets[a], sets[b]) >= 0.8)
     assert {i: r.text for i, r in near.items()} == {i: r.text for i, r in lines.items() if of[i] == i}
     # Leaks.
     bad = {int(d) for d, *_ in by_alignment([(i, r.text) for i, r in near.items()], benchmark)}

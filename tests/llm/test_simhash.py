@@ -15,6 +15,15 @@ def fingerprint(text, n):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def shingles(text, n):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)} or ({" ".join(words)} if words else set())
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def classes(items, linked):
     parent = {i: i for i in items}
 
@@ -71,6 +80,29 @@ def test_dense_fingerprints(spark):
         assert {v: got.get(v, v) for v in values} == want
 
 
+def test_similar_texts(spark):
+    """Near copies from 0.5 to 1: none below 0.8 are linked, and those above are found."""
+    rng = random.Random(9)
+    rows = {}
+    for family in range(25):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([60, 150, 400]))]
+        rows[len(rows)] = " ".join(words)
+        for _ in range(5):
+            copy = list(words)
+            for _ in range(rng.randrange(1 + len(copy) // 40)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(5000)}"
+            rows[len(rows)] = " ".join(copy)
+    start = len(rows)
+    rows |= {start: None, start + 1: " ", start + 2: "one two", start + 3: "One\ttwo", start + 4: "one three"}
+    sets = {i: shingles(t, 5) for i, t in rows.items()}
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows.items()], "doc_id long, text string, fp int").repartition(4)
+    got = {r.doc_id: r.component_id for r in simhash.similar_duplicates(docs).collect()}
+    assert got == classes(rows, lambda a, b: similarity(sets[a], sets[b]) >= 0.8)
+    assert simhash.similar_duplicates(docs.limit(0)).collect() == []
+    odd = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (4, "q r s t u v"), (None, "x")], "doc_id long, text string")
+    assert sorted(str(r.component_id) for r in simhash.similar_duplicates(odd).collect()) == ["4", "4", "4", "None"]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 1), (7, 7), (9, 8), (None, 4), (5, None), *[(100 + i, 101 + i) for i in range(60)], *[(500, 501 + i) for i in range(40)], (540, 20)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
