@@ -6,7 +6,7 @@ import corpus_pipeline as cp
 from test_decontaminate import by_alignment
 from test_line_dedup import by_all_pairs, words
 from test_mixing import by_resharing
-from test_quality import counts
+from test_line_quality import counts
 from test_simhash import classes, shingles, similarity
 
 from skyops.llm.common import stored
