@@ -135,11 +135,11 @@ ORACLE: dict[str, str] = {
                 CASE WHEN speaker = me THEN '<|assistant|>' ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
             FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.stretch = p.stretch
         ), a AS (
-            SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, stretch, me ORDER BY rank) - length(body) AS at FROM j
+            SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, stretch, me ORDER BY rank) - length(body) AS offs FROM j
         )
         SELECT conv_id, stretch, me AS speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
             string_agg(head || body, '' ORDER BY rank) AS rendered,
-            string_agg(at::BIGINT::VARCHAR || '+' || length(body)::VARCHAR, ',' ORDER BY rank) FILTER (WHERE own) AS mask
+            string_agg(offs::BIGINT::VARCHAR || '+' || length(body)::VARCHAR, ',' ORDER BY rank) FILTER (WHERE own) AS mask
         FROM a GROUP BY conv_id, stretch, me
     """,
     "op5_warc": """
