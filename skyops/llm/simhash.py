@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ HASH_SEED = 42
 BITS = 64
 # Pairs are formed inside a bucket of at most this many fingerprints; a larger one is linked through shared neighbours.
 BUCKET = 64
+# Texts that share a needed shingle are compared in blocks of about so many, and without further rounds if so few pairs are left.
+BLOCK = 1024
+FEW_PAIRS = 5_000_000
 _SHINGLE_STEP = 1 << 18
 
 
@@ -174,61 +178,149 @@ def _samples(hashes: np.ndarray, counts: np.ndarray, bins: int, size: int) -> np
     return _set_bits(hashes[chosen], np.bincount(group[chosen], minlength=len(counts) * bins)).reshape(len(counts), bins)
 
 
+def _verified(pairs: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose whole shingle sets are similar enough."""
+    of_a = sets.select(F.col("whole").alias("a"), F.col("shingles").alias("of_a"))
+    of_b = sets.select(F.col("whole").alias("b"), F.col("shingles").alias("of_b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    counted = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+    return counted.where(F.col("both") / (F.col("sum") - F.col("both")) >= min_similarity).select("a", "b")
+
+
+def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
+    """``whole, size, shingle, pos``: of each set the shingles one of which any similar set shares, with their place.
+
+    In one order for all sets, rare shingles first, sets of ``size`` shingles that have ``c`` or more in common with another
+    share one of their first ``size - c + 1``. Shingles of one set only come first and need no row.
+    """
+    rows = sets.select("whole", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = stored(rows.join(shared, "shingle"), "simhash-shared")
+    of_set = Window.partitionBy("whole")
+    rank = F.row_number().over(of_set.orderBy("df", "shingle")) - 1
+    pos = F.col("size") - F.count(F.lit(1)).over(of_set) + rank
+    placed = common.select("whole", "size", "shingle", pos.cast("int").alias("pos"))
+    return placed.where(F.col("pos") <= F.col("size") - F.ceil(min_similarity * F.col("size") - 1e-9))
+
+
+def _apart(prefixes: DataFrame, found: DataFrame) -> DataFrame:
+    """``prefixes`` with their sets' ``component`` and ``n``, the members of the shingle's group; only groups that hold sets of
+    several components."""
+    named = prefixes.join(found, F.col("whole") == F.col("node"), "left").select(
+        *prefixes.columns, F.coalesce("component", "whole").alias("component")
+    )
+    groups = named.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    return stored(named.join(groups.where("low <> high").select("shingle", "n"), "shingle"), "simhash-apart")
+
+
+def _possible(a: str, b: str, min_similarity: float) -> Column:
+    """Can the sets of two prefix rows be similar, this shingle being the first that they share? A similar pair passes at the
+    first shingle that it does share."""
+    x, y = F.col(f"{a}.size"), F.col(f"{b}.size")
+    rest = F.least(x - F.col(f"{a}.pos"), y - F.col(f"{b}.pos"))
+    least = F.lit(min_similarity / (1 + min_similarity)) * (x + y) - 1e-9
+    return (F.col(f"{a}.component") != F.col(f"{b}.component")) & (rest >= least)
+
+
+def _hub_pairs(apart: DataFrame, turn: int, min_similarity: float) -> DataFrame:
+    """Pairs ``a, b`` of each set with one member of every group, another one each ``turn``."""
+    hub = F.min(F.struct(F.xxhash64("whole", "shingle", F.lit(turn)).alias("h"), "whole", "size", "pos", "component"))
+    hubs = apart.groupBy("shingle").agg(hub.alias("y"))
+    met = apart.select("shingle", F.struct("whole", "size", "pos", "component").alias("x")).join(hubs, "shingle")
+    pairs = met.where(_possible("x", "y", min_similarity))
+    return pairs.select(F.least("x.whole", "y.whole").alias("a"), F.greatest("x.whole", "y.whole").alias("b")).distinct()
+
+
+def _all_pairs(apart: DataFrame, min_similarity: float, block: int) -> DataFrame:
+    """All pairs ``a, b`` of sets of different components in a group. Large groups are cut into blocks of about ``block``
+    members and joined block by block, so no task owns a group."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    cut = apart.withColumn("own", F.pmod(F.xxhash64("whole"), blocks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), blocks - 1))
+    )
+    side = F.struct("whole", "size", "pos", "component")
+    x = cut.select("shingle", F.col("own").alias("i"), F.col("other").alias("j"), side.alias("x"))
+    y = cut.select("shingle", F.col("other").alias("i"), F.col("own").alias("j"), side.alias("y"))
+    pairs = x.join(y, ["shingle", "i", "j"]).where(F.col("x.whole") < F.col("y.whole")).where(_possible("x", "y", min_similarity))
+    return pairs.select(F.col("x.whole").alias("a"), F.col("y.whole").alias("b")).distinct()
+
+
 def similar_duplicates(
-    docs: DataFrame, n: int = 5, max_bits: int = 2, min_similarity: float = 0.8, bins: int = 10, sample: int = 3
+    docs: DataFrame, n: int = 5, max_bits: int = 2, min_similarity: float = 0.8, bins: int = 10, sample: int = 3,
+    block: int = BLOCK, few_pairs: int = FEW_PAIRS,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id`` and ``text`` are read): ``doc_id, component_id``, by similarity.
 
     Texts belong together if their sets of ``n``-word shingles have a Jaccard similarity of at least ``min_similarity``,
-    directly or through others. Candidates are the links of ``linked`` between whole fingerprints and, as those reach only
-    texts that are nearly equal, equal fingerprints of samples: shingles fall into ``bins`` by their hash, and in each bin the
-    ``sample`` least hashes make a fingerprint. At similarity s a bin agrees with probability about s ** sample, so of pairs
-    at 0.8 about one in a thousand has no bin in common. Members of a group are linked to its least document only; every
-    link is then verified on the whole shingle sets. Texts with equal whole fingerprints count as equal.
-
-    Nulls, blanks, repeated ids and the empty table as in ``near_duplicates``.
+    directly or through others; the result is that of a comparison of all pairs. Equal sets collapse. The links of ``linked``
+    between whole fingerprints and equal fingerprints of samples (shingles fall into ``bins`` by their hash, and in each bin
+    the ``sample`` least hashes make a fingerprint) tie each text to one of its group and so join most copies at little cost.
+    What they miss is then looked for among the shingles of which similar sets must share one (``_prefixes``), and only where
+    such a shingle's texts are in several components: while that makes more than ``few_pairs`` pairs, each text meets one
+    other text of the group per round, and when rounds join nothing more or few pairs are left, all of them are formed. All
+    links are verified on the whole shingle sets.
+
+    Nulls, blanks, repeated ids and the empty table as in ``near_duplicates``, with sets in place of fingerprints.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 hashes, counts = _shingle_hashes(*split_words(part.column("text"), lower=True), n)
                 whole, samples = _set_bits(hashes, counts), _samples(hashes, counts, bins, sample)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), pa.list_(pa.int64()))],
-                    ["doc_id", "fp", "samples"],
-                )
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                hashes, counts = _shingle_hashes(*split_words(part.column("text"), lower=True), n)
                 ends = np.cumsum(counts)
                 own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, counts)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(own, pa.list_(pa.int64()))], ["id", "shingles"])
+                keys = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), HASH_SEED) for x in own), np.uint64, len(own))
+                lists = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), lists),
+                     pa.array(keys.view(np.int64)), pa.array(own, lists)],
+                    ["doc_id", "fp", "samples", "whole", "shingles"],
+                )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    prints = stored(read.mapInArrow(run, "doc_id long, fp long, samples array<long>"), "simhash-prints")
-    classes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-classes")
-    named = classes.where("least_id IS NOT NULL")
-    near = linked(classes, max_bits)
+    made = read.mapInArrow(run, "doc_id long, fp long, samples array<long>, whole long, shingles array<long>")
+    prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
+    classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
+    of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
+    sets = stored(of_class.select("whole", "fp", "samples", "shingles"), "simhash-sets")
+
+    by_print = sets.groupBy("fp").agg(F.min("whole").alias("first"))
+    near = linked(sets, max_bits)
     for end in ("a", "b"):
-        near = near.join(named.select(F.col("fp").alias(end), F.col("least_id").alias(f"{end}_id")), end)
-    of_class = prints.join(named.withColumnRenamed("fp", "_fp"), (F.col("fp") == F.col("_fp")) & (F.col("doc_id") == F.col("least_id")))
-    binned = of_class.where("fp <> 0").select("doc_id", F.posexplode("samples").alias("bin", "print")).where("print <> 0")
-    groups = binned.groupBy("bin", "print").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    alike = binned.join(groups, ["bin", "print"]).where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    links = stored(near.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).union(alike).distinct(), "simhash-candidates")
-
-    ids = links.select(F.col("a").alias("_id")).union(links.select("b")).distinct()
-    whole = stored(read.join(sized(ids), F.col("doc_id") == F.col("_id")).select("doc_id", "text").mapInArrow(sets, "id long, shingles array<long>"), "simhash-sets")
-    of_a = whole.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    of_b = whole.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    similar = links.join(of_a, "a").join(of_b, "b").where(
-        both >= min_similarity * (F.size("of_a") + F.size("of_b") - both)
+        near = near.join(by_print.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_set")), end)
+    binned = sets.select("whole", F.posexplode("samples").alias("bin", "print")).where("print <> 0").unionByName(
+        sets.select("whole", F.lit(-1).alias("bin"), F.col("fp").alias("print"))
     )
-    found = components(stored(similar.select("a", "b").distinct(), "simhash-links"), "a", "b")
-    of_print = classes.join(found, F.col("least_id") == F.col("node"), "left").select(
-        F.col("fp").alias("_fp"), F.coalesce("component", "least_id").alias("component_id")
+    groups = binned.groupBy("bin", "print").agg(F.min("whole").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    alike = binned.join(groups, ["bin", "print"]).where("whole <> first").select(F.col("first").alias("a"), F.col("whole").alias("b"))
+    pairs = near.select(F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b")).union(alike).distinct()
+    links = stored(_verified(stored(pairs, "simhash-candidates"), sets, min_similarity), "simhash-links")
+    found = stored(components(links, "a", "b"), "simhash-components")
+
+    prefixes = stored(_prefixes(sets, min_similarity), "simhash-prefixes")
+    turn, apart = 0, _apart(prefixes, found)
+    # A group of n rows makes n ** 2 / 2 pairs; each of its rows carries n.
+    while (apart.agg(F.sum("n")).first()[0] or 0) > 2 * few_pairs:
+        turn += 1
+        more = stored(_verified(stored(_hub_pairs(apart, turn, min_similarity), "simhash-candidates"), sets, min_similarity), "simhash-links")
+        if more.isEmpty():
+            break
+        ties = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = stored(components(ties.unionByName(more), "a", "b"), "simhash-components")
+        apart = _apart(prefixes, found)
+    rest = stored(_all_pairs(apart, min_similarity, block), "simhash-candidates")
+    more = stored(_verified(rest, sets, min_similarity), "simhash-links")
+    if not more.isEmpty():
+        ties = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(ties.unionByName(more), "a", "b")
+
+    member = classes.join(found, F.col("whole") == F.col("node"), "left").select(
+        "whole", "least_id", F.coalesce("component", "whole").alias("component")
+    )
+    member = stored(member, "simhash-members")
+    names = member.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return prints.select("doc_id", "whole").join(member.join(names, "component").select("whole", "component_id"), "whole").select(
+        "doc_id", "component_id"
     )
-    return prints.join(of_print, F.col("fp") == F.col("_fp")).select("doc_id", "component_id")

@@ -103,6 +103,29 @@ def test_similar_texts(spark):
     assert sorted(str(r.component_id) for r in simhash.similar_duplicates(odd).collect()) == ["4", "4", "4", "None"]
 
 
+def edited_family(seed, copies, words, edits, shared=0):
+    """Copies of one text, each edited on its own; with ``shared`` words in front that are never edited."""
+    rng = random.Random(seed)
+    text = [f"w{rng.randrange(5000)}" for _ in range(words)]
+    for _ in range(copies):
+        copy = list(text)
+        for _ in range(edits):
+            copy[rng.randrange(shared, words)] = f"x{rng.randrange(10**6)}"
+        yield " ".join(copy)
+
+
+@pytest.mark.parametrize(("few_pairs", "block"), [(simhash.FEW_PAIRS, simhash.BLOCK), (0, 7)])
+def test_independent_edits(spark, few_pairs, block):
+    """Copies that are similar to some others but seldom to the first: the components of all pairs."""
+    families = [edited_family(1, 150, 176, 2), edited_family(2, 100, 255, 3), edited_family(3, 100, 160, 2, 100)]
+    rows = dict(enumerate(t for family in families for t in family))
+    sets = {i: shingles(t, 5) for i, t in rows.items()}
+    want = classes(rows, lambda a, b: similarity(sets[a], sets[b]) >= 0.8)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in simhash.similar_duplicates(docs, few_pairs=few_pairs, block=block).collect()}
+    assert len(set(want.values())) < len(rows) - 100 and got == want
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 1), (7, 7), (9, 8), (None, 4), (5, None), *[(100 + i, 101 + i) for i in range(60)], *[(500, 501 + i) for i in range(40)], (540, 20)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
