@@ -23,11 +23,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that repeat an earlier one. A document goes if it lost lines and none of those left is
-    long enough to be compared: all that it said has been said before."""
-    deduped = line_dedup.dedup_lines(docs)
-    own = F.exists(F.split("text", "\n"), lambda line: F.size(words_of(line)) >= line_dedup.MIN_WORDS)
-    kept = deduped.where((F.col("n_dropped") == 0) | own)
+    """Documents without the lines that repeat an earlier one; every line with a word is compared. A document goes if it lost
+    lines and no word is left: all that it said has been said before."""
+    deduped = line_dedup.dedup_lines(docs, min_words=1)
+    kept = deduped.where((F.col("n_dropped") == 0) | (F.size(words_of(F.col("text"))) > 0))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

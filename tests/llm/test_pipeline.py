@@ -75,3 +75,13 @@ def test_stages(spark, tmp_path):
     assert set(mix) <= set(clean) and all(r.text == clean[i].text for i, r in mix.items())
     again = {r.doc_id: r for r in cp.run(spark, sf_dir).collect()}
     assert again == mix
+
+
+def test_short_lines_of_their_own(spark):
+    """A document of short lines stays without the footer that it shares; one whose lines have all been said goes."""
+    footer, short = "all rights reserved by the authors", [f"rose {i}" for i in range(40)]
+    texts = {0: footer, 1: "\n".join([*short, footer]), 2: "\n".join([*short[5:9], "", footer]), 3: "thorn\nrose 3\n" + footer, 4: "\n \n"}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in cp.dedup_lines(spark, docs, "").collect()}
+    want = {0: footer, 1: "\n".join(short), 3: "thorn", 4: "\n \n"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
