@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ BUCKET = 64
 # Texts that share a needed shingle are compared in blocks of about so many, and without further rounds if so few pairs are left.
 BLOCK = 1024
 FEW_PAIRS = 5_000_000
+# Shingles whose frequency is known when sets are put in order; any number gives the same result.
+COMMON = 1 << 16
 _SHINGLE_STEP = 1 << 18
 
 
@@ -180,6 +183,8 @@ def _samples(hashes: np.ndarray, counts: np.ndarray, bins: int, size: int) -> np
 
 def _verified(pairs: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
     """The ``pairs`` (``a, b``) whose whole shingle sets are similar enough."""
+    ids = sized(pairs.select(F.col("a").alias("whole")).union(pairs.select("b")).distinct())
+    sets = sets.join(ids, "whole", "left_semi")
     of_a = sets.select(F.col("whole").alias("a"), F.col("shingles").alias("of_a"))
     of_b = sets.select(F.col("whole").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
@@ -187,20 +192,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, min_similarity: float) -> DataF
     return counted.where(F.col("both") / (F.col("sum") - F.col("both")) >= min_similarity).select("a", "b")
 
 
+def _common(sets: DataFrame) -> np.ndarray:
+    """Shingles that many sets hold, the most frequent last, from one set in 16. They only set an order: results don't depend
+    on them."""
+    some = sets.where(F.pmod(F.xxhash64("whole"), F.lit(16)) == 0).select(F.explode("shingles").alias("shingle"))
+    counted = some.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 3")
+    rows = counted.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
+    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64)
+
+
 def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
     """``whole, size, shingle, pos``: of each set the shingles one of which any similar set shares, with their place.
 
-    In one order for all sets, rare shingles first, sets of ``size`` shingles that have ``c`` or more in common with another
-    share one of their first ``size - c + 1``. Shingles of one set only come first and need no row.
+    In one order for all sets, common shingles last, sets of ``size`` shingles that have ``c`` or more in common with another
+    share one of their first ``size - c + 1``. Only shingles that several sets have there are kept.
     """
-    rows = sets.select("whole", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
-    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    common = stored(rows.join(shared, "shingle"), "simhash-shared")
-    of_set = Window.partitionBy("whole")
-    rank = F.row_number().over(of_set.orderBy("df", "shingle")) - 1
-    pos = F.col("size") - F.count(F.lit(1)).over(of_set) + rank
-    placed = common.select("whole", "size", "shingle", pos.cast("int").alias("pos"))
-    return placed.where(F.col("pos") <= F.col("size") - F.ceil(min_similarity * F.col("size") - 1e-9))
+    last = _common(sets)
+    by_value = np.argsort(last)
+    values = last[by_value]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wholes, sizes, shingles, places = [], [], [], []
+            for whole, own in zip(batch.column(0).to_pylist(), batch.column(1)):
+                x = own.values.to_numpy()
+                rank = np.zeros(len(x), dtype=np.int64)
+                if len(values):
+                    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+                    rank = np.where(values[at] == x, by_value[at] + 1, 0)
+                n = len(x) - math.ceil(min_similarity * len(x) - 1e-9) + 1
+                shingles.append(x[np.lexsort((x, rank))[:n]])
+                n = len(shingles[-1])
+                wholes.append(np.full(n, whole, dtype=np.int64))
+                sizes.append(np.full(n, len(x), dtype=np.int32))
+                places.append(np.arange(n, dtype=np.int32))
+            if wholes:
+                columns = [pa.array(np.concatenate(c)) for c in (wholes, sizes, shingles, places)]
+                yield pa.RecordBatch.from_arrays(columns, ["whole", "size", "shingle", "pos"])
+
+    rows = sets.select("whole", "shingles").mapInArrow(run, "whole long, size int, shingle long, pos int")
+    shared = rows.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    return rows.join(sized(stored(shared, "simhash-shared")), "shingle").select("whole", "size", "shingle", "pos")
 
 
 def _apart(prefixes: DataFrame, found: DataFrame) -> DataFrame:
@@ -284,14 +316,15 @@ def similar_duplicates(
     prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
     classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
     of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
-    sets = stored(of_class.select("whole", "fp", "samples", "shingles"), "simhash-sets")
+    # Sets are read from the one stored copy each time.
+    sets, keyed = of_class.select("whole", "shingles"), stored(of_class.select("whole", "fp", "samples"), "simhash-keys")
 
-    by_print = sets.groupBy("fp").agg(F.min("whole").alias("first"))
-    near = linked(sets, max_bits)
+    by_print = keyed.groupBy("fp").agg(F.min("whole").alias("first"))
+    near = linked(keyed, max_bits)
     for end in ("a", "b"):
         near = near.join(by_print.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_set")), end)
-    binned = sets.select("whole", F.posexplode("samples").alias("bin", "print")).where("print <> 0").unionByName(
-        sets.select("whole", F.lit(-1).alias("bin"), F.col("fp").alias("print"))
+    binned = keyed.select("whole", F.posexplode("samples").alias("bin", "print")).where("print <> 0").unionByName(
+        keyed.select("whole", F.lit(-1).alias("bin"), F.col("fp").alias("print"))
     )
     groups = binned.groupBy("bin", "print").agg(F.min("whole").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     alike = binned.join(groups, ["bin", "print"]).where("whole <> first").select(F.col("first").alias("a"), F.col("whole").alias("b"))
