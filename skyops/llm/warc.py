@@ -79,6 +79,15 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = REVISIT_BYTES)
     rows.select(record.alias("value")).write.option("lineSep", RECORD_END).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
+def _head(data: pa.Buffer) -> tuple[bytes, bytes, bytes]:
+    """What precedes the first blank line of a segment, the blank line (empty if there is none) and some of the rest. Reads
+    further only as long as it has not been found."""
+    size = 1 << 16
+    while not (head := data.slice(0, min(data.size, size)).to_pybytes().partition(b"\r\n\r\n"))[1] and size < data.size:
+        size *= 8
+    return head
+
+
 def segments(spark: SparkSession, path: str) -> DataFrame:
     """What lies between magic strings, with its place: ``file, block, seq, start, length, next, head_length, content_length, value``.
 
@@ -97,7 +106,7 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
                     at, seq, start = (file, block), 0, 0
                 data = value.as_buffer()
                 length = data.size
-                head = data.slice(0, min(length, 1 << 16)).to_pybytes().partition(b"\r\n\r\n")
+                head = _head(data)
                 found = _LENGTH.search(head[0]) if head[1] else None
                 content = int(found[1]) if found else None
                 for name, x in (

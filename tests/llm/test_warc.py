@@ -85,6 +85,15 @@ def test_damage_ends_the_chain(spark):
     assert warc.read_archives(spark, path).count() == 3
 
 
+def test_long_headers(spark):
+    """A url of 100 KB and one of 1 MB in the middle of a file."""
+    urls = {1: "http://a/", 2: "data:" + "x" * 100_000, 3: "http://c/", 4: "data:" + "y" * 1_000_000, 5: "http://e/"}
+    path = workspace(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame([(i, u, f"page {i}", "") for i, u in urls.items()], SCHEMA).coalesce(1), path)
+    got = {r.page_id: (r.url, bytes(r.payload).decode()) for r in warc.read_archives(spark, path).collect()}
+    assert got == {i: (u, f"page {i}") for i, u in urls.items()}
+
+
 def test_repeats_and_no_rows(spark):
     rows = [(1, "u", "r" * 200, "")] * 2 + [(2, "u", "r" * 200, "")]
     path = workspace(spark, "warc-test")
