@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyops.llm import chat, decontaminate, katz, line_dedup, mixing, quality, simhash, token_counts, url_rules, warc
+from skyops.llm import (
+    chat, decontaminate, fill_in_middle, katz, line_dedup, mixing, prefix_trie, quality, simhash, token_counts, url_rules, warc,
+    weighted_sampling,
+)
 from skyops.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +81,23 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendered.withColumn("mask", F.array_join(spans, ","))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.compare_with_next(read(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle.fill_in_middle(read(spark, sf_dir, "documents"))
+    again = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(again, 256).alias("restored_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(read(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -89,6 +109,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_url_rules": op9_url_rules,
     "op10_chat": op10_chat,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LINES = r"""
@@ -153,4 +176,61 @@ ORACLE: dict[str, str] = {
             CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM f
     """,
+    "op12_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ), u AS (
+            SELECT *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us,
+                ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3,
+                ('0x' || h[25:32])::BIGINT AS h4 FROM d
+        ), c AS (
+            SELECT *, len(us) AS n, least(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS a, greatest(h1 % (len(us) + 1), h2 % (len(us) + 1)) AS b,
+                CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+                    THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u
+        ), p AS (
+            SELECT *, array_to_string(us[1:a], '') AS pre, array_to_string(us[a + 1:b], '') AS mid, array_to_string(us[b + 1:n], '') AS suf FROM c
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM p
+    """,
+    "op13_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), s AS (
+            SELECT conv_id, count(*) AS n, conv_id::VARCHAR AS dec FROM t GROUP BY conv_id
+        ), c AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(8 * length(dec)), lambda i: (ascii(dec[i // 8 + 1]) >> (i % 8)::INT) & 1)),
+                lambda a, b: xor(a >> 1, (xor(a, b) & 1) * 3988292384))) % 6 AS h FROM s
+        ), e AS (
+            SELECT c.*, least(h, coalesce(n, 0)) AS lent FROM c LEFT JOIN s ON c.base = s.conv_id
+        ), r AS (
+            SELECT e.conv_id, k - h + lent AS depth, role, text FROM e JOIN t ON e.conv_id = t.conv_id WHERE k > h
+            UNION ALL SELECT e.conv_id, k, role, text FROM e JOIN t ON e.base = t.conv_id WHERE k <= h
+        ), p AS (
+            SELECT conv_id, depth, text, sha256(string_agg(sha256(length(role) || ':' || role || text), '' ORDER BY depth)
+                OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM r
+            UNION ALL SELECT conv_id, 0, '', '' FROM c
+        ), q AS (
+            SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS at_end, lag(key) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM p
+        ), v AS (
+            SELECT key, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+                (count(*) - 1) * length(any_value(text)) AS weight, count(*) = count(*) FILTER (WHERE at_end) AS leaf,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE at_end), '')) AS ends_sha256
+            FROM q GROUP BY key
+        ), k AS (
+            SELECT parent AS key, count(*) AS n_children FROM v WHERE parent IS NOT NULL GROUP BY parent
+        ), x AS (
+            SELECT q.key, sum(weight) AS saved_tokens, count(*) FILTER (WHERE leaf) AS n_leaves
+            FROM v JOIN q ON q.conv_id = v.conv_id AND q.depth <= v.depth GROUP BY q.key
+        )
+        SELECT v.conv_id, v.depth, o.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+            saved_tokens::BIGINT AS saved_tokens, v.ends_sha256
+        FROM v JOIN x ON v.key = x.key LEFT JOIN k ON v.key = k.key LEFT JOIN v o ON v.parent = o.key
+    """,
 }
