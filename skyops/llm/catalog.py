@@ -119,9 +119,9 @@ raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS line_no FROM raw),
 w AS (SELECT doc_id, line_no, line, list_filter(string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
-e AS (SELECT doc_id, line_no, ws, array_to_string(ws, ' ') AS norm, len(ws) AS n FROM w WHERE len(ws) >= 5),
+e AS (SELECT doc_id, line_no, ws, array_to_string(ws, ' ') AS norm, len(ws) AS n FROM w WHERE len(ws) >= 1),
 f AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, line_no) AS copy FROM e),
-d AS (SELECT * FROM f WHERE copy = 1 AND n >= 10),
+d AS (SELECT * FROM f WHERE copy = 1 AND n >= 5),
 v AS (SELECT doc_id, line_no, i, array_to_string(ws[1:i - 1] || ws[i + 1:n], ' ') AS rest
  FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM d) x),
 s AS (SELECT doc_id, line_no, row_number() OVER (PARTITION BY rest, i ORDER BY doc_id, line_no) AS k FROM v),

@@ -52,17 +52,25 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.lit(1), text)
 
 
-def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about ``SLICE_BYTES`` of text, so memory doesn't depend on the batch size."""
-    lengths = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64))
-    start = 0
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+    upto, start = np.cumsum(sizes, dtype=np.int64), 0
     while start < batch.num_rows:
-        before = lengths[start - 1] if start else 0
-        end = max(start + 1, int(np.searchsorted(lengths, before + SLICE_BYTES, side="right")))
+        before = upto[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(upto, before + limit, side="right")))
         yield batch.slice(start, end - start)
         start = end
 
 
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``limit`` bytes of text, so memory doesn't depend on the batch size."""
+    yield from _slices(batch, np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)), limit)
+
+
+def list_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``limit`` values of a list column."""
+    yield from _slices(batch, np.asarray(pc.fill_null(pc.list_value_length(batch.column(column)), 0)), limit)
+
+
 def split_words(texts: pa.Array, lower: bool) -> tuple[pa.Array, np.ndarray]:
     """All words of all texts in one array, and for each text where its words begin (one more entry at the end)."""
     texts = pc.fill_null(texts, "")

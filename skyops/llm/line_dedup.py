@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.llm.common import BROADCAST_BYTES, SPACES, ascii_lower, stored, text_hash
+from skyops.llm.common import BROADCAST_BYTES, SPACE_RUN, SPACES, ascii_lower, stored, text_hash
 from skyops.operators.skew import is_small
 
-# Shorter lines (list marks, captions, rows of tables) are left alone; lines from EDIT_WORDS words may differ by one word.
-MIN_WORDS = 5
-EDIT_WORDS = 10
+# Every line with a word is compared; from EDIT_WORDS words, where four of five agree, lines may also differ by one word.
+MIN_WORDS = 1
+EDIT_WORDS = 5
 # Word hashes of 40 bits: the sum over a line of 8 million words still fits into a long.
 _MASK = (1 << 40) - 1
 
 _AT = ["doc_id", "th", "line_no"]
 
 
-def _normal(line: Column) -> Column:
-    """The words of a line, A-Z lower-cased, with single spaces. Apply to texts whose other white space is already blank."""
-    return F.btrim(line, F.lit(SPACES))
-
+def _normal(lines: Column) -> Column:
+    """The words of each of an array of lines, A-Z lower-cased, with single spaces.
 
-def _flat(text: Column) -> Column:
-    # Single blanks, nearly all there are, stay as they are.
-    return ascii_lower(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]{2,}|[\x09\x0B-\x0D]", " "))
+    Most lines have single blanks only, and many are ASCII, where the plain lower-casing is the same and quicker. Each step
+    is an array of its own, so that later ones don't work it out again.
+    """
+    other = SPACES.replace(" ", "").replace("\n", "")
+    odd = lambda x: reduce(lambda a, b: a | b, [F.contains(x, F.lit(s)) for s in ("  ", *other)])
+    flat = F.transform(lines, lambda x: F.when(odd(x), F.regexp_replace(x, SPACE_RUN, " ")).otherwise(x))
+    plain = lambda x: F.octet_length(x) == F.length(x)
+    return F.transform(flat, lambda x: F.btrim(F.when(plain(x), F.lower(x)).otherwise(ascii_lower(x)), F.lit(SPACES)))
 
 
 def _word_count(normal: Column) -> Column:
-    spaces = F.length(normal) - F.length(F.replace(normal, F.lit(" "), F.lit("")))
-    return F.when(F.length(normal) == 0, 0).otherwise(spaces + 1)
+    return F.when(F.length(normal) == 0, 0).otherwise(F.size(F.split(normal, " ")))
 
 
 def eligible_lines(docs: DataFrame, min_words: int, edit_words: int) -> DataFrame:
@@ -38,8 +42,8 @@ def eligible_lines(docs: DataFrame, min_words: int, edit_words: int) -> DataFram
     ``halves``: two lines within one word edit, the shorter of m words, agree in their first m // 2 or in their last m // 2
     words; m is the line's own length or one less.
     """
-    lines = docs.select("doc_id", text_hash(F.col("text")).alias("th"), F.posexplode(F.split(_flat(F.col("text")), "\n")).alias("line_no", "line"))
-    normal = lines.select("doc_id", "th", "line_no", _normal(F.col("line")).alias("line")).withColumn("words", _word_count(F.col("line")))
+    lines = docs.select("doc_id", text_hash(F.col("text")).alias("th"), F.posexplode(_normal(F.split("text", "\n"))).alias("line_no", "line"))
+    normal = lines.withColumn("words", _word_count(F.col("line")))
     half = lambda n, side: F.xxhash64(
         F.lit(side), n, F.call_function("substring_index", F.col("line"), F.lit(" "), n * side)
     )
@@ -125,11 +129,10 @@ def _edited(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     candidates = stored(long_lines.join(shared, "half", "left_semi").select(*_AT).distinct(), "lines-candidates")
     whole = docs.select("doc_id", text_hash(F.col("text")).alias("th"), "text")
     near = whole.join(_marks(candidates), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    numbered = F.transform(F.split(_flat(F.col("text")), "\n"), lambda line, n: F.struct(n.alias("line_no"), line.alias("line")))
-    lines = near.select("doc_id", "th", F.explode(F.filter(numbered, lambda x: _marked(x["line_no"]))).alias("l")).select(
-        "doc_id", "th", "l.line_no", _normal(F.col("l.line")).alias("line")
-    ).dropDuplicates(_AT)
-    lines = stored(lines, "lines-texts")
+    numbered = F.transform(F.split("text", "\n"), lambda line, n: F.struct(n.alias("line_no"), line.alias("line")))
+    marked = near.select("doc_id", "th", F.filter(numbered, lambda x: _marked(x["line_no"])).alias("l"))
+    lines = marked.select("doc_id", "th", F.inline(F.arrays_zip(F.col("l.line_no").alias("line_no"), _normal(F.col("l.line")).alias("line"))))
+    lines = stored(lines.dropDuplicates(_AT), "lines-texts")
     links = stored(_near_links(stored(_variants(lines), "lines-variants")), "lines-links")
 
     # Equal keys are verified on the words themselves.

@@ -116,9 +116,11 @@ def _fit_source(lengths: pd.DataFrame) -> pd.DataFrame:
 
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget_share: float = BUDGET_SHARE, seed: int = SEED,
+    whole_rows: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``, ``source`` are read, other columns are left alone):
-    ``doc_id, source, size, source_size, target, copies, taken``.
+    ``doc_id, source, size, source_size, target, copies, taken``. With ``whole_rows`` all columns of ``docs`` come along, but
+    the five new ones replace columns of these names.
 
     ``size`` is the number of words, 0 for a null or blank text; such a document is never drawn beyond whole passes. A null
     source is a source. ``copies`` is how often the mix takes the document, at most ``MAX_REPEATS``. Documents of one length
@@ -128,7 +130,8 @@ def mix(
     What one task gets of a source is its lengths with their counts, never its documents: at most as many rows as the
     longest document has words. Documents are ranked only in one of about sqrt(n) hash ranges of the n documents of a length.
     """
-    lengths = docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"))
+    carried = [F.struct("*").alias("row")] if whole_rows else []
+    lengths = docs.select("doc_id", "source", F.size(words_of(F.col("text"))).cast("long").alias("size"), *carried)
     lengths = stored(lengths, "mix-lengths")
     counted = lengths.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     totals = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -164,6 +167,8 @@ def mix(
     outside = placed.where(~at_edge).withColumn("_extra", whole.cast("long"))
     drawn = inside.unionByName(outside).withColumn("copies", F.col("passes") + F.col("_extra"))
     result = drawn.join(sized(target_of), F.col("source").eqNullSafe(F.col("_source")))
-    return result.select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
-    )
+    new = ["size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")]
+    if whole_rows:
+        kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+        return result.select(*[F.col("row").getField(c).alias(c) for c in kept], *new)
+    return result.select("doc_id", "source", *new)

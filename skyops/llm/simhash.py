@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.llm.common import hash_texts, sized, split_words, stored, text_slices
+from skyops.llm.common import hash_texts, list_slices, sized, split_words, stored, text_hash, text_slices
 from skyops.llm.components import components
 
 HASH_SEED = 42
@@ -24,6 +24,9 @@ BLOCK = 1024
 FEW_PAIRS = 5_000_000
 # Shingles whose frequency is known when sets are put in order; any number gives the same result.
 COMMON = 1 << 16
+# What a Python step on shingle sets holds at a time: bytes of text, or shingles.
+_SET_BYTES = 2 * 1024 * 1024
+_SET_SHINGLES = 1 << 19
 _SHINGLE_STEP = 1 << 18
 
 
@@ -211,24 +214,26 @@ def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
     by_value = np.argsort(last)
     values = last[by_value]
 
+    def prefix(x: np.ndarray) -> np.ndarray:
+        rank = np.zeros(len(x), dtype=np.int64)
+        if len(values):
+            at = np.minimum(np.searchsorted(values, x), len(values) - 1)
+            rank = np.where(values[at] == x, by_value[at] + 1, 0)
+        return x[np.lexsort((x, rank))[: len(x) - math.ceil(min_similarity * len(x) - 1e-9) + 1]]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wholes, sizes, shingles, places = [], [], [], []
-            for whole, own in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x = own.values.to_numpy()
-                rank = np.zeros(len(x), dtype=np.int64)
-                if len(values):
-                    at = np.minimum(np.searchsorted(values, x), len(values) - 1)
-                    rank = np.where(values[at] == x, by_value[at] + 1, 0)
-                n = len(x) - math.ceil(min_similarity * len(x) - 1e-9) + 1
-                shingles.append(x[np.lexsort((x, rank))[:n]])
-                n = len(shingles[-1])
-                wholes.append(np.full(n, whole, dtype=np.int64))
-                sizes.append(np.full(n, len(x), dtype=np.int32))
-                places.append(np.arange(n, dtype=np.int32))
-            if wholes:
-                columns = [pa.array(np.concatenate(c)) for c in (wholes, sizes, shingles, places)]
-                yield pa.RecordBatch.from_arrays(columns, ["whole", "size", "shingle", "pos"])
+            for part in list_slices(batch, "shingles", _SET_SHINGLES):
+                lengths = pc.list_value_length(part.column("shingles")).to_numpy()
+                flat, ends = part.column("shingles").flatten().to_numpy(), np.cumsum(lengths)
+                found = [prefix(flat[e - n : e]) for e, n in zip(ends, lengths)]
+                counts = np.array([len(x) for x in found])
+                places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(part.column("whole").to_numpy(), counts)), pa.array(np.repeat(lengths, counts)),
+                     pa.array(np.concatenate(found)), pa.array(places.astype(np.int32))],
+                    ["whole", "size", "shingle", "pos"],
+                )
 
     rows = sets.select("whole", "shingles").mapInArrow(run, "whole long, size int, shingle long, pos int")
     shared = rows.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
@@ -283,7 +288,8 @@ def similar_duplicates(
     docs: DataFrame, n: int = 5, max_bits: int = 2, min_similarity: float = 0.8, bins: int = 10, sample: int = 3,
     block: int = BLOCK, few_pairs: int = FEW_PAIRS,
 ) -> DataFrame:
-    """One row per row of ``docs`` (``doc_id`` and ``text`` are read): ``doc_id, component_id``, by similarity.
+    """One row per row of ``docs`` (``doc_id`` and ``text`` are read): ``doc_id, th, component, component_id``, by similarity.
+    ``th`` is ``text_hash`` of the text, ``component`` names the component also where all of its ids are null.
 
     Texts belong together if their sets of ``n``-word shingles have a Jaccard similarity of at least ``min_similarity``,
     directly or through others; the result is that of a comparison of all pairs. Equal sets collapse. The links of ``linked``
@@ -298,7 +304,7 @@ def similar_duplicates(
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", _SET_BYTES):
                 hashes, counts = _shingle_hashes(*split_words(part.column("text"), lower=True), n)
                 whole, samples = _set_bits(hashes, counts), _samples(hashes, counts, bins, sample)
                 ends = np.cumsum(counts)
@@ -306,13 +312,13 @@ def similar_duplicates(
                 keys = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), HASH_SEED) for x in own), np.uint64, len(own))
                 lists = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), lists),
+                    [part.column("doc_id"), part.column("th"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), lists),
                      pa.array(keys.view(np.int64)), pa.array(own, lists)],
-                    ["doc_id", "fp", "samples", "whole", "shingles"],
+                    ["doc_id", "th", "fp", "samples", "whole", "shingles"],
                 )
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = read.mapInArrow(run, "doc_id long, fp long, samples array<long>, whole long, shingles array<long>")
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), "text")
+    made = read.mapInArrow(run, "doc_id long, th long, fp long, samples array<long>, whole long, shingles array<long>")
     prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
     classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
     of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
@@ -354,6 +360,19 @@ def similar_duplicates(
     )
     member = stored(member, "simhash-members")
     names = member.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return prints.select("doc_id", "whole").join(member.join(names, "component").select("whole", "component_id"), "whole").select(
-        "doc_id", "component_id"
-    )
+    of_set = member.join(names, "component").select("whole", "component", "component_id")
+    return prints.select("doc_id", "th", "whole").join(of_set, "whole").select("doc_id", "th", "component", "component_id")
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of each component that ``similar_duplicates`` found among ``docs`` one row: the least ``doc_id`` (null last), then the least hash
+    of its text. Of rows that repeat both id and text one stays."""
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
+    counted = found.groupBy("component", "doc_id", "th").agg(F.count(F.lit(1)).alias("_n"))
+    first = counted.groupBy("component").agg(F.min_by(F.struct(row.alias("r"), "_n"), row).alias("f"))
+    winners = sized(stored(first.select("f.r._id", "f.r._th", "f._n"), "simhash-winners"))
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash(F.col("row.text")) == F.col("_th"))
+    kept = rows.join(winners, same)
+    lone, repeated = kept.where("_n = 1").select("row"), kept.where("_n > 1")
+    return lone.unionByName(repeated.groupBy("_id", "_th").agg(F.any_value("row").alias("row")).select("row")).select("row.*")
