@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyops.llm import decontaminate, line_dedup, mixing, quality, simhash
-from skyops.llm.common import sized, stored, words_of
+from skyops.llm.common import stored, words_of
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 
@@ -25,18 +24,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; every line with a word is compared. A document goes if it lost
     lines and no word is left: all that it said has been said before."""
-    deduped = line_dedup.dedup_lines(docs, min_words=1)
+    deduped = line_dedup.dedup_lines(docs)
     kept = deduped.where((F.col("n_dropped") == 0) | (F.size(words_of(F.col("text"))) > 0))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts that are similar enough the document with the least id."""
-    found = simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY)
-    later = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_later"))
-    later = stored(later, "pipeline-near")
-    kept = docs.join(sized(later), F.col("doc_id").eqNullSafe(F.col("_later")), "left_anti")
-    return kept.select(*docs.columns)
+    """Of each group of texts that are similar enough the row with the least id; null ids come last."""
+    found = stored(simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY), "pipeline-near")
+    return simhash.one_of_each(docs, found)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,13 +41,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with ``copies``, how often, and the columns of ``mixing.mix``."""
-    drawn = mixing.mix(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(
-        *[F.max(c).alias(c) for c in ("source_size", "target", "copies", "taken")]
-    )
-    rows = docs.select(*COLUMNS, F.size(words_of(F.col("text"))).cast("long").alias("size"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("size") == F.col("_size"))
-    return rows.join(sized(stored(drawn, "pipeline-mix")), same).drop("_id", "_size")
+    """The rows that the mix takes, with all their columns and those of ``mixing.mix``; ``copies`` says how often."""
+    return mixing.mix(docs, whole_rows=True).where("copies > 0")
 
 
 STAGES = [
