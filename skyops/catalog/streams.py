@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyops import fixtures
 from skyops.catalog import sqlparts as s
 from skyops.catalog.audits import _LANDED, land_flights
+from skyops.catalog.changes import _EVENT, _event_versions
 from skyops.catalog.reference import _FIRST, _LAST, _rounded, _snapshot_sql
 from skyops.catalog.registry import register
 from skyops.layout import Layout
@@ -69,6 +70,19 @@ def stream_reland(spark, sf_dir):
     return pages.groupBy(*folders).agg(F.count(F.lit(1)).alias("pages")).join(flat, folders)
 
 
+@register(f"{_LANDED.replace('GROUP BY', 'WHERE version = 1 GROUP BY')}")
+def stream_reland_archived(spark, sf_dir):
+    """The same three times over with read pages archived: they are known although they have left the landing folder."""
+    layout = Layout(workspace(spark, "reland-archived"))
+    for _ in range(3):
+        land_flights(spark, sf_dir, layout.landing, [1])
+        bronze.ingest_flights(spark, layout, archive=True)
+    pages = tables.read_table(spark, layout.bronze("flight_status"), silver.BRONZE)
+    folders = list(landing.FLIGHT_PARTITIONS)
+    flat = flights.project_flights(pages).groupBy(*folders).agg(F.count(F.lit(1)).alias("flights"))
+    return pages.groupBy(*folders).agg(F.count(F.lit(1)).alias("pages")).join(flat, folders)
+
+
 _NUMBERED = f"""
 SELECT flight_instance_hash_key, CAST(flight_date AS VARCHAR) AS flight_date, flight_status_code, departure_delay_minutes,
  CAST(row_number() OVER (PARTITION BY flight_instance_hash_key ORDER BY __START_AT) AS INT) AS version_no,
@@ -112,6 +126,18 @@ def stream_out_of_order(spark, sf_dir):
     return spark.read.parquet(f"{root}/history").select(flights.KEY, "update_id", cdc.START, cdc.END)
 
 
+@register(_event_versions("user_id"))
+def stream_scd2_bucketed(spark, sf_dir):
+    """Keys without a date: three batches of events, out of order, into a history that is kept in buckets of the key."""
+    events = fixtures.source(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    root = workspace(spark, "bucketed")
+    for third in (2, 0, 1):
+        events.where(F.col("event_id") % 3 == third).write.mode("append").parquet(f"{root}/in")
+        changes = tables.stream_table(spark, f"{root}/in", events.schema)
+        silver.scd2_stream(changes, f"{root}/log", f"{root}/history", f"{root}/checkpoint", ["user_id"], "ts", partition=None, buckets=16)
+    return spark.read.parquet(f"{root}/history").select(*_EVENT)
+
+
 @register(f"""
 WITH u AS ({s.UPDATES}), f AS (
  SELECT 'valid_operating_airline_id' AS rule, count(*) FILTER (WHERE no_airline) AS failed FROM u UNION ALL

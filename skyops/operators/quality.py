@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,16 +46,30 @@ def _counts(rules: Sequence[Rule]) -> list[Column]:
     ]
 
 
-def rule_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row per rule: passed and failed rows, and the rows dropped by all rules together. One pass over ``df``."""
+def rule_metrics(df: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> DataFrame:
+    """One row per rule (and value of ``by``): passed and failed rows, and the rows dropped by all rules together. One pass over
+    ``df``."""
     names = [F.struct(F.lit(r.name).alias("rule"), F.col(r.name).alias("passed")) for r in rules]
     return (
-        df.agg(*_counts(rules))
-        .select("rows", "dropped", F.inline(F.array(*names)))
-        .select("rule", "passed", (F.col("rows") - F.col("passed")).alias("failed"), F.col("dropped").alias("rows_dropped"))
+        df.groupBy(*by).agg(*_counts(rules))
+        .select(*by, "rows", "dropped", F.inline(F.array(*names)))
+        .select(*by, "rule", "passed", (F.col("rows") - F.col("passed")).alias("failed"), F.col("dropped").alias("rows_dropped"))
     )
 
 
+def observed(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Observation]:
+    """``df`` and what ``observed_metrics`` will read: the rules are counted while the rows of ``df`` pass to some output."""
+    seen = Observation()
+    return df.observe(seen, *_counts(rules)), seen
+
+
+def observed_metrics(spark: SparkSession, seen: Observation, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of ``rule_metrics`` once that output has been written. No job reads the data again."""
+    counted = seen.get
+    rows = [(r.name, counted[r.name], counted["rows"] - counted[r.name], counted["dropped"]) for r in rules]
+    return spark.createDataFrame(rows, "rule string, passed long, failed long, rows_dropped long")
+
+
 def reasons(rules: Sequence[Rule], mode: str) -> Column:
     """Why a row fails: ``all`` reasons joined in rule order, or only the ``first``."""
     failed = [F.when(~passes(r), F.lit(r.reason)) for r in rules]

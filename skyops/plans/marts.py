@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from skyops.functions import geo, kpi
 from skyops.functions.text import route_label
+from skyops.operators.cdc import snapshot_diff
 from skyops.operators.lookup import with_coordinates
 from skyops.operators.quality import Rule, expect_or_drop, present, rule_metrics
 from skyops.operators.skew import BROADCAST_BYTES
@@ -134,6 +135,14 @@ MART_RULES = {
 }
 
 
+def reached_dates(base: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Dates (``flight_date``) with flights from or to an airport that is new, gone or elsewhere in ``after``."""
+    position = ["airport_code", "latitude", "longitude"]
+    changed = snapshot_diff(before.select(*position), after.select(*position), ["airport_code"]).where("change <> 'unchanged'")
+    ends = F.explode(F.array("departure_airport_code", "arrival_airport_code")).alias("airport_code")
+    return base.select("flight_date", ends).distinct().join(changed, "airport_code", "left_semi").select("flight_date").distinct()
+
+
 def unchecked_mart(name: str, base: DataFrame, airports: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """A mart from stored ``kpi_base`` rows, before its rules; only the distance mart looks at the airports."""
     base = base.where("is_relevant")
@@ -150,9 +159,9 @@ def mart_from_base(name: str, base: DataFrame, airports: DataFrame, limit: int =
     return expect_or_drop(unchecked_mart(name, base, airports, limit), MART_RULES[name])
 
 
-def mart_rule_metrics(unchecked: dict[str, DataFrame]) -> DataFrame:
-    """Passed, failed and dropped rows of every rule of every mart."""
+def mart_rule_metrics(unchecked: dict[str, DataFrame], by: Sequence[str] = ()) -> DataFrame:
+    """Passed, failed and dropped rows of every rule of every mart, for each value of ``by``."""
     counted = [
-        rule_metrics(mart, MART_RULES[name]).withColumn("mart", F.lit(name)) for name, mart in unchecked.items()
+        rule_metrics(mart, MART_RULES[name], by).withColumn("mart", F.lit(name)) for name, mart in unchecked.items()
     ]
-    return reduce(DataFrame.unionByName, counted).select("mart", "rule", "passed", "failed", "rows_dropped")
+    return reduce(DataFrame.unionByName, counted).select(*by, "mart", "rule", "passed", "failed", "rows_dropped")

@@ -21,6 +21,12 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    system, file = _folder(spark, path)
+    system.create(file, True).close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, folder = _folder(spark, path)
     system.delete(folder, True)

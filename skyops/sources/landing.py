@@ -11,19 +11,20 @@ from pyspark.sql import types as T
 from skyops.functions.text import path_safe
 from skyops.sources import files
 
-# The file source silently skips files that are much older than the newest one it has seen. Late files must not be lost, so
-# the age is far out of reach, and the driver remembers every file of the folder. Where that list grows too long, read pages
-# are archived: the folder then holds new pages only, and the driver forgets files a month older than the newest.
+# The file source silently skips files that are much older than the newest one it has seen. Late files must not be lost, with
+# or without an archive, so the age is far out of reach, and the driver remembers the path of every file that it has read.
+# Where read pages are archived, the landing folder holds new pages only and listing it stays cheap. A job whose list of
+# paths must stay short may pass ``maxFileAge`` in ``options`` and then loses later files.
 # A micro-batch takes a bounded number of files, so that a backlog is worked off in pieces.
 SOURCE_OPTIONS = {"maxFileAge": "36500d", "maxFilesPerTrigger": 20_000}
-ARCHIVE_FILE_AGE = "30d"
 
 
 def source_options(options: Mapping[str, str | int] | None, archive: str | None = None) -> dict[str, str | int]:
     """Options of a file source: the defaults, with ``archive`` (a folder) those that move read files there, then the caller's."""
-    moved = {"cleanSource": "archive", "sourceArchiveDir": archive, "maxFileAge": ARCHIVE_FILE_AGE} if archive else {}
+    moved = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     return {**SOURCE_OPTIONS, **moved, **(options or {})}
 
+
 # Landing folders and their partition columns.
 FLIGHT_PARTITIONS = ("direction", "airport", "date", "window_start", "run_id")
 REFERENCE_PARTITIONS = ("date", "run_id")
@@ -98,17 +99,57 @@ def landed_pages(spark: SparkSession, path: str, folders: Sequence[str]) -> Data
     return files_below.select(*[value(c).alias(c) for c in folders], page.alias("page"))
 
 
-def write_landing(pages: DataFrame, root: str, dataset: str) -> None:
+def manifest_path(root: str, dataset: str) -> str:
+    """Where the list of landed pages is: beside the landing folders, out of a stream's sight."""
+    return f"{root}/_landed/{dataset}"
+
+
+def landed_manifest(spark: SparkSession, root: str, dataset: str, folders: Sequence[str]) -> DataFrame:
+    """Folder values and ``page`` of all pages that have ever landed, archived ones included."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*folders, "page")])
+    path = manifest_path(root, dataset)
+    return spark.read.schema(schema).parquet(path) if files.exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def _unlisted(pages: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``pages`` whose ``keys`` are not ``listed``; nulls are equal."""
+    known = listed.select(*[F.col(c).alias(f"_listed_{c}") for c in keys])
+    return pages.join(known, [F.col(c).eqNullSafe(F.col(f"_listed_{c}")) for c in keys], "left_anti")
+
+
+def _list_pages(pages: DataFrame, root: str, dataset: str) -> None:
+    pages.write.mode("append").partitionBy("date").parquet(manifest_path(root, dataset))
+
+
+def write_landing(pages: DataFrame, root: str, dataset: str, archive: str | None = None) -> None:
     """Write pages (folder columns, ``page``, ``body``) in the landing layout, one file per page.
 
     Spark names files itself, so a page is a folder ``page=<n>``; the readers above accept it like a file of that name. A page
-    that has landed is left alone: landing it again adds no second file, which a stream would read as new.
+    that has landed is left alone, wherever its file is by now: landing it again adds no second file, which a stream would
+    read as new. What has landed is looked up in the manifest, and only for the dates of ``pages``; the landing folder is not
+    listed. Of rows that repeat a page the least body lands.
+
+    The manifest follows the files. A writer that dies in between leaves a mark, and the next call (like the first one over a
+    folder without a manifest) lists the landing folder, and the ``archive`` folder where one is named, to complete it. One
+    writer at a time for a dataset.
     """
     spark = pages.sparkSession
     folders = FLIGHT_PARTITIONS if dataset == FLIGHT_FOLDER else REFERENCE_PARTITIONS
+    keys = [*folders, "page"]
     safe = {c: path_safe(F.col(c)) for c in ("window_start", "run_id") if c in folders}
-    new = pages.select(*folders, "page", "body").withColumns(safe)
-    if files.exists(spark, f"{root}/{dataset}"):
-        new = new.join(landed_pages(spark, f"{root}/{dataset}", folders), [*folders, "page"], "left_anti")
-    writer = new.select(*folders, "page", "body").write.mode("append").option("maxRecordsPerFile", 1)
-    writer.partitionBy(*folders, "page").text(f"{root}/{dataset}")
+    asked = pages.select(*[F.col(c).cast("string").alias(c) for c in (*keys, "body")]).withColumns(safe)
+    open_mark, landing_folder = f"{root}/_landed/_open/{dataset}", f"{root}/{dataset}"
+    if files.exists(spark, open_mark) or files.exists(spark, landing_folder) and not files.exists(spark, manifest_path(root, dataset)):
+        for path in (landing_folder, *([f"{archive}/{dataset}"] if archive else [])):
+            if files.exists(spark, path):
+                found = landed_pages(spark, path, folders).distinct()
+                _list_pages(_unlisted(found, landed_manifest(spark, root, dataset, folders), keys), root, dataset)
+
+    days = [r[0] for r in asked.select("date").distinct().collect()]
+    listed = landed_manifest(spark, root, dataset, folders).where(F.col("date").isin(days) | F.col("date").isNull())
+    new = _unlisted(asked, listed, keys).groupBy(*keys).agg(F.min("body").alias("body"))
+    files.mark(spark, open_mark)
+    new.write.mode("append").option("maxRecordsPerFile", 1).partitionBy(*keys).text(landing_folder)
+    # The files are there now, so this is what was asked for and is not in the list yet.
+    _list_pages(_unlisted(asked.select(*keys), listed, keys).distinct(), root, dataset)
+    files.delete(spark, open_mark)

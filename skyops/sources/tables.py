@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,6 +18,8 @@ from skyops.sources.files import exists
 from skyops.sources.landing import source_options
 
 KEPT_VERSIONS = 2
+# Fixed value: what Spark names the folder of a null.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _versions(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
@@ -90,6 +93,19 @@ PAGE_TEXT_OPTIONS = {
 }
 
 
+def replace_dates(df: DataFrame, path: str, column: str, dates: Sequence[str]) -> None:
+    """Bring the ``dates`` (names of their folders) of a table partitioned by ``column`` up to date: ``df`` has all of their rows.
+
+    A date without rows goes. Other dates are left alone; versions of an earlier layout go too.
+    """
+    spark = df.sparkSession
+    kept = {r[0] for r in df.select(F.coalesce(F.col(column).cast("string"), F.lit(NO_VALUE))).distinct().collect()}
+    replace_partitions(df.hint("rebalance", column), path, [column])
+    gone = [f"{column}={day}" for day in dates if day not in kept] + _versions(spark, path)[0]
+    for name in set(gone) & set(files.names(spark, path)):
+        files.delete(spark, f"{path}/{name}")
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace just the partitions that occur in ``df``."""
     (

@@ -23,14 +23,16 @@ from skyops.plans import marts
 from skyops.sources import files, landing, tables
 
 DATE = "flight_date"
-_NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+# Keys that contain no date are dealt out by their hash: a batch rewrites the buckets of its keys only.
+BUCKETS = 256
+_BUCKET = "bucket_of_"
 
 BRONZE = landing.bronze_schema(landing.FLIGHT_PARTITIONS)
 
 
-def _touched(rows: DataFrame, column: str) -> list[str]:
+def touched_dates(rows: DataFrame, column: str) -> list[str]:
     """Distinct dates of ``column`` as their folders name them: one entry per calendar day, whatever the rows."""
-    name = F.coalesce(F.col(column).cast("string"), F.lit(_NO_DATE))
+    name = F.coalesce(F.col(column).cast("string"), F.lit(tables.NO_VALUE))
     return [r[0] for r in rows.select(name).distinct().collect()]
 
 
@@ -52,14 +54,22 @@ def _batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
 
 def scd2_apply(
     changes: DataFrame, batch_id: int, log: str, history: str, keys: Sequence[str], sequence: str,
-    tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str = DATE,
+    tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str | None = DATE, buckets: int = BUCKETS,
 ) -> list[str]:
     """Add a batch to the change log and bring the history partitions it touches up to date.
 
-    ``partition`` is a date column that the key determines. Returns the touched dates.
+    ``partition`` is a date column that the key determines. Without one, log and history are dealt out over ``buckets`` buckets of
+    the keys' hash, in an additional column whose name states the number; a table once written keeps its number. Returns
+    the touched partitions.
     """
     spark = changes.sparkSession
-    touched = _touched(changes, partition)
+    if partition is None:
+        partition = f"{_BUCKET}{buckets}"
+        other = [n for n in files.names(spark, log) if n.startswith(_BUCKET) and not n.startswith(f"{partition}=")]
+        if other:
+            raise ValueError(f"{log} is kept in other buckets: {other[0].partition('=')[0]}")
+        changes = changes.withColumn(partition, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    touched = touched_dates(changes, partition)
     if not touched:
         return touched
     # Rebalanced by date: few files per date, and a date that holds most rows is split over tasks.
@@ -104,12 +114,12 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
         slim = staged.withColumn("raw_json", F.when(~quality.all_pass(flights.RULES), F.col("raw_json")))
         slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            for rows, name in (
-                (flights.quarantined_flights(slim), "flight_status_quarantine"),
-                (quality.rule_metrics(slim, flights.RULES), "flight_status_rule_metrics"),
-            ):
-                folder = _batch_folder(spark, layout.silver(name), batch_id)
-                rows.write.mode("overwrite").options(**tables.PAGE_TEXT_OPTIONS).parquet(folder)
+            # The rules are counted on all rows on their way to the quarantine.
+            passing, seen = quality.observed(slim, flights.RULES)
+            folder = _batch_folder(spark, layout.silver("flight_status_quarantine"), batch_id)
+            flights.quarantined_flights(passing).write.mode("overwrite").options(**tables.PAGE_TEXT_OPTIONS).parquet(folder)
+            metrics = quality.observed_metrics(spark, seen, flights.RULES)
+            metrics.write.mode("overwrite").parquet(_batch_folder(spark, layout.silver("flight_status_rule_metrics"), batch_id))
             touched = scd2_apply(
                 flights.cdc_feed(slim), batch_id, layout.silver("flight_status_cdc_source"),
                 layout.silver("flight_status_history"), [flights.KEY], flights.SEQUENCE, flights.TIE,
@@ -118,6 +128,8 @@ def process_pages(layout: Layout) -> Callable[[DataFrame, int], None]:
             slim.unpersist()
         if touched:
             refresh_current(spark, layout, touched)
+            days = spark.createDataFrame([(day,) for day in touched], f"{DATE} string").coalesce(1)
+            days.write.mode("overwrite").parquet(_batch_folder(spark, layout.gold("touched_dates"), batch_id))
 
     return process
 
@@ -152,13 +164,13 @@ def update_flights(spark: SparkSession, layout: Layout, options: Mapping[str, st
 
 def scd2_stream(
     changes: DataFrame, log: str, history: str, checkpoint: str, keys: Sequence[str], sequence: str,
-    tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str = DATE,
+    tie: Sequence[str] = (), track: Sequence[str] | None = None, partition: str | None = DATE, buckets: int = BUCKETS,
 ):
-    """Keep a version history up to date with any stream of changes."""
+    """Keep a version history up to date with any stream of changes; ``partition`` and ``buckets`` as in ``scd2_apply``."""
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            scd2_apply(batch, batch_id, log, history, keys, sequence, tie, track, partition)
+            scd2_apply(batch, batch_id, log, history, keys, sequence, tie, track, partition, buckets)
         finally:
             batch.unpersist()
 

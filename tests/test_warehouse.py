@@ -4,13 +4,14 @@ import datetime as dt
 import json
 import os
 import random
+import shutil
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from skyops.layout import Layout
-from skyops.operators import cdc, flights
+from skyops.operators import cdc, flights, quality
 from skyops.plans import marts, runs
 from skyops.session import workspace
 from skyops.sources import landing, logs, tables
@@ -318,3 +319,118 @@ def test_kpi_base_covers_every_date(spark):
                                           "is_cancelled": F.lit(False)}))
     assert base.where("is_relevant").count() == 0
     assert base.select("flight_date").distinct().count() == df.select("flight_date").distinct().count()
+
+
+# --- landing with an archive, buckets, marts by date, counts on the way
+
+
+def landing_pages(spark, numbers, date="2024-01-01"):
+    rows = [("departures", "FRA", date, "2024-01-01T04-00", "r", str(n), json.dumps({"n": n})) for n in numbers]
+    return spark.createDataFrame(rows, [*landing.FLIGHT_PARTITIONS, "page", "body"])
+
+
+def bronze_rows(spark, layout):
+    return tables.read_table(spark, layout.bronze("flight_status"), silver.BRONZE).select("raw_json").collect()
+
+
+def test_landing_again_after_the_archive_took_the_files(spark, layout):
+    for _ in range(3):
+        landing.write_landing(landing_pages(spark, range(4)), layout.landing, landing.FLIGHT_FOLDER)
+        bronze.ingest_flights(spark, layout, archive=True)
+    assert len(bronze_rows(spark, layout)) == 4
+    # New pages, one of them twice, on a known and on a new date.
+    landing.write_landing(landing_pages(spark, [3, 4, 4]).unionByName(landing_pages(spark, [3], "2024-01-02")), layout.landing, landing.FLIGHT_FOLDER)
+    bronze.ingest_flights(spark, layout, archive=True)
+    assert len(bronze_rows(spark, layout)) == 6
+    listed = landing.landed_manifest(spark, layout.landing, landing.FLIGHT_FOLDER, landing.FLIGHT_PARTITIONS)
+    assert sorted((r.date, r.page) for r in listed.collect()) == [("2024-01-01", str(n)) for n in range(5)] + [("2024-01-02", "3")]
+
+
+def test_a_writer_that_died_is_made_good(spark, layout):
+    landing.write_landing(landing_pages(spark, range(3)), layout.landing, landing.FLIGHT_FOLDER)
+    bronze.ingest_flights(spark, layout, archive=True)
+    # The files of a second call are there, its list is not; what was read has been archived meanwhile.
+    folder = Path(layout.landing) / "_landed"
+    landing.write_landing(landing_pages(spark, [7]), layout.landing, landing.FLIGHT_FOLDER)
+    shutil.rmtree(folder)
+    (folder / "_open").mkdir(parents=True)
+    (folder / "_open" / landing.FLIGHT_FOLDER).touch()
+    bronze.ingest_flights(spark, layout, archive=True)
+    landing.write_landing(landing_pages(spark, [0, 7, 8]), layout.landing, landing.FLIGHT_FOLDER, f"{layout.archive}{layout.landing}")
+    bronze.ingest_flights(spark, layout, archive=True)
+    assert len(bronze_rows(spark, layout)) == 5 and not (folder / "_open" / landing.FLIGHT_FOLDER).exists()
+
+
+def test_late_files_in_archive_mode_are_not_skipped(spark, layout):
+    for run, mtime in (("r1", 100_000_000), ("r2", 100_000_000 - 60 * 86_400), ("r3", 1000)):
+        land(layout, run, 0, flight("1"), mtime)
+        bronze.ingest_flights(spark, layout, archive=True)
+    assert len(bronze_rows(spark, layout)) == 3
+
+
+def test_bucketed_history_rewrites_touched_buckets_only(spark, tmp_path):
+    rnd, start = random.Random(8), dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice([None, *map(str, range(30))]), None, start + dt.timedelta(minutes=i), "a", i) for i in range(300)]
+    log, history = f"{tmp_path}/log", f"{tmp_path}/history"
+    apply = lambda part, n: silver.scd2_apply(changes(spark, part), n, log, history, ["k"], "seq", partition=None, buckets=8)
+    apply(rows[100:], 0)
+    files_of = lambda: {p: p.stat().st_mtime_ns for p in Path(history).rglob("*.parquet")}
+    before = files_of()
+    touched = apply([r for r in rows[:100] if r[0] == "5"] or [("5", None, start, "a", 0)], 1)
+    assert len(touched) == 1
+    assert {p.parent.name for p in before.keys() - files_of().keys()} == {f"bucket_of_8={touched[0]}"}
+    apply(rows[:100], 1)
+    assert same(cdc.scd2_history(changes(spark, rows), ["k"], "seq"), spark.read.parquet(history).drop("bucket_of_8"))
+    with pytest.raises(ValueError, match="other buckets"):
+        silver.scd2_apply(changes(spark, rows), 2, log, history, ["k"], "seq", partition=None, buckets=16)
+
+
+def test_marts_follow_touched_dates_and_moved_airports(spark, layout, tmp_path):
+    from skyops.plans import reports
+
+    land_airports(layout, "2024-01-01T00-00-00Z", [("FRA", 50.0), ("MUC", 48.0), ("LHR", 51.0)])
+    runs.run_reference(spark, layout, ["airports"])
+    due = [f"2024-01-0{d}T10:00" for d in (1, 2, 3)]
+    land(layout, "r1", 0, [flight("1", due=due[0]), flight("2", due=due[1]), flight("3", due=due[2], arrival="LHR")], 1000)
+    runs.run_operational(spark, layout)
+
+    def files_of(name):
+        return {str(p.parent.name) + p.name for p in Path(layout.gold(name)).rglob("*.parquet")}
+
+    def full():
+        """The same marts from nothing but the stored sums."""
+        base = tables.read_table(spark, layout.gold("kpi_base"), silver.kpi_base_schema(spark))
+        airports = tables.read_table(spark, layout.silver("airports_current"))
+        return {name: marts.mart_from_base(name, base, airports) for name in marts.MART_RULES}
+
+    hourly, distance = "departure_airport_hourly", "airport_distance_category_daily_performance"
+    before = files_of(hourly)
+    land(layout, "r2", 0, [flight("2", "EX", due=due[1], delay=None), flight("9", due=due[2])], 2000)
+    second = runs.run_operational(spark, layout)
+    # The second day has no relevant flight any more, the first one is untouched.
+    assert {f[:22] for f in before & files_of(hourly)} == {"flight_date=2024-01-01"}
+    assert not any(f.startswith("flight_date=2024-01-02") for f in files_of(hourly))
+    assert all(same(second[name], mart) for name, mart in full().items())
+
+    before = files_of(distance)
+    land_airports(layout, "2024-02-01T00-00-00Z", [("FRA", 50.0), ("MUC", 48.0), ("LHR", 85.0)])
+    runs.run_reference(spark, layout, ["airports"])
+    third = runs.run_operational(spark, layout)
+    assert {f[:22] for f in before - files_of(distance)} == {"flight_date=2024-01-03"}
+    assert all(same(third[name], mart) for name, mart in full().items()) and third[distance].count() == 3
+    metrics = tables.read_table(spark, layout.gold("rule_metrics"))
+    assert sorted(str(r.flight_date) for r in metrics.select("flight_date").distinct().collect()) == ["2024-01-01", "2024-01-03"]
+    assert os.listdir(layout.gold("touched_dates")) and not list(Path(layout.gold("touched_dates")).rglob("*.parquet"))
+
+    view = reports.apply_filters(tables.read_table(spark, layout.gold(hourly)), dt.date(2024, 1, 2), dt.date(2024, 1, 3))
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(flight_date" in plan and view.count() == 1
+
+
+def test_rules_are_counted_while_rows_pass(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), (" ", 2), (None, None), ("b", None)], "code string, n int")
+    rules = [quality.present("code"), quality.present("n", text=False)]
+    passing, seen = quality.observed(df, rules)
+    quality.quarantine(passing, rules, "all", "why").write.parquet(f"{tmp_path}/bad")
+    assert seen.get == {"rows": 4, "dropped": 3, "valid_code": 2, "valid_n": 2}
+    assert same(quality.observed_metrics(spark, seen, rules), quality.rule_metrics(df, rules))
