@@ -20,9 +20,8 @@ WEIGHTS = (3, 1, 2)
 BUDGET_SHARE = 1.5
 MAX_REPEATS = 2
 SEED = 11
-# The even share leaves about this many words to the dynamic programme; its table never has more than _TABLE entries.
+# The even share leaves about this many words to the dynamic programme, whose table has twice as many entries.
 _REMAINDER = 1 << 16
-_TABLE = 1 << 20
 
 
 def source_targets(
@@ -76,8 +75,13 @@ def fit_counts(sizes: Sequence[int], counts: Sequence[int], budget: int) -> list
             more = min(counts[i] - taken[i], left // sizes[i], -(-(left - _REMAINDER) // sizes[i]))
             taken[i] += more
             left -= more * sizes[i]
+    if left > _REMAINDER:
+        # Every document that is left is longer than the rest: nothing more, or the shortest of them.
+        i = min((i for i in order if taken[i] < counts[i]), key=lambda i: sizes[i])
+        taken[i] += abs(sizes[i] - left) < left
+        return taken
     # Nothing beyond twice the rest comes nearer to it than taking nothing more.
-    limit = min(2 * left, _TABLE)
+    limit = 2 * left
     # last[s]: the item that first reached the sum s; items are halving multiples of one length, each usable once.
     last = np.full(limit + 1, -1, dtype=np.int32)
     reached = np.zeros(limit + 1, dtype=bool)

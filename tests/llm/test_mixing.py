@@ -85,3 +85,10 @@ def test_no_rows(spark):
     assert mixing.mix(rows(spark)[0].limit(0)).collect() == []
     blank = spark.createDataFrame([(1, " ", "a", "", 0), (2, None, None, "", 0)], SCHEMA)
     assert [(r.size, r.target, r.taken) for r in mixing.mix(blank).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_long_documents_are_fitted_to_the_nearest_sum():
+    assert mixing.fit_counts([3_000_000], [10], 1_600_000) == [1]
+    assert mixing.fit_counts([3_000_000], [10], 1_400_000) == [0]
+    assert mixing.fit_counts([2_000_000, 3_000_000], [1, 4], 4_900_000) == [1, 1]
+    assert mixing.fit_counts([70_000, 900_000], [2, 1], 1_000_000) == [1, 1]
