@@ -146,14 +146,17 @@ def _exits(rows: pd.DataFrame) -> pd.DataFrame:
 def _walk(rows: pd.DataFrame) -> pd.DataFrame:
     """Marks the block's records, from the one at which the true chain enters; the segments between are their payload."""
     rows = rows.sort_values("start")
-    want, owner, owners = rows["entry"].iloc[0], None, []
+    want, owner, owners, ends = rows["entry"].iloc[0], None, [], []
     for start, after in zip(rows["start"] + rows["base"], rows["next"] + rows["base"]):
-        if start == want:
+        if start == want and after == after:
             owner, want = start, after
+        elif start >= want:  # behind a damaged record: nobody's
+            owner = None
         owners.append(owner)
+        ends.append(want if owner is not None else None)
     return pd.DataFrame({
         "file": rows["file"], "block": rows["block"], "seq": rows["seq"], "at": rows["start"] + rows["base"],
-        "owner": pd.array(owners, dtype="Int64"),
+        "owner": pd.array(owners, dtype="Int64"), "end": pd.array(ends, dtype="Int64"),
     })
 
 
@@ -184,14 +187,18 @@ def record_index(segments_index: DataFrame) -> DataFrame:
         steps = stored(steps.join(ahead, ["file", "exit"]).select("file", "entry", F.col("further").alias("exit")), "warc-jumps")
     # An entry belongs to the last block that begins at or before it and is not empty.
     entries = reached.join(bases.where("bytes > 0"), "file").where("entry >= base AND entry < base + bytes")
-    entered = based.join(entries.select("file", "block", "entry"), ["file", "block"], "left")
-    walked = entered.groupBy("file", "block").applyInPandas(_walk, "file string, block long, seq long, at long, owner long")
+    # A chain enters a block once; what a file holds behind its last record may look like a second entry.
+    entries = entries.groupBy("file", "block").agg(F.min("entry").alias("entry"))
+    entered = based.join(entries, ["file", "block"], "left")
+    walked = entered.groupBy("file", "block").applyInPandas(_walk, "file string, block long, seq long, at long, owner long, end long")
     walked = stored(walked, "warc-owners")
-    # Segments ahead of a block's first record go on with the last record of earlier blocks.
-    last = walked.groupBy("file", "block").agg(F.max("owner").alias("last"))
+    # Segments ahead of a block's first record go on with the last record of earlier blocks, as far as that states its length.
+    last = walked.where("owner IS NOT NULL").groupBy("file", "block").agg(F.max(F.struct("owner", "end")).alias("last"))
+    last = walked.select("file", "block").distinct().join(last, ["file", "block"], "left")
     before = last.withColumn("carried", F.last("last", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
     joined = walked.join(before.select("file", "block", "carried"), ["file", "block"])
-    return joined.select("file", "block", "seq", "at", F.coalesce("owner", "carried").alias("owner")).where("owner IS NOT NULL")
+    going_on = F.when(F.col("at") < F.col("carried.end"), F.col("carried.owner"))
+    return joined.select("file", "block", "seq", "at", F.coalesce("owner", going_on).alias("owner")).where("owner IS NOT NULL")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -223,7 +230,10 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def _parsed(records: DataFrame) -> DataFrame:
     head = F.substring("value", F.lit(1), F.col("head_length").cast("int")).cast("string")
     block = F.substring("value", (F.col("head_length") + 5).cast("int"), F.col("content_length").cast("int"))
-    http_end = F.instr(F.substring(F.col("block"), 1, 1 << 12).cast("string"), RECORD_END)
+    # Bytes ahead of the HTTP header's end, plus one; 0 if it has none.
+    text = F.col("block").cast("string")
+    ahead = F.octet_length(F.call_function("substring_index", text, F.lit(RECORD_END), F.lit(1))) + 1
+    http_end = F.when(F.contains(text, F.lit(RECORD_END)), ahead).otherwise(0)
     field = lambda name: F.nullif(F.regexp_extract("head", rf"(?im)^{name}: *([^\r\n]*)", 1), F.lit(""))
     number = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
     payload = F.substring(F.col("block"), F.col("http_end") + 4, F.octet_length("block"))

@@ -103,3 +103,23 @@ def test_repeats_and_no_rows(spark):
     path = workspace(spark, "warc-test")
     warc.write_archives(spark.createDataFrame([], SCHEMA), path)
     assert warc.read_archives(spark, path).collect() == []
+
+
+def test_what_a_damaged_record_leaves_belongs_to_nobody(spark):
+    """The segments behind a damaged record are not gathered by the record ahead of it."""
+    path = workspace(spark, "warc-test")
+    body = "HTTP/1.1 200 OK\r\nContent-Length: 3\r\n\r\nabc"
+    good = record("response", body)
+    broken = good.replace("Content-Length", "Content-Xength")
+    spark.createDataFrame([(good * 3 + broken + good * 500,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    owned = warc.record_index(warc.segments(spark, path).drop("value"))
+    assert owned.groupBy("owner").count().agg(F.max("count")).first()[0] == 1
+    assert [bytes(r.payload) for r in warc.read_archives(spark, path).collect()] == [b"abc"] * 3
+
+
+def test_long_http_header(spark):
+    path = workspace(spark, "warc-test")
+    body = "HTTP/1.1 200 OK\r\nX-Länge: " + "é" * 6000 + "\r\nContent-Length: 3\r\n\r\nabc"
+    text = record("response", body).replace(f"Content-Length: {len(body)}", f"Content-Length: {len(body.encode())}", 1)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    assert [(bytes(r.payload), r.payload_bytes) for r in warc.read_archives(spark, path).collect()] == [(b"abc", 3)]
