@@ -152,17 +152,17 @@ ORACLE: dict[str, str] = {
         ), s AS (
             SELECT conv_id, rank, rank // 256 AS stretch, speaker, body || '<|end|>' || chr(10) AS body FROM r
         ), p AS (
-            SELECT DISTINCT conv_id, stretch, speaker AS me FROM s
+            SELECT DISTINCT conv_id, speaker AS me FROM s
         ), j AS (
             SELECT s.*, me, speaker = me AS own,
                 CASE WHEN speaker = me THEN '<|assistant|>' ELSE '<|user name=' || speaker || '|>' END || chr(10) AS head
-            FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id AND s.stretch = p.stretch
+            FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id
         ), a AS (
-            SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, stretch, me ORDER BY rank) - length(body) AS offs FROM j
+            SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, me ORDER BY rank) - length(body) AS offs FROM j
         )
         SELECT conv_id, stretch, me AS speaker, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
             string_agg(head || body, '' ORDER BY rank) AS rendered,
-            string_agg(offs::BIGINT::VARCHAR || '+' || length(body)::VARCHAR, ',' ORDER BY rank) FILTER (WHERE own) AS mask
+            coalesce(string_agg(offs::BIGINT::VARCHAR || '+' || length(body)::VARCHAR, ',' ORDER BY rank) FILTER (WHERE own), '') AS mask
         FROM a GROUP BY conv_id, stretch, me
     """,
     "op5_warc": """
