@@ -17,8 +17,9 @@ RULES = (
 )
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.5
-MIN_LIFT = 2.0
-MAX_TOKENS = 4
+# A rule rests on at least this many bad pages, and its confidence is this many standard errors above the share of bad pages.
+MIN_PAGES = 5
+MIN_ERRORS = 3.0
 _BAD = "label=block"
 
 
@@ -56,45 +57,52 @@ def url_tokens(url: Column) -> Column:
 
 def mined_rules(
     pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-    min_lift: float = MIN_LIFT,
+    min_pages: int = MIN_PAGES, min_errors: float = MIN_ERRORS,
 ) -> DataFrame:
     """``rule_id, tokens, n_tokens, confidence, support`` of the rules that lead from URL tokens to a bad label.
 
     Every labelled page counts (``labels.doc_id`` names the page; quality 0 is bad; a page that has several labels counts
     with each, rows with a null label or id with none). Supported token sets come from FP-growth, which Spark shards by
-    item. A rule needs the support, the confidence and the lift over the share of bad pages; a rule whose tokens include
-    those of another kept rule adds nothing and goes. At most 1 / ``min_support`` disjoint sets can be supported, so the
-    rule table does not grow with the pages.
+    item. A rule needs the support and at least ``min_pages`` bad pages, so that no rule rests on a page or two where labels are
+    few, and the confidence, which must be ``min_errors`` standard errors above the share of bad pages: the error of a share among
+    as many pages drawn from all. Where all labels are bad no token tells more than the share does, and there is no rule. A rule whose
+    tokens include those of another kept rule adds nothing and goes; rules may have any number of tokens.
     """
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", (F.col("quality") == 0).alias("bad"))
     urls = pages.select(F.col("page_id").alias("doc_id"), url_tokens(F.col("url")).alias("tokens"))
     rows = known.join(urls, "doc_id").where(F.size("tokens") > 0)
-    baskets = rows.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(_BAD)))).otherwise(F.col("tokens")).alias("items"))
+    baskets = rows.select("bad", F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(_BAD)))).otherwise(F.col("tokens")).alias("items"))
     baskets = stored(baskets, "url-baskets")
-    schema = "rule_id long, tokens array<string>, n_tokens int, confidence double, support double"
-    if baskets.isEmpty():
+    total, base = baskets.agg(F.count(F.lit(1)), F.avg(F.col("bad").cast("double"))).first()
+    if not base:
+        schema = "rule_id long, tokens array<string>, n_tokens int, confidence double, support double"
         return pages.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(
-        F.array_contains("consequent", _BAD) & (F.size("antecedent") <= MAX_TOKENS) & (F.col("lift") >= min_lift)
-    ).select(F.sort_array("antecedent").alias("tokens"), "confidence", "support")
-    rules = rules.select(
-        F.xxhash64("tokens").alias("rule_id"), "tokens", F.size("tokens").alias("n_tokens"), "confidence", "support"
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_pages / total)), minConfidence=0.0).fit(baskets)
+    sets = stored(model.freqItemsets.select(F.sort_array("items").alias("items"), F.col("freq").alias("n")), "url-sets")
+    bad = sets.where(F.array_contains("items", _BAD)).select(F.array_remove("items", _BAD).alias("items"), F.col("n").alias("n_bad"))
+    share = F.col("n_bad") / F.col("n")
+    error = F.sqrt(F.lit(base * (1 - base)) / F.col("n"))
+    sets = bad.where(F.size("items") > 0).join(sets, "items").select(
+        F.xxhash64("items").alias("rule_id"), F.col("items").alias("tokens"), F.size("items").alias("n_tokens"),
+        share.alias("confidence"), (F.col("n_bad") / F.lit(total)).alias("support"),
+        ((F.col("n_bad") >= min_pages) & (share >= min_confidence) & (share > base) & (share - base >= error * min_errors)).alias("fits"),
     )
-    return _shortest(stored(rules, "url-rules"))
-
-
-def _shortest(rules: DataFrame) -> DataFrame:
-    """The rules none of whose proper subsets is a rule: subsets are looked up by key, at most 2**MAX_TOKENS each."""
-    subsets = F.array(F.array().cast("array<string>"))
-    subsets = F.aggregate(
-        "tokens", subsets.cast("array<array<string>>"),
-        lambda acc, t: F.concat(acc, F.transform(acc, lambda s: F.concat(s, F.array(t)))),
-    )
-    parts = rules.select(F.col("rule_id").alias("_whole"), F.explode(subsets).alias("tokens")).where("size(tokens) > 0")
-    parts = parts.where(F.xxhash64("tokens") != F.col("_whole"))
-    covered = parts.join(rules.select("tokens"), "tokens", "left_semi").select(F.col("_whole").alias("rule_id")).distinct()
-    return rules.join(covered, "rule_id", "left_anti")
+    return _shortest(stored(sets, "url-rules"))
+
+
+def _shortest(sets: DataFrame) -> DataFrame:
+    """The sets that fit and of whose proper subsets none does. Subsets of a supported set are supported, so a set is covered
+    if one of those a token smaller fits or is covered: one round per length, up to the tokens of the longest URL pattern."""
+    longest = sets.agg(F.max("n_tokens")).first()[0] or 0
+    covering, kept = None, sets.where("fits AND n_tokens = 1")
+    for length in range(2, longest + 1):
+        below = sets.where((F.col("n_tokens") == length - 1) & F.col("fits")).select("tokens")
+        below = below if covering is None else below.unionByName(covering).distinct()
+        level = sets.where(F.col("n_tokens") == length)
+        parts = level.select(F.col("tokens").alias("whole"), F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))).alias("tokens"))
+        covering = stored(parts.join(below, "tokens", "left_semi").select(F.col("whole").alias("tokens")).distinct(), "url-covered")
+        kept = kept.unionByName(level.where("fits").join(covering, "tokens", "left_anti").select(*sets.columns))
+    return kept.drop("fits")
 
 
 def matches(pages: DataFrame, rules: DataFrame) -> DataFrame:

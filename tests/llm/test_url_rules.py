@@ -1,3 +1,4 @@
+import math
 import re
 from itertools import combinations
 
@@ -45,15 +46,17 @@ def test_hosts_paths_and_lists(spark):
     assert all(set(r.t) == tokens(r.url) and len(set(r.t)) == len(r.t) for r in found)
 
 
-def brute_rules(urls, bad, support, confidence, lift):
+def brute_rules(urls, bad, support, confidence, pages, errors):
     baskets = [(tokens(u), b) for u, b in zip(urls, bad) if tokens(u)]
     n, share = len(baskets), sum(b for _, b in baskets) / len(baskets)
-    found = {}
-    for size in range(1, ur.MAX_TOKENS + 1):
+    found = set()
+    for size in range(1, max(len(t) for t, _ in baskets) + 1):
         for combo in {c for t, _ in baskets for c in combinations(sorted(t), size)}:
             held = [b for t, b in baskets if set(combo) <= t]
-            if sum(held) >= support * n and sum(held) / len(held) >= confidence and sum(held) / len(held) / share >= lift:
-                found[combo] = sum(held) / len(held)
+            rate = sum(held) / len(held)
+            above = rate > share and rate - share >= errors * math.sqrt(share * (1 - share) / len(held))
+            if sum(held) >= max(support * n, pages) and rate >= confidence and above:
+                found.add(combo)
     return {c for c in found if not any(set(d) < set(c) for d in found)}
 
 
@@ -62,10 +65,10 @@ def test_mined_rules(spark):
     bad = [i % 3 == 0 and i % 2 == 0 or i % 4 == 1 and i % 5 % 2 == 1 for i in range(140)]
     pages = spark.createDataFrame(list(enumerate(urls)) + [(500, None), (None, urls[0]), (501, urls[0]), (501, urls[0])], "page_id long, url string")
     labels = spark.createDataFrame([(i, int(not b), 0) for i, b in enumerate(bad)] + [(None, 0, 0), (9, None, 0), (7777, 0, 0)], "doc_id long, quality int, toxic int")
-    mined = ur.mined_rules(pages, labels, 0.02, 0.6, 1.5)
-    want = brute_rules(urls, bad, 0.02, 0.6, 1.5)
+    mined = ur.mined_rules(pages, labels, 0.02, 0.6, 3, 1.5)
+    want = brute_rules(urls, bad, 0.02, 0.6, 3, 1.5)
     assert want and {tuple(r.tokens) for r in mined.collect()} == want
-    got = ur.judge_urls(pages, labels, min_support=0.02, min_confidence=0.6, min_lift=1.5).collect()
+    got = ur.judge_urls(pages, labels, min_support=0.02, min_confidence=0.6, min_pages=3, min_errors=1.5).collect()
     assert len(got) == 144
     for r in got:
         url = urls[r.page_id] if r.page_id is not None and r.page_id < 140 else None if r.page_id == 500 else urls[0]
@@ -73,6 +76,36 @@ def test_mined_rules(spark):
         assert (r.n_rules, r.verdict) == (fit, listed(*parts(url))[1] or ("block" if fit else "allow"))
 
 
+def mine(spark, urls, bad, **more):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(not b), 0) for i, b in enumerate(bad)], "doc_id long, quality int, toxic int")
+    return {tuple(r.tokens) for r in ur.mined_rules(pages, labels, **more).collect()}
+
+
+def test_long_rules_many_bad_labels_and_single_pages(spark):
+    parts = [[f"{'abcdef'[k]}{(i >> k) & 1}" for k in range(6)] for i in range(64)] * 6
+    urls = ["http://h/" + "/".join(p) for p in parts]
+    all_of = [all(x.endswith("1") for x in p[:5]) for p in parts]
+    assert mine(spark, urls, all_of, min_confidence=0.9) == {tuple(f"path={x}1" for x in "abcde")}
+    most = [p[0] == "a1" or i % 8 < 6 for i, p in enumerate(parts)]
+    assert ("path=a1",) in mine(spark, urls, most)
+    assert mine(spark, urls, [i == 7 for i in range(len(urls))]) == set()
+    assert mine(spark, urls, [True] * len(urls)) == set()
+
+
+def test_held_out_pages(spark):
+    """Rules of three quarters of the labelled pages are right far more often than the share of bad pages on the others."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rest = labels.where("doc_id % 4 = 0").join(pages, F.col("doc_id") == F.col("page_id"))
+    hit = ur.matches(rest.select("page_id", "url"), ur.mined_rules(pages, labels.where("doc_id % 4 <> 0"))).select("url", F.lit(1).alias("hit"))
+    n, base, blocked, right = rest.join(hit, "url", "left").agg(
+        F.count("*"), F.avg((F.col("quality") == 0).cast("int")), F.count("hit"), F.sum(F.col("hit") * (1 - F.col("quality")))
+    ).first()
+    print("held out", n, base, blocked, right)
+    assert blocked == 0 or right / blocked > 1.5 * base
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], "page_id long, url string")
     assert ur.judge_urls(none, spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")).collect() == []
