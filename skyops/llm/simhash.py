@@ -28,6 +28,8 @@ COMMON = 1 << 16
 _SET_BYTES = 2 * 1024 * 1024
 _SET_SHINGLES = 1 << 19
 _SHINGLE_STEP = 1 << 18
+# Longs in the parity sketch of a shingle set; any number gives the same result.
+PARITIES = 16
 
 
 def _shingle_hashes(words: pa.Array, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -184,14 +186,29 @@ def _samples(hashes: np.ndarray, counts: np.ndarray, bins: int, size: int) -> np
     return _set_bits(hashes[chosen], np.bincount(group[chosen], minlength=len(counts) * bins)).reshape(len(counts), bins)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
-    """The ``pairs`` (``a, b``) whose whole shingle sets are similar enough."""
-    ids = sized(pairs.select(F.col("a").alias("whole")).union(pairs.select("b")).distinct())
+def _parities(x: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the distinct hashes ``x`` falls to each of 64 * ``PARITIES`` places, as longs. Two sets differ in at
+    least as many hashes as their sketches in bits."""
+    odd = np.bincount(x & (64 * PARITIES - 1), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
+    """The ``pairs`` (``a, b``) whose whole shingle sets are similar enough. Sizes and parity sketches rule out nearly all others
+    before whole sets are moved."""
+    side = [sketches.select(*[F.col(c).alias(f"{c}_{end}") for c in sketches.columns]) for end in ("a", "b")]
+    met = pairs.join(sized(side[0]), F.col("a") == F.col("whole_a")).join(sized(side[1]), F.col("b") == F.col("whole_b"))
+    differ = sum((F.bit_count(F.col(f"p{i}_a").bitwiseXOR(F.col(f"p{i}_b"))) for i in range(PARITIES)), F.lit(0))
+    # At similarity s, sets of x + y hashes differ in (1 - s) / (1 + s) of x + y, and their sizes differ by no more than that.
+    most = F.lit((1 - min_similarity) / (1 + min_similarity)) * (F.col("size_a") + F.col("size_b")) + 1e-6
+    close = stored(met.where((F.abs(F.col("size_a") - F.col("size_b")) <= most) & (differ <= most)).select("a", "b"), "simhash-close")
+
+    ids = sized(close.select(F.col("a").alias("whole")).union(close.select("b")).distinct())
     sets = sets.join(ids, "whole", "left_semi")
     of_a = sets.select(F.col("whole").alias("a"), F.col("shingles").alias("of_a"))
     of_b = sets.select(F.col("whole").alias("b"), F.col("shingles").alias("of_b"))
     both = F.size(F.array_intersect("of_a", "of_b"))
-    counted = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
+    counted = close.join(of_a, "a").join(of_b, "b").select("a", "b", both.alias("both"), (F.size("of_a") + F.size("of_b")).alias("sum"))
     return counted.where(F.col("both") / (F.col("sum") - F.col("both")) >= min_similarity).select("a", "b")
 
 
@@ -298,10 +315,12 @@ def similar_duplicates(
     What they miss is then looked for among the shingles of which similar sets must share one (``_prefixes``), and only where
     such a shingle's texts are in several components: while that makes more than ``few_pairs`` pairs, each text meets one
     other text of the group per round, and when rounds join nothing more or few pairs are left, all of them are formed. All
-    links are verified on the whole shingle sets.
+    links are verified on the whole shingle sets, those first ruled out whose sketches already differ too much (``_parities``).
 
     Nulls, blanks, repeated ids and the empty table as in ``near_duplicates``, with sets in place of fingerprints.
     """
+    sketch = [f"p{i}" for i in range(PARITIES)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text", _SET_BYTES):
@@ -310,20 +329,24 @@ def similar_duplicates(
                 ends = np.cumsum(counts)
                 own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, counts)]
                 keys = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), HASH_SEED) for x in own), np.uint64, len(own))
+                parities = np.array([_parities(x) for x in own]).reshape(len(own), PARITIES)
                 lists = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("th"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), lists),
-                     pa.array(keys.view(np.int64)), pa.array(own, lists)],
-                    ["doc_id", "th", "fp", "samples", "whole", "shingles"],
+                     pa.array(keys.view(np.int64)), *[pa.array(x) for x in parities.T.copy()], pa.array(own, lists)],
+                    ["doc_id", "th", "fp", "samples", "whole", *sketch, "shingles"],
                 )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), "text")
-    made = read.mapInArrow(run, "doc_id long, th long, fp long, samples array<long>, whole long, shingles array<long>")
+    longs = ", ".join(f"{p} long" for p in sketch)
+    made = read.mapInArrow(run, f"doc_id long, th long, fp long, samples array<long>, whole long, {longs}, shingles array<long>")
     prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
     classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
     of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
     # Sets are read from the one stored copy each time.
-    sets, keyed = of_class.select("whole", "shingles"), stored(of_class.select("whole", "fp", "samples"), "simhash-keys")
+    sets = of_class.select("whole", "shingles")
+    keyed = stored(of_class.select("whole", "fp", "samples", F.size("shingles").alias("size"), *sketch), "simhash-keys")
+    sketches = keyed.select("whole", "size", *sketch)
 
     by_print = keyed.groupBy("fp").agg(F.min("whole").alias("first"))
     near = linked(keyed, max_bits)
@@ -335,7 +358,7 @@ def similar_duplicates(
     groups = binned.groupBy("bin", "print").agg(F.min("whole").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     alike = binned.join(groups, ["bin", "print"]).where("whole <> first").select(F.col("first").alias("a"), F.col("whole").alias("b"))
     pairs = near.select(F.least("a_set", "b_set").alias("a"), F.greatest("a_set", "b_set").alias("b")).union(alike).distinct()
-    links = stored(_verified(stored(pairs, "simhash-candidates"), sets, min_similarity), "simhash-links")
+    links = stored(_verified(stored(pairs, "simhash-candidates"), sketches, sets, min_similarity), "simhash-links")
     found = stored(components(links, "a", "b"), "simhash-components")
 
     prefixes = stored(_prefixes(sets, min_similarity), "simhash-prefixes")
@@ -343,14 +366,14 @@ def similar_duplicates(
     # A group of n rows makes n ** 2 / 2 pairs; each of its rows carries n.
     while (apart.agg(F.sum("n")).first()[0] or 0) > 2 * few_pairs:
         turn += 1
-        more = stored(_verified(stored(_hub_pairs(apart, turn, min_similarity), "simhash-candidates"), sets, min_similarity), "simhash-links")
+        more = stored(_verified(stored(_hub_pairs(apart, turn, min_similarity), "simhash-candidates"), sketches, sets, min_similarity), "simhash-links")
         if more.isEmpty():
             break
         ties = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stored(components(ties.unionByName(more), "a", "b"), "simhash-components")
         apart = _apart(prefixes, found)
     rest = stored(_all_pairs(apart, min_similarity, block), "simhash-candidates")
-    more = stored(_verified(rest, sets, min_similarity), "simhash-links")
+    more = stored(_verified(rest, sketches, sets, min_similarity), "simhash-links")
     if not more.isEmpty():
         ties = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = components(ties.unionByName(more), "a", "b")
