@@ -25,8 +25,8 @@ FEW_PAIRS = 5_000_000
 # Shingles whose frequency is known when sets are put in order; any number gives the same result.
 COMMON = 1 << 16
 # What a Python step on shingle sets holds at a time: bytes of text, or shingles.
-_SET_BYTES = 2 * 1024 * 1024
-_SET_SHINGLES = 1 << 19
+_SET_BYTES = 512 * 1024
+_SET_SHINGLES = 1 << 17
 _SHINGLE_STEP = 1 << 18
 # Longs in the parity sketch of a shingle set; any number gives the same result.
 PARITIES = 16
@@ -251,6 +251,7 @@ def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
                      pa.array(np.concatenate(found)), pa.array(places.astype(np.int32))],
                     ["whole", "size", "shingle", "pos"],
                 )
+        pa.default_memory_pool().release_unused()
 
     rows = sets.select("whole", "shingles").mapInArrow(run, "whole long, size int, shingle long, pos int")
     shared = rows.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
@@ -336,6 +337,8 @@ def similar_duplicates(
                      pa.array(keys.view(np.int64)), *[pa.array(x) for x in parities.T.copy()], pa.array(own, lists)],
                     ["doc_id", "th", "fp", "samples", "whole", *sketch, "shingles"],
                 )
+        # The worker is kept for later tasks; what it held is not.
+        pa.default_memory_pool().release_unused()
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), "text")
     longs = ", ".join(f"{p} long" for p in sketch)
