@@ -10,14 +10,22 @@ from skyops.llm.common import stored, words_of
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
+# Texts go to Python in batches of about so many bytes, so that memory doesn't grow with their length.
+ARROW_BYTES = 4 * 1024 * 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """For the rest of the session, as stages are worked out only when they are written."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counts and are mostly content lines."""
+    _small_batches(spark)
     return quality.keep_good(docs, quality.fit_lines(docs, _table(spark, sf_dir, "labels")))
 
 
@@ -31,6 +39,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts that are similar enough the row with the least id; null ids come last."""
+    _small_batches(spark)
     found = stored(simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY), "pipeline-near")
     return simhash.one_of_each(docs, found)
 
