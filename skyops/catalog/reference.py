@@ -8,6 +8,8 @@ from skyops import fixtures
 from skyops.catalog.registry import register
 from skyops.operators import cdc, reference
 from skyops.plans import reports
+from skyops.session import workspace
+from skyops.sources import tables
 from skyops.specs import CODE, ENTITIES, NUMBER, EntitySpec
 
 _FIRST, _LAST = "2024-01-01T10-05-00Z", "2024-02-01T10-05-00Z"
@@ -116,6 +118,22 @@ def snapshot_diff(spark, sf_dir):
     )
 
 
+@register(f"""
+SELECT * FROM (SELECT coalesce(a.airline_id, b.airline_id) AS airline_id,
+ CASE WHEN a.airline_id IS NULL THEN 'insert' WHEN b.airline_id IS NULL THEN 'delete' ELSE 'update' END AS change,
+ a.airline_name AS name_before, b.airline_name AS name_after, a.airline_id_icao AS icao_before, b.airline_id_icao AS icao_after
+FROM ({_snapshot_sql(_AIRLINES, _FIRST)}) a FULL JOIN ({_snapshot_sql(_AIRLINES, _LAST)}) b ON a.airline_id = b.airline_id) x
+WHERE change <> 'update' OR name_before IS DISTINCT FROM name_after OR icao_before IS DISTINCT FROM icao_after
+""")
+def snapshot_changes(spark, sf_dir):
+    """Narrow rows are compared first; whole rows are joined for changed keys only."""
+    business = list(_AIRLINES.columns)
+    latest = reference.snapshot_valid(_bronze(spark, sf_dir, _AIRLINES), _AIRLINES).select(*business)
+    changes = cdc.snapshot_changes(_first_state(spark, sf_dir, _AIRLINES).select(*business), latest, _AIRLINES.keys)
+    sides = [F.col(f"{s}.airline_{c}").alias(f"{n}_{s}") for c, n in (("name", "name"), ("id_icao", "icao")) for s in ("before", "after")]
+    return changes.select(_KEYS, "change", *sides)
+
+
 @register(f"""
 SELECT airline_id, airline_name, airline_id_icao, source_file_path, run_id FROM ({_snapshot_sql(_AIRLINES, _LAST)}) x
 """)
@@ -135,3 +153,18 @@ WHERE run_id = '{_LAST}' GROUP BY ALL
 def latest_run(spark, sf_dir):
     staged = _staged(spark, sf_dir, _AIRLINES)
     return staged.groupBy("run_id", "source_file_path").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register(f"""
+SELECT run_id, source_file_path, count(*) AS records FROM ({fixtures.ansi_sql("airlines_snapshots")}) x
+WHERE run_id = '{_LAST}' GROUP BY ALL
+""")
+def latest_run_by_name(spark, sf_dir):
+    """Pages stored by run: the latest one is known from the names of the files."""
+    path = workspace(spark, "pages-by-run")
+    pages = _bronze(spark, sf_dir, _AIRLINES)
+    pages.write.partitionBy("run_id").parquet(path)
+    stored = spark.read.schema(pages.schema).parquet(path)
+    run = reference.latest_run(stored, tables.partition_values(spark, path, "run_id"))
+    staged = reference.stage_reference(run, _AIRLINES)
+    return staged.groupBy("run_id", "source_file_path").agg(F.count(F.lit(1)).alias("records"))

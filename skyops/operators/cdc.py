@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyops.operators.skew import HOT_ROWS, hot_keys, mark_hot
+from skyops.operators.skew import BROADCAST_BYTES, HOT_ROWS, hot_keys, is_small, mark_hot
 from skyops.session import workspace
 
 START, END = "__START_AT", "__END_AT"
@@ -136,6 +136,36 @@ def snapshot_diff(current: DataFrame, snapshot: DataFrame, keys: Sequence[str])
     return before.join(after, list(keys), "full_outer").withColumn("change", change)
 
 
+def _row_print(columns: Sequence[str]) -> Column:
+    """128 bits that tell the rows apart; nulls count, which the hash alone passes over."""
+    parts = [F.col(c).isNull() for c in columns] + [F.col(c) for c in columns]
+    return F.struct(*[F.xxhash64(F.lit(seed), *parts).alias(f"h{seed}") for seed in (1, 2)])
+
+
+def snapshot_changes(
+    current: DataFrame, snapshot: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The rows of ``snapshot_diff`` that are not unchanged, for wide dimensions of which few rows change.
+
+    Keys and row hashes are compared first, so that the one shuffle of both sides is narrow. Whole rows are taken only for the
+    keys that differ: these are a stored table, broadcast if it is small, and joined by a shuffle if not. Rows with a null in
+    their key are inserts or deletes, as in ``snapshot_diff``.
+    """
+    values = [c for c in snapshot.columns if c not in keys]
+    before, after = (df.select(*keys, _row_print(values).alias(n)) for df, n in ((current, "_before"), (snapshot, "_after")))
+    changed = before.join(after, list(keys), "full_outer").where(~F.col("_before").eqNullSafe(F.col("_after")))
+    names = [f"_changed_{k}" for k in keys]
+    changed = changed.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+    path = workspace(current.sparkSession, "changed-keys")
+    changed.write.parquet(path)
+    changed = current.sparkSession.read.schema(changed.schema).parquet(path)
+    if is_small(changed, limit):
+        changed = F.broadcast(changed)
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    diff = snapshot_diff(current.join(changed, same, "left_semi"), snapshot.join(changed, same, "left_semi"), keys)
+    return diff.where("change <> 'unchanged'")
+
+
 def scd1_apply(current: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The dimension after a full snapshot: new keys in, changed rows overwritten, absent keys out."""
     diff = snapshot_diff(current, snapshot, keys).where(F.col("change") != "delete")

@@ -13,13 +13,14 @@ LINEAGE = ["source_file_path", "source_file_modification_ts", "run_id"]
 _CLEAN = {CODE: text.clean_code, NUMBER: lambda column: column}
 
 
-def latest_run(pages: DataFrame) -> DataFrame:
+def latest_run(pages: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Pages of the greatest run id (as text, which ISO ids sort correctly).
 
     A scalar subquery rather than a join with the maximum: on a table partitioned by run the scan then opens the files
-    of that run only.
+    of that run only. ``runs`` holds the run ids where there is a cheaper list of them than ``pages``, such as
+    ``tables.partition_values``.
     """
-    return pages.where(F.col("run_id") == pages.select(F.max("run_id")).scalar())
+    return pages.where(F.col("run_id") == (pages if runs is None else runs).select(F.max("run_id")).scalar())
 
 
 def clean(df: DataFrame, spec: EntitySpec) -> DataFrame:

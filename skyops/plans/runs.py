@@ -25,7 +25,11 @@ def apply_snapshot(spark: SparkSession, layout: Layout, spec: EntitySpec, guard:
     """
     schema = landing.bronze_schema(landing.REFERENCE_PARTITIONS)
     pages = tables.read_or_empty(spark, layout.bronze(spec.name), schema)
-    run = audits.latest_complete_run(pages, spec.resource) if guard else reference.latest_run(pages)
+    if guard:
+        run = audits.latest_complete_run(pages, spec.resource)
+    else:
+        path = layout.bronze(spec.name)
+        run = reference.latest_run(pages, tables.partition_values(spark, path, "run_id") if tables.exists(spark, path) else None)
     if run is None or not guard and pages.isEmpty():
         warnings.warn(f"{spec.name}: no {'complete ' if guard else ''}run, tables left as they are", stacklevel=2)
         names = {k: layout.silver(f"{spec.name}_{k}") for k in ("quarantine", "snapshot_valid", "current")}

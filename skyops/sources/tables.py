@@ -61,6 +61,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return read_table(spark, path, schema) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The value of a partition column (as text) once for every file of a table. It comes from the names of the files, none of
+    which is opened; of a table that a stream writes, only files count that the stream has committed."""
+    folder = F.regexp_extract("path", rf"/\Q{column}\E=([^/]+)/", 1)
+    value = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    known = F.when((folder != "") & (folder != NO_VALUE), value)
+    return spark.read.format("binaryFile").load(path).select(known.alias(column))
+
+
 def is_ready(spark: SparkSession, path: str) -> bool:
     return bool(_versions(spark, path)[1])
 

@@ -134,6 +134,22 @@ def test_snapshots_in_turn_equal_the_last_one(spark):
         state, before = spark.createDataFrame(rows, "a string, b int, v string"), after
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_changes_are_those_of_the_whole_comparison(spark, limit):
+    schema = "a string, b int, v string, w string"
+    old = [("k", i, rows[0], rows[1]) for i, rows in enumerate([("x", None), (None, "x"), ("x", "y"), (None, None), ("same", "same")])]
+    new = [("k", 0, None, "x"), ("k", 1, None, "x"), ("k", 2, "x", "z"), ("k", 3, "", None), ("new", 4, "x", "y"), (None, 1, "x", "y")]
+    current, snapshot = spark.createDataFrame([*old, (None, 1, "x", "y")], schema), spark.createDataFrame(new, schema)
+    key = lambda rows: sorted(map(str, rows))
+    want = cdc.snapshot_diff(current, snapshot, ["a", "b"]).where("change <> 'unchanged'").collect()
+    got = cdc.snapshot_changes(current, snapshot, ["a", "b"], limit)
+    assert len(want) == 7 and key(got.collect()) == key(want)
+    for one, other in ((current, current.limit(0)), (current.limit(0), snapshot)):
+        assert cdc.snapshot_changes(one, other, ["a", "b"], limit).count() == max(one.count(), other.count())
+    plain = current.where("a IS NOT NULL")
+    assert cdc.snapshot_changes(plain, plain, ["a", "b"], limit).collect() == []
+
+
 def test_measured_size(spark):
     df = spark.createDataFrame([("é", 1), (None, 2)], "s string, n int")
     assert measured_bytes(df) == 2 * 32 + 2

@@ -309,6 +309,27 @@ def test_latest_run_reads_only_its_partition(spark, layout):
     plan = reference.latest_run(pages)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in plan and "scalar-subquery" in plan.lower().replace("subquery subquery", "scalar-subquery")
 
+    names = tables.partition_values(spark, layout.bronze("airports"), "run_id")
+    latest = reference.latest_run(pages, names)
+    assert [r.run_id for r in latest.select("run_id").distinct().collect()] == ["2024-02-01T00-00-00Z"]
+    assert latest.count() == reference.latest_run(pages).count() == 1
+    # Files that the stream has not committed don't count, and none is opened: this one is no table file.
+    stray = Path(layout.bronze("airports")) / "run_id=2025-01-01T00-00-00Z" / "part-0.parquet"
+    stray.parent.mkdir()
+    stray.write_text("not parquet")
+    assert sorted({r.run_id for r in tables.partition_values(spark, layout.bronze("airports"), "run_id").collect()}) == [
+        "2024-01-01T00-00-00Z", "2024-02-01T00-00-00Z"
+    ]
+
+
+def test_partition_values_open_no_file(spark, tmp_path):
+    values = ["007", "10", "a+b", "é b", "x:y%41/z", None]
+    spark.createDataFrame([(1, v) for v in values], "n int, run_id string").write.partitionBy("run_id").parquet(str(tmp_path / "t"))
+    for file in (tmp_path / "t").rglob("*.parquet"):
+        file.write_text("not parquet")
+    got = [r.run_id for r in tables.partition_values(spark, str(tmp_path / "t"), "run_id").collect()]
+    assert sorted(got, key=str) == sorted(values, key=str)
+
 
 def test_kpi_base_covers_every_date(spark):
     from skyops import fixtures
