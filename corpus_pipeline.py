@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyops.llm import decontaminate, line_dedup, mixing, quality, simhash
-from skyops.llm.common import stored, words_of
+from skyops.llm.common import scratch, stored, words_of
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 # Texts go to Python in batches of about so many bytes, so that memory doesn't grow with their length.
-ARROW_BYTES = 4 * 1024 * 1024
+ARROW_BYTES = 1024 * 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,7 +40,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of texts that are similar enough the row with the least id; null ids come last."""
     _small_batches(spark)
-    found = stored(simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY), "pipeline-near")
+    with scratch(spark):
+        found = simhash.similar_duplicates(docs, SHINGLE_WORDS, min_similarity=MIN_SIMILARITY)
+        found = stored(found, "pipeline-near", keep=True)
     return simhash.one_of_each(docs, found)
 
 

@@ -20,6 +20,8 @@ MIN_CONTENT = 0.5
 # The model is fitted on at most this many labelled documents of each quality and this many lines of each of them.
 TRAIN_DOCS = 2000
 TRAIN_LINES = 200
+# Bytes of text that a Python step here holds at a time: words, lines and features take many times that.
+_PIECE_BYTES = 1024 * 1024
 
 # Fixed value: the characters that count as symbols.
 SYMBOLS = r"[#*$%&|<>]"
@@ -161,9 +163,10 @@ def measured(docs: DataFrame, model: LineModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", _PIECE_BYTES):
                 found = _measure(part.column("text"), model)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, found.values())], ["doc_id", *found])
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, {_MEASURES}")
 
@@ -173,8 +176,10 @@ def keep_good(docs: DataFrame, model: LineModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", _PIECE_BYTES):
                 yield part.filter(pa.array(_measure(part.column("text"), model)["kept"]))
+        # The worker is kept for later tasks; what it held is not.
+        pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -194,7 +199,7 @@ def fit_lines(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, ma
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", _PIECE_BYTES):
                 _, starts, _, _, features = _lines(part.column("text"))
                 bits = features.astype(np.int32) @ (1 << np.arange(len(FEATURES), dtype=np.int32))
                 masks = [bits[a : min(b, a + max_lines)] for a, b in zip(starts, starts[1:])]
@@ -202,6 +207,7 @@ def fit_lines(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, ma
                     [part.column("doc_id"), part.column("quality"), pa.array(masks, pa.list_(pa.int32()))],
                     ["doc_id", "quality", "masks"],
                 )
+        pa.default_memory_pool().release_unused()
 
     sample = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "quality").mapInArrow(
         run, "doc_id long, quality int, masks array<int>"
@@ -257,8 +263,12 @@ def _ascend(texts: list[np.ndarray], labels: list[np.ndarray], lines: np.ndarray
             backward[i] = np.where(real[i + 1][:, None], step, 0.0)
         norm = np.logaddexp(forward[-1][:, 0], forward[-1][:, 1])
         state = np.exp(forward + backward - norm[None, :, None]) * real[:, :, None]
-        joint = np.exp(forward[:-1, :, :, None] + moves + (gain + backward)[1:, :, None, :] - norm[None, :, None, None])
-        expected = (joint * both[:, :, None, None]).sum(axis=(0, 1)) / total
+        joint = forward[:-1, :, :, None] + moves
+        joint += (gain + backward)[1:, :, None, :]
+        joint -= norm[None, :, None, None]
+        np.exp(joint, out=joint)
+        joint *= both[:, :, None, None]
+        expected = joint.sum(axis=(0, 1)) / total
         lines += 1.0 * (seen_lines - np.einsum("ln,lnf->f", state[:, :, CONTENT], x) / total - ridge * lines)
         moves += 1.0 * (seen_moves - expected - ridge * moves)
     return LineModel(lines, moves)

@@ -28,6 +28,8 @@ COMMON = 1 << 16
 _SET_BYTES = 512 * 1024
 _SET_SHINGLES = 1 << 17
 _SHINGLE_STEP = 1 << 18
+# Row groups of the table of shingle sets.
+_GROUP_BYTES = 8 * 1024 * 1024
 # Longs in the parity sketch of a shingle set; any number gives the same result.
 PARITIES = 16
 
@@ -343,7 +345,7 @@ def similar_duplicates(
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), "text")
     longs = ", ".join(f"{p} long" for p in sketch)
     made = read.mapInArrow(run, f"doc_id long, th long, fp long, samples array<long>, whole long, {longs}, shingles array<long>")
-    prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints")
+    prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints", _GROUP_BYTES)
     classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
     of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
     # Sets are read from the one stored copy each time.

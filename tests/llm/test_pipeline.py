@@ -1,16 +1,21 @@
 """The stages over a small table, each against brute force on the stage's own input."""
 
 import random
+import tracemalloc
+import uuid
 
 import corpus_pipeline as cp
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 from test_decontaminate import by_alignment
 from test_line_dedup import by_all_pairs, words
 from test_mixing import by_resharing
 from test_line_quality import counts
 from test_simhash import classes, shingles, similarity
 
-from skyops.llm import mixing
-from skyops.llm.common import stored
+from skyops.llm import common, mixing, quality, simhash
+from skyops.llm.common import stored, text_slices
 
 
 def table(rng):
@@ -134,3 +139,42 @@ def test_other_stages_with_odd_rows(spark, tmp_path):
     assert good.columns == docs.columns and all(r.doc_id == 9 for r in good.collect())
     for stage in (cp.dedup_lines, cp.decontaminated, cp.quality_rules):
         assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []
+
+
+def folder_for(monkeypatch, tmp_path):
+    monkeypatch.setattr(common, "workspace", lambda spark, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+
+
+def test_near_stage_leaves_only_what_it_returns_from(spark, tmp_path, monkeypatch):
+    """Shingle sets, candidates and rounds go once the groups are stored; the result doesn't need them."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(words[i % 3 :]) + f" x{i % 6}", "s") for i in range(12)]
+    folder_for(monkeypatch, tmp_path)
+    got = cp.near_dedup(spark, wide(spark, rows), "")
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {"pipeline-near", "simhash-winners"}
+    assert [r.doc_id for r in got.collect()] == [0]
+
+
+def test_batches_bound_what_python_steps_hold(spark):
+    """Of long texts a Python step gets about a megabyte at a time, and what quality rules make of it stays small."""
+    docs = wide(spark, [(i, "some words of a line\n" * 20_000, "s") for i in range(12)]).coalesce(1)
+    cp._small_batches(spark)
+    sizes = docs.select("text").mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in it), "n long")
+    assert max(r.n for r in sizes.collect()) <= 4
+    batch = pa.RecordBatch.from_pydict({"text": [f"line {i} of some words\n" * 20 for i in range(9_000)]})
+    tracemalloc.start()
+    for part in text_slices(batch, "text", quality._PIECE_BYTES):
+        quality._measure(part.column("text"), quality.ALL_CONTENT)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 * 1024 * 1024
+
+
+def test_row_groups_of_shingle_sets(spark, tmp_path, monkeypatch):
+    """Whoever writes or reads the stored sets holds a row group, not a file."""
+    sets = spark.range(400).select(F.transform(F.sequence(F.lit(1), F.lit(6000)), lambda i: F.xxhash64("id", i)).alias("shingles")).coalesce(1)
+    folder_for(monkeypatch, tmp_path)
+    assert stored(sets, "sets", simhash._GROUP_BYTES).count() == 400
+    (file,) = tmp_path.glob("sets-*/*.parquet")
+    meta = pq.ParquetFile(file).metadata
+    assert max(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)) < 12 * 1024 * 1024
