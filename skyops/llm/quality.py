@@ -216,7 +216,7 @@ def fit_lines(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, ma
     if len({r["quality"] for r in found}) < 2:
         return ALL_CONTENT
     unpack = lambda masks: (np.asarray(masks)[:, None] >> np.arange(len(FEATURES))) & 1
-    return fit_chain([unpack(r["masks"]).astype(float) for r in found], np.array([r["quality"] for r in found]))
+    return fit_chain([unpack(r["masks"]).astype(np.uint8) for r in found], np.array([r["quality"] for r in found]))
 
 
 def fit_chain(texts: list[np.ndarray], quality: np.ndarray, steps: int = 150, ridge: float = 1e-3) -> LineModel:
@@ -226,49 +226,62 @@ def fit_chain(texts: list[np.ndarray], quality: np.ndarray, steps: int = 150, ri
     logistic regression. A line of a bad text then keeps its label only if it looks like boilerplate, a line of a good text
     becomes boilerplate only if it does so clearly. The chain is fitted to these labels by gradient ascent.
     """
-    rows = np.concatenate(texts)
-    label = np.repeat(quality, [len(t) for t in texts]).astype(float)
-    weight = np.where(label == 1, 0.5 / max(label.mean(), 1e-9), 0.5 / max(1 - label.mean(), 1e-9))
+    rows, kind = _kinds(texts)
+    label = np.repeat(quality, [len(t) for t in texts])
+    share = label.mean()
+    # Lines of equal features count together.
+    of = [np.bincount(kind[label == q], minlength=len(rows)) * (0.5 / max(share if q else 1 - share, 1e-9)) for q in (0, 1)]
     lines = np.zeros(rows.shape[1])
     for _ in range(steps):
-        miss = (label - 1 / (1 + np.exp(-rows @ lines))) * weight
-        lines += 2.0 * (rows.T @ miss / len(rows) - ridge * lines)
-    chance = 1 / (1 + np.exp(-rows @ lines))
+        chance = 1 / (1 + np.exp(-rows @ lines))
+        lines += 2.0 * (rows.T @ (of[1] * (1 - chance) - of[0] * chance) / len(kind) - ridge * lines)
+    chance = (1 / (1 + np.exp(-rows @ lines)))[kind]
     seen = np.where(label == 1, chance > 0.1, chance > 0.5)
     ends = np.cumsum([len(t) for t in texts])
     return _ascend(texts, np.split(seen, ends[:-1]), lines, steps, ridge)
 
 
+def _kinds(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows of features, and for each line of all texts the one that it has."""
+    rows, kind = np.unique(np.concatenate(texts), axis=0, return_inverse=True)
+    return rows.astype(float), kind.ravel()
+
+
 def _ascend(texts: list[np.ndarray], labels: list[np.ndarray], lines: np.ndarray, steps: int, ridge: float) -> LineModel:
-    """Maximum conditional likelihood by forward-backward sums over all texts at once, padded to the longest."""
-    longest = max(map(len, texts))
-    n, width = len(texts), texts[0].shape[1]
-    x, y, real = np.zeros((longest, n, width)), np.zeros((longest, n), dtype=int), np.zeros((longest, n), dtype=bool)
-    for t, (rows, own) in enumerate(zip(texts, labels)):
-        x[: len(rows), t], y[: len(rows), t], real[: len(rows), t] = rows, own, True
-    total = real.sum()
-    both = real[1:] & real[:-1]
-    seen_moves = np.array([[(both & (y[:-1] == a) & (y[1:] == b)).sum() for b in (0, 1)] for a in (0, 1)]) / total
-    seen_lines = x[real][y[real] == CONTENT].sum(axis=0) / total
+    """Maximum conditional likelihood by forward-backward sums over all texts at once: the first lines of all texts, longest
+    text first, then their second lines, and so on, so memory follows the lines that there are."""
+    sizes = np.array([len(t) for t in texts])
+    rows, kind = _kinds(texts)
+    longest_first = np.argsort(-sizes, kind="stable")
+    alive = len(sizes) - np.searchsorted(np.sort(sizes), np.arange(sizes.max()), side="right")  # texts with a line at each place
+    at = np.concatenate(([0], np.cumsum(alive)))
+    text = np.arange(at[-1]) - np.repeat(at[:-1], alive)
+    place = np.repeat(np.arange(len(alive)), alive)
+    line = (np.cumsum(sizes) - sizes)[longest_first][text] + place
+    kind, y = kind[line], np.concatenate(labels)[line].astype(int)
+    total, later = len(kind), np.arange(alive[0], at[-1])
+    before = at[place[later] - 1] + text[later]
+    last = at[sizes[longest_first] - 1] + np.arange(len(sizes))
+    seen_moves = np.bincount(2 * y[before] + y[later], minlength=4).reshape(2, 2) / total
+    seen_lines = rows.T @ np.bincount(kind[y == CONTENT], minlength=len(rows)) / total
     lines, moves = lines.copy(), np.zeros((2, 2))
     for _ in range(steps):
-        gain = np.stack([np.zeros((longest, n)), x @ lines], axis=2)
-        forward, backward = np.zeros((longest, n, 2)), np.zeros((longest, n, 2))
-        forward[0] = gain[0]
-        for i in range(1, longest):
-            forward[i] = np.where(real[i][:, None], gain[i] + np.logaddexp(forward[i - 1][:, :1] + moves[0], forward[i - 1][:, 1:] + moves[1]), forward[i - 1])
-        for i in range(longest - 2, -1, -1):
-            ahead = gain[i + 1] + backward[i + 1]
-            step = np.logaddexp(moves[:, 0] + ahead[:, :1], moves[:, 1] + ahead[:, 1:])
-            backward[i] = np.where(real[i + 1][:, None], step, 0.0)
-        norm = np.logaddexp(forward[-1][:, 0], forward[-1][:, 1])
-        state = np.exp(forward + backward - norm[None, :, None]) * real[:, :, None]
-        joint = forward[:-1, :, :, None] + moves
-        joint += (gain + backward)[1:, :, None, :]
-        joint -= norm[None, :, None, None]
-        np.exp(joint, out=joint)
-        joint *= both[:, :, None, None]
-        expected = joint.sum(axis=(0, 1)) / total
-        lines += 1.0 * (seen_lines - np.einsum("ln,lnf->f", state[:, :, CONTENT], x) / total - ridge * lines)
+        gain = np.zeros((total, 2))
+        gain[:, CONTENT] = (rows @ lines)[kind]
+        forward, backward = gain.copy(), np.zeros((total, 2))
+        for i in range(1, len(alive)):
+            own, past = slice(at[i], at[i + 1]), forward[at[i - 1] : at[i - 1] + alive[i]]
+            forward[own] += np.logaddexp(past[:, :1] + moves[0], past[:, 1:] + moves[1])
+        for i in range(len(alive) - 2, -1, -1):
+            own = slice(at[i + 1], at[i + 2])
+            ahead = gain[own] + backward[own]
+            backward[at[i] : at[i] + alive[i + 1]] = np.logaddexp(moves[:, 0] + ahead[:, :1], moves[:, 1] + ahead[:, 1:])
+        norm = np.logaddexp(forward[last, 0], forward[last, 1])[text]
+        content = np.exp(forward[:, CONTENT] + backward[:, CONTENT] - norm)
+        gain += backward
+        expected = np.array([
+            [np.exp(forward[before, a] + moves[a, b] + gain[later, b] - norm[later]).sum() for b in (0, 1)] for a in (0, 1)
+        ]) / total
+        lines += 1.0 * (seen_lines - rows.T @ np.bincount(kind, content, len(rows)) / total - ridge * lines)
         moves += 1.0 * (seen_moves - expected - ridge * moves)
     return LineModel(lines, moves)

@@ -219,15 +219,16 @@ def _common(sets: DataFrame) -> np.ndarray:
     on them."""
     some = sets.where(F.pmod(F.xxhash64("whole"), F.lit(16)) == 0).select(F.explode("shingles").alias("shingle"))
     counted = some.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 3")
-    rows = counted.orderBy(F.desc("n"), "shingle").limit(COMMON).collect()
-    return np.array([r["shingle"] for r in reversed(rows)], dtype=np.int64)
+    rows = counted.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
+    return rows["shingle"].to_numpy()[::-1].astype(np.int64)
 
 
-def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
+def _prefixes(sets: DataFrame, found: DataFrame, min_similarity: float) -> DataFrame:
     """``whole, size, shingle, pos``: of each set the shingles one of which any similar set shares, with their place.
 
     In one order for all sets, common shingles last, sets of ``size`` shingles that have ``c`` or more in common with another
-    share one of their first ``size - c + 1``. Only shingles that several sets have there are kept.
+    share one of their first ``size - c + 1``. Only shingles that sets of several components in ``found`` have there are kept:
+    components only grow, so no other shingle is needed again, and copies make up most of the others.
     """
     last = _common(sets)
     by_value = np.argsort(last)
@@ -256,7 +257,10 @@ def _prefixes(sets: DataFrame, min_similarity: float) -> DataFrame:
         pa.default_memory_pool().release_unused()
 
     rows = sets.select("whole", "shingles").mapInArrow(run, "whole long, size int, shingle long, pos int")
-    shared = rows.select("shingle").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("shingle")
+    named = rows.select("whole", "shingle").join(sized(found), F.col("whole") == F.col("node"), "left")
+    component = F.coalesce("component", "whole")
+    ends = named.groupBy("shingle").agg(F.min(component).alias("low"), F.max(component).alias("high"))
+    shared = ends.where("low <> high").select("shingle")
     return rows.join(sized(stored(shared, "simhash-shared")), "shingle").select("whole", "size", "shingle", "pos")
 
 
@@ -366,7 +370,7 @@ def similar_duplicates(
     links = stored(_verified(stored(pairs, "simhash-candidates"), sketches, sets, min_similarity), "simhash-links")
     found = stored(components(links, "a", "b"), "simhash-components")
 
-    prefixes = stored(_prefixes(sets, min_similarity), "simhash-prefixes")
+    prefixes = stored(_prefixes(sets, found, min_similarity), "simhash-prefixes")
     turn, apart = 0, _apart(prefixes, found)
     # A group of n rows makes n ** 2 / 2 pairs; each of its rows carries n.
     while (apart.agg(F.sum("n")).first()[0] or 0) > 2 * few_pairs:

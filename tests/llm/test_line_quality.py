@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 from itertools import product
 
@@ -84,6 +85,17 @@ def test_fit_follows_the_likelihood():
         assert value(model.lines + rng.normal(size=3) * 0.05, model.moves + rng.normal(size=(2, 2)) * 0.05) <= best + 1e-6
 
 
+def test_fit_holds_the_lines_there_are():
+    """One long text among many short ones doesn't make the fit hold as many lines of each."""
+    rng = np.random.default_rng(4)
+    texts_ = [rng.integers(0, 2, (n, 15)).astype(np.uint8) for n in [200, *[2] * 3000]]
+    tracemalloc.start()
+    model = quality.fit_chain(texts_, rng.integers(0, 2, len(texts_)), steps=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(model.lines).all() and peak < 16 * 1024 * 1024
+
+
 def test_features():
     lines, starts, n_words, repeats, features = quality._lines(pa.array(["One two.\n\n## 12 % |\nOne two.", None, "END"]))
     assert lines.to_pylist() == ["One two.", "## 12 % |", "One two.", "END"] and starts.tolist() == [0, 3, 3, 4]

@@ -155,6 +155,20 @@ def test_near_stage_leaves_only_what_it_returns_from(spark, tmp_path, monkeypatc
     assert [r.doc_id for r in got.collect()] == [0]
 
 
+def test_prefixes_of_one_component_are_not_kept(spark, tmp_path, monkeypatch):
+    """Shingles that only texts of one component share need no further comparison; those that others share do."""
+    family = lambda x: [f"{x}0 " + " ".join(f"{x}{i}" for i in range(1, 60)) + f" {x}{end}" for end in ("a", "b", "c")]
+    folder_for(monkeypatch, tmp_path)
+    stored_rows = lambda: sum(pq.read_table(p).num_rows for p in tmp_path.glob("simhash-prefixes-*/*.parquet"))
+    alike = wide(spark, [(i, t, "s") for i, t in enumerate(family("v") + family("w"))])
+    assert sorted(r.component_id for r in simhash.similar_duplicates(alike).collect()) == [0, 0, 0, 3, 3, 3]
+    assert stored_rows() == 0
+    half = [f"{x}{i}" for x in range(6) for i in range(16)]
+    rows = [(2 * k + e, " ".join([*half[16 * k : 16 * k + 16], *[f"{end}{k}{i}" for i in range(8)]]), "s") for k in range(6) for e, end in enumerate("yz")]
+    assert sorted(r.component_id for r in simhash.similar_duplicates(wide(spark, rows)).collect()) == list(range(12))
+    assert stored_rows() > 0
+
+
 def test_batches_bound_what_python_steps_hold(spark):
     """Of long texts a Python step gets about a megabyte at a time, and what quality rules make of it stays small."""
     docs = wide(spark, [(i, "some words of a line\n" * 20_000, "s") for i in range(12)]).coalesce(1)
