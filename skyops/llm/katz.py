@@ -32,6 +32,9 @@ MAX_DISCOUNTED = 5
 HOT_SHARE = 1 / 2000
 # A task works on about this many tokens at once, in every step.
 TOKENS = 2_000_000
+# A packed row holds at most so many tokens or histories, so that no row is large; a task returns rows by about so many bytes.
+_ROW_ENTRIES = 1 << 15
+_OUT_BYTES = 4 * 1024 * 1024
 _SEED = 5
 # White space is in no word, so these never meet a word's hash but by chance.
 _START, _END = (int(x) for x in hash_texts(pa.array([" ", "\n"]), _SEED))
@@ -156,7 +159,7 @@ def _batches(
     for batch in batches:
         for part in text_slices(batch, "text"):
             t, s = _tokens(part)
-            parts.append(part)
+            parts.append(part.select(["doc_id", "held_out"]))
             tokens.append(t)
             sizes.append(s)
             n += len(t)
@@ -178,6 +181,8 @@ def count_unigrams(docs: DataFrame, tokens_at_once: int = TOKENS, hot_share: flo
         for parts, tokens, sizes in _batches(batches, tokens_at_once):
             found, n = np.unique(tokens[np.repeat(~_held(parts), sizes)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["w", "n"])
+            del parts, tokens, sizes, found, n
+        _give_back()
 
     counts = docs.mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
     path = workspace(docs.sparkSession, "katz-unigrams")
@@ -197,7 +202,19 @@ def _row(family: int, target: int, kind: str, batch: int, blob: bytes, totals: S
     return family, target, kind, batch, blob, list(totals)
 
 
+def _give_back() -> None:
+    """The worker is kept for later tasks; what it held is not."""
+    pa.default_memory_pool().release_unused()
+
+
 def _made(rows: list[tuple]) -> pa.Table:
+    """The rows in chunks of about ``_OUT_BYTES``: each crosses to Spark by itself."""
+    groups = np.cumsum([len(row[4]) for row in rows]) // _OUT_BYTES
+    edges = np.flatnonzero(np.diff(groups)) + 1
+    return pa.concat_tables([_chunk(rows[a:b]) for a, b in zip([0, *edges], [*edges, len(rows)])])
+
+
+def _chunk(rows: list[tuple]) -> pa.Table:
     types = [pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
     names = [x.split()[0] for x in _ROW.split(", ")]
     columns = zip(*rows) if rows else [[]] * len(names)
@@ -214,6 +231,11 @@ def _grouped(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(values[places[0]]), places
 
 
+def _pieces(places: np.ndarray) -> Iterator[np.ndarray]:
+    for a in range(0, len(places), _ROW_ENTRIES):
+        yield places[a : a + _ROW_ENTRIES]
+
+
 def _send(unigrams: Unigrams) -> Callable:
     """Tokens to their buckets, and what is known of each document to its batch."""
     buckets = unigrams.buckets
@@ -227,18 +249,20 @@ def _send(unigrams: Unigrams) -> Callable:
             rows = [_row(0, batch, "docs", batch, pack(ids.view(np.uint64), no_id, held, sizes))]
             before = np.concatenate((np.zeros(1, np.uint64), tokens[:-1]))
             before[np.cumsum(sizes) - sizes] = _START
-            doc = np.repeat(np.arange(len(sizes), dtype=np.int64) * 2 + held, sizes)
-            bucket = tokens % np.uint64(buckets)
-            hot = _find(tokens, unigrams.hot) >= 0
+            doc = np.repeat((np.arange(len(sizes)) * 2 + held).astype(np.uint32), sizes)
+            bucket = (tokens % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint64)
+            hot = np.flatnonzero(_find(tokens, unigrams.hot) >= 0)
             bucket[hot] = _mixed(tokens[hot], before[hot]) % np.uint64(buckets)
-            small = np.uint16 if buckets <= 1 << 16 else np.uint64
-            for target, places in _grouped(bucket.astype(small)):
-                own = tokens[places]
-                places = places[np.argsort(own, kind="stable")]
-                own, own_n = np.unique(own, return_counts=True)
-                histories, at = np.unique(before[places], return_inverse=True)
-                rows.append(_row(1, target, "tokens", batch, pack(_steps(own), own_n, _steps(histories), at, doc[places])))
+            for target, places in _grouped(bucket):
+                places = places[np.argsort(tokens[places], kind="stable")]
+                for piece in _pieces(places):
+                    own, own_n = np.unique(tokens[piece], return_counts=True)
+                    histories, at = np.unique(before[piece], return_inverse=True)
+                    rows.append(_row(1, target, "tokens", batch, pack(_steps(own), own_n, _steps(histories), at, doc[piece])))
+            del parts, tokens, sizes, before, doc, bucket, hot
             yield from _made(rows).to_batches()
+            del rows
+        _give_back()
 
     return run
 
@@ -263,67 +287,86 @@ def _count(unigrams: Unigrams) -> Callable:
         family, bucket = key[0].as_py(), key[1].as_py()
         if family == 0:
             return table
-        batches, parts = table.column("batch").to_pylist(), [unpack(b) for b in table.column("blob").to_pylist()]
-        token = np.concatenate([np.repeat(np.cumsum(own), own_n.astype(np.int64)) for own, own_n, _, _, _ in parts])
-        before = np.concatenate([np.cumsum(h)[at] for _, _, h, at, _ in parts])
-        doc = np.concatenate([d for _, _, _, _, d in parts]).astype(np.int64)
-        ends = np.cumsum([len(d) for _, _, _, _, d in parts])
+        table = table.sort_by("batch")
+        batches, token, before, doc = table.column("batch").to_pylist(), [], [], []
+        for blob in table.column("blob"):
+            own, own_n, histories, at, docs = unpack(blob.as_py())
+            token.append(np.repeat(np.cumsum(own), own_n.astype(np.int64)))
+            before.append(np.cumsum(histories)[at])
+            doc.append(docs.astype(np.uint32))
+        del table
+        batches, first = np.unique(batches, return_index=True)
+        sizes = np.add.reduceat([len(d) for d in doc], first)
+        batches, ends = batches.tolist(), np.cumsum(sizes)
+        token, before, doc = np.concatenate(token), np.concatenate(before), np.concatenate(doc)
         train = (doc & 1) == 0
-        del parts
+        doc >>= 1
 
-        pair = _mixed(before, token)
+        pair = np.empty_like(token)
+        for a in range(0, len(pair), _ROW_ENTRIES):
+            pair[a : a + _ROW_ENTRIES] = _mixed(before[a : a + _ROW_ENTRIES], token[a : a + _ROW_ENTRIES])
         order = np.argsort(pair, kind="stable")
-        begin = np.flatnonzero(np.concatenate(([True], np.diff(pair[order]) != 0)))
-        pair_n = np.add.reduceat(train[order].astype(np.int64), begin)
+        pair = pair[order]
+        begin = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        del pair
+        pair_n = np.add.reduceat(train[order], begin, dtype=np.int64)
         r = np.empty(len(token), dtype=np.int64)
         r[order] = np.repeat(pair_n, np.diff(np.append(begin, len(token))))
         kinds, kind = np.unique(token, return_inverse=True)
+        del token
+        kind = kind.astype(np.uint32)
         kind_n = np.bincount(kind[train], minlength=len(kinds))
         hot = _find(kinds, unigrams.hot)
         kind_n[hot >= 0] = unigrams.hot_counts[hot[hot >= 0]]
-        c = kind_n[kind]
 
         # Distinct bigrams of the training documents.
         known = pair_n > 0
         one, one_n = order[begin[known]], pair_n[known]
+        del order, begin, pair_n, known
         totals = np.bincount(np.minimum(one_n, MAX_DISCOUNTED + 2), minlength=MAX_DISCOUNTED + 3)[1 : MAX_DISCOUNTED + 2]
         rows = [_row(2, bucket, "counts", 0, b"", totals.tolist())]
         histories, of = np.unique(before[one], return_inverse=True)
-        sums = [*_class_sums(of, len(histories), one_n), *_class_sums(of, len(histories), c[one])]
+        sums = [*_class_sums(of, len(histories), one_n), *_class_sums(of, len(histories), kind_n[kind[one]])]
         for target, places in _grouped(histories % np.uint64(unigrams.buckets)):
-            rows.append(_row(1, target, "history", 0, pack(_steps(histories[places]), *[s[places] for s in sums])))
-        rows += _document_rows(unigrams, batches, ends, doc >> 1, before, r, c, train)
+            for piece in _pieces(places):
+                rows.append(_row(1, target, "history", 0, pack(_steps(histories[piece]), *[s[piece] for s in sums])))
+        del one, one_n, of, histories, sums
+        rows += _document_rows(unigrams, batches, ends, doc, before, r, kind_n, kind, train)
+        del doc, before, r, kind, train
+        _give_back()
         return _made(rows)
 
     return run
 
 
-def _document_rows(unigrams, batches, ends, doc, before, r, c, train) -> list[tuple]:
+def _document_rows(unigrams, batches, ends, doc, before, r, kind_n, kind, train) -> list[tuple]:
     """Per document: counts of its tokens by class and sums of logarithms; and the bigrams that no training document has."""
     rows = []
-    logs = np.round(np.log10(c + 1.0) * _SCALE).astype(np.int64)
+    log_of = np.round(np.log10(kind_n + 1.0) * _SCALE).astype(np.int64)
+    cost_of = np.round(-np.log10(unigrams.mass(kind_n)) * _SCALE).astype(np.int64)
     unseen = ~train & (r == 0)
-    lost = np.where(unseen, np.round(-np.log10(unigrams.mass(np.where(unseen, c, 0))) * _SCALE), 0).astype(np.int64)
-    beyond = np.where(r > MAX_DISCOUNTED, np.round(np.log10(np.maximum(r, 1)) * _SCALE), 0).astype(np.int64)
-    missed_hot = _find(before, unigrams.hot)
     for batch, a, b in zip(batches, ends - np.diff(ends, prepend=0), ends):
         docs, at = np.unique(doc[a:b], return_inverse=True)
-        n = len(docs)
-        few = [np.bincount(at[r[a:b] == x], minlength=n) for x in range(1, MAX_DISCOUNTED + 1)]
-        columns = [_exact_sums(at, x[a:b], n) for x in (logs, beyond, lost, c > 0)]
+        n, own, seen = len(docs), kind[a:b], r[a:b]
+        beyond = np.where(seen > MAX_DISCOUNTED, np.round(np.log10(np.maximum(seen, 1)) * _SCALE), 0)
+        lost = np.where(unseen[a:b], cost_of[own], 0)
+        few = [np.bincount(at[seen == x], minlength=n) for x in range(1, MAX_DISCOUNTED + 1)]
+        columns = [_exact_sums(at, x, n) for x in (log_of[own], beyond, lost, kind_n[own] > 0)]
         rows.append(_row(0, batch, "sums", batch, pack(docs, *columns, *few)))
-        hot = np.flatnonzero(unseen[a:b] & (missed_hot[a:b] >= 0)) + a
-        if len(hot):
-            rows.append(_row(0, batch, "missed", batch, pack(doc[hot], missed_hot[hot])))
-    cold = np.flatnonzero(unseen & (missed_hot < 0))
+        missed = np.flatnonzero(unseen[a:b]) + a
+        missed_hot = _find(before[missed], unigrams.hot)
+        hot = missed_hot >= 0
+        if hot.any():
+            rows.append(_row(0, batch, "missed", batch, pack(doc[missed[hot]], missed_hot[hot])))
+    cold = np.flatnonzero(unseen)
+    cold = cold[_find(before[cold], unigrams.hot) < 0]
     part = np.searchsorted(ends, cold, side="right")
     for target, places in _grouped(before[cold] % np.uint64(unigrams.buckets)):
-        own = cold[places]
-        own_order = np.argsort(before[own], kind="stable")
-        own, own_part = own[own_order], part[places][own_order]
-        used, at = np.unique(own_part, return_inverse=True)
-        ids = np.array(batches, dtype=np.int64)[used]
-        rows.append(_row(1, target, "unseen", 0, pack(_steps(before[own]), ids, at, doc[own])))
+        for piece in _pieces(places[np.argsort(before[cold[places]], kind="stable")]):
+            own = cold[piece]
+            used, at = np.unique(part[piece], return_inverse=True)
+            ids = np.array(batches, dtype=np.int64)[used]
+            rows.append(_row(1, target, "unseen", 0, pack(_steps(before[own]), ids, at, doc[own])))
     return rows
 
 
@@ -365,9 +408,12 @@ def _gather(unigrams: Unigrams) -> Callable:
         if family == 2:
             return table
         parts: dict[str, list[list[np.ndarray]]] = {}
-        for kind, blob in zip(table.column("kind").to_pylist(), table.column("blob").to_pylist()):
-            parts.setdefault(kind, []).append(unpack(blob))
-        return _made((of_histories if family else of_batch)(target, parts))
+        for kind, blob in zip(table.column("kind"), table.column("blob")):
+            parts.setdefault(kind.as_py(), []).append(unpack(blob.as_py()))
+        rows = (of_histories if family else of_batch)(target, parts)
+        del table, parts
+        _give_back()
+        return _made(rows)
 
     return run
 

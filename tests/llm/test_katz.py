@@ -1,9 +1,12 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,6 +107,26 @@ def test_packing():
         assert a.tolist() == b.tolist()
 
 
+def test_a_bucket_leaves_in_small_rows_and_batches(monkeypatch):
+    """However many tokens of a batch belong to one bucket, no row and no batch that crosses to Spark is large."""
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(katz, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    text = [" ".join(map(str, rng.integers(0, 1 << 60, 100_000))) for _ in range(12)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(12)), "text": text, "held_out": [False] * 12})
+    model = katz.Unigrams(1_200_012, 1_200_001, (1_200_000, 0, 0, 0, 0, 0), np.array([katz._START], np.uint64), np.array([0]), katz.TOKENS)
+    sent = list(katz._send(model)(iter([batch])))
+    sizes = [len(b) for part in sent for b in part.column("blob").to_pylist()]
+    assert max(sizes) < 1 << 19 and max(part.nbytes for part in sent) < 6 * 1024 * 1024
+    table = pa.Table.from_batches(sent).filter(pc.equal(pc.field("family"), 1))
+    tracemalloc.start()
+    made = katz._count(model)((pa.scalar(1), pa.scalar(0)), table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    blobs = dict(zip(made.column("kind").to_pylist(), made.column("totals").to_pylist()))
+    assert blobs["counts"][0] == 1_200_012 and peak < 280 * 1_200_012
+    assert max(map(len, made.column("blob").to_pylist())) < 1 << 20
+
+
 def test_better_than_single_tokens_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     scored = katz.katz_scores(docs, F.col("doc_id") % 5 == 0).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
