@@ -55,10 +55,10 @@ def signatures(keys: np.ndarray, weights: np.ndarray, counts: np.ndarray, sample
         return result
     first = (np.cumsum(counts) - counts)[some]
     # A term of one weight draws alike in all texts: worked out once.
-    pair = np.empty(len(keys), dtype=[("key", np.uint64), ("weight", np.float64)])
-    pair["key"], pair["weight"] = keys, weights
-    distinct, place = np.unique(pair, return_inverse=True)
-    terms, weighed = np.ascontiguousarray(distinct["key"]), np.ascontiguousarray(distinct["weight"])
+    names, name_at = np.unique(keys, return_inverse=True)
+    sizes, size_at = np.unique(weights, return_inverse=True)
+    distinct, place = np.unique(name_at * len(sizes) + size_at, return_inverse=True)
+    terms, weighed = names[distinct // len(sizes)], sizes[distinct % len(sizes)]
     for k in range(samples):
         rank, level = draws(terms, weighed, k)
         # Rank above, name of the sample below: one minimum finds both.
