@@ -30,8 +30,10 @@ _SET_SHINGLES = 1 << 17
 _SHINGLE_STEP = 1 << 18
 # Row groups of the table of shingle sets.
 _GROUP_BYTES = 8 * 1024 * 1024
-# Longs in the parity sketch of a shingle set; any number gives the same result.
+# Longs in the parity sketch of a shingle set, at least; any power of two gives the same result.
 PARITIES = 16
+# A round that leaves more than this share of the pairs is the last one; any share gives the same result.
+WORTH = 0.9
 
 
 def _shingle_hashes(words: pa.Array, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,21 +191,41 @@ def _samples(hashes: np.ndarray, counts: np.ndarray, bins: int, size: int) -> np
 
 
 def _parities(x: np.ndarray) -> np.ndarray:
-    """Whether an odd number of the distinct hashes ``x`` falls to each of 64 * ``PARITIES`` places, as longs. Two sets differ in at
-    least as many hashes as their sketches in bits."""
-    odd = np.bincount(x & (64 * PARITIES - 1), minlength=64 * PARITIES) & 1
+    """Whether an odd number of the distinct hashes ``x`` falls to each place, as longs; at least a place per hash, ``PARITIES`` times
+    64 or that doubled."""
+    places = 64 * PARITIES
+    while places < len(x):
+        places *= 2
+    odd = np.bincount(x & (places - 1), minlength=places) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _parity_difference(a: Column, b: Column) -> Column:
+    """Bits in which two parity sketches differ, the longer one folded to the places of the shorter. Their sets differ in at least as
+    many hashes."""
+    n = F.least(F.size(a), F.size(b))
+
+    def folded(x: Column) -> Column:
+        none = F.array_repeat(F.lit(0).cast("long"), n)
+        return F.aggregate(
+            F.sequence(F.lit(1), F.size(x), n), none, lambda sums, at: F.zip_with(sums, F.slice(x, at, n), lambda u, v: u.bitwiseXOR(v))
+        )
+
+    bits = F.zip_with(folded(a), folded(b), lambda u, v: F.bit_count(u.bitwiseXOR(v)))
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+
+
 def _verified(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, min_similarity: float) -> DataFrame:
     """The ``pairs`` (``a, b``) whose whole shingle sets are similar enough. Sizes and parity sketches rule out nearly all others
     before whole sets are moved."""
+    met = sized(pairs.select(F.col("a").alias("whole")).union(pairs.select("b")).distinct())
+    sketches = sketches.join(met, "whole", "left_semi")
     side = [sketches.select(*[F.col(c).alias(f"{c}_{end}") for c in sketches.columns]) for end in ("a", "b")]
-    met = pairs.join(sized(side[0]), F.col("a") == F.col("whole_a")).join(sized(side[1]), F.col("b") == F.col("whole_b"))
-    differ = sum((F.bit_count(F.col(f"p{i}_a").bitwiseXOR(F.col(f"p{i}_b"))) for i in range(PARITIES)), F.lit(0))
+    met = pairs.join(side[0], F.col("a") == F.col("whole_a")).join(side[1], F.col("b") == F.col("whole_b"))
     # At similarity s, sets of x + y hashes differ in (1 - s) / (1 + s) of x + y, and their sizes differ by no more than that.
     most = F.lit((1 - min_similarity) / (1 + min_similarity)) * (F.col("size_a") + F.col("size_b")) + 1e-6
-    close = stored(met.where((F.abs(F.col("size_a") - F.col("size_b")) <= most) & (differ <= most)).select("a", "b"), "simhash-close")
+    met = met.where((F.abs(F.col("size_a") - F.col("size_b")) <= most) & (_parity_difference(F.col("parities_a"), F.col("parities_b")) <= most))
+    close = stored(met.select("a", "b"), "simhash-close")
 
     ids = sized(close.select(F.col("a").alias("whole")).union(close.select("b")).distinct())
     sets = sets.join(ids, "whole", "left_semi")
@@ -276,6 +298,11 @@ def _apart(prefixes: DataFrame, found: DataFrame) -> DataFrame:
     return stored(named.join(groups.where("low <> high").select("shingle", "n"), "shingle"), "simhash-apart")
 
 
+def _pairs_left(apart: DataFrame) -> float:
+    """Pairs that the groups make: a group of n rows makes n ** 2 / 2; each of its rows carries n."""
+    return (apart.agg(F.sum("n")).first()[0] or 0) / 2
+
+
 def _possible(a: str, b: str, min_similarity: float) -> Column:
     """Can the sets of two prefix rows be similar, this shingle being the first that they share? A similar pair passes at the
     first shingle that it does share."""
@@ -321,12 +348,11 @@ def similar_duplicates(
     the ``sample`` least hashes make a fingerprint) tie each text to one of its group and so join most copies at little cost.
     What they miss is then looked for among the shingles of which similar sets must share one (``_prefixes``), and only where
     such a shingle's texts are in several components: while that makes more than ``few_pairs`` pairs, each text meets one
-    other text of the group per round, and when rounds join nothing more or few pairs are left, all of them are formed. All
+    other text of the group per round, and when a round spares few pairs (``WORTH``) or few are left, all of them are formed. All
     links are verified on the whole shingle sets, those first ruled out whose sketches already differ too much (``_parities``).
 
     Nulls, blanks, repeated ids and the empty table as in ``near_duplicates``, with sets in place of fingerprints.
     """
-    sketch = [f"p{i}" for i in range(PARITIES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,26 +362,24 @@ def similar_duplicates(
                 ends = np.cumsum(counts)
                 own = [np.unique(hashes[e - c : e]).view(np.int64) for e, c in zip(ends, counts)]
                 keys = np.fromiter((xxhash.xxh64_intdigest(x.tobytes(), HASH_SEED) for x in own), np.uint64, len(own))
-                parities = np.array([_parities(x) for x in own]).reshape(len(own), PARITIES)
                 lists = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("th"), pa.array(whole.view(np.int64)), pa.array(list(samples.view(np.int64)), lists),
-                     pa.array(keys.view(np.int64)), *[pa.array(x) for x in parities.T.copy()], pa.array(own, lists)],
-                    ["doc_id", "th", "fp", "samples", "whole", *sketch, "shingles"],
+                     pa.array(keys.view(np.int64)), pa.array([_parities(x) for x in own], lists), pa.array(own, lists)],
+                    ["doc_id", "th", "fp", "samples", "whole", "parities", "shingles"],
                 )
         # The worker is kept for later tasks; what it held is not.
         pa.default_memory_pool().release_unused()
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash(F.col("text")).alias("th"), "text")
-    longs = ", ".join(f"{p} long" for p in sketch)
-    made = read.mapInArrow(run, f"doc_id long, th long, fp long, samples array<long>, whole long, {longs}, shingles array<long>")
+    made = read.mapInArrow(run, "doc_id long, th long, fp long, samples array<long>, whole long, parities array<long>, shingles array<long>")
     prints = stored(made.withColumn("row", F.monotonically_increasing_id()), "simhash-prints", _GROUP_BYTES)
     classes = stored(prints.groupBy("whole").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "simhash-classes")
     of_class = prints.join(sized(classes.select("row")), "row", "left_semi").where(F.size("shingles") > 0)
     # Sets are read from the one stored copy each time.
     sets = of_class.select("whole", "shingles")
-    keyed = stored(of_class.select("whole", "fp", "samples", F.size("shingles").alias("size"), *sketch), "simhash-keys")
-    sketches = keyed.select("whole", "size", *sketch)
+    keyed = stored(of_class.select("whole", "fp", "samples", F.size("shingles").alias("size"), "parities"), "simhash-keys")
+    sketches = keyed.select("whole", "size", "parities")
 
     by_print = keyed.groupBy("fp").agg(F.min("whole").alias("first"))
     near = linked(keyed, max_bits)
@@ -372,8 +396,8 @@ def similar_duplicates(
 
     prefixes = stored(_prefixes(sets, found, min_similarity), "simhash-prefixes")
     turn, apart = 0, _apart(prefixes, found)
-    # A group of n rows makes n ** 2 / 2 pairs; each of its rows carries n.
-    while (apart.agg(F.sum("n")).first()[0] or 0) > 2 * few_pairs:
+    left, before = _pairs_left(apart), math.inf
+    while left > few_pairs and left <= WORTH * before:
         turn += 1
         more = stored(_verified(stored(_hub_pairs(apart, turn, min_similarity), "simhash-candidates"), sketches, sets, min_similarity), "simhash-links")
         if more.isEmpty():
@@ -381,6 +405,7 @@ def similar_duplicates(
         ties = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         found = stored(components(ties.unionByName(more), "a", "b"), "simhash-components")
         apart = _apart(prefixes, found)
+        left, before = _pairs_left(apart), left
     rest = stored(_all_pairs(apart, min_similarity, block), "simhash-candidates")
     more = stored(_verified(rest, sketches, sets, min_similarity), "simhash-links")
     if not more.isEmpty():

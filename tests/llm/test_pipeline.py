@@ -1,6 +1,7 @@
 """The stages over a small table, each against brute force on the stage's own input."""
 
 import random
+import time
 import tracemalloc
 import uuid
 
@@ -155,6 +156,23 @@ def test_near_stage_leaves_only_what_it_returns_from(spark, tmp_path, monkeypatc
     assert [r.doc_id for r in got.collect()] == [0]
 
 
+def test_shuffle_files_go_with_their_query(spark, tmp_path, monkeypatch):
+    """Inside ``scratch`` what a query shuffled goes as soon as its table is stored; afterwards the setting is as it was."""
+    folder_for(monkeypatch, tmp_path)
+    env = spark._jsc.sc().env()
+    files = lambda: {x for x in env.blockManager().diskBlockManager().getAllFiles().mkString(",").split(",") if "/shuffle_" in x}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name, None)
+    with common.scratch(spark):
+        assert stored(spark.range(10_000).groupBy((F.col("id") % 500).alias("k")).count(), "sums").count() == 500
+        for _ in range(50):
+            if not files() - before:
+                break
+            time.sleep(0.1)
+        assert not files() - before
+    assert spark.conf.get(name, None) == setting
+
+
 def test_prefixes_of_one_component_are_not_kept(spark, tmp_path, monkeypatch):
     """Shingles that only texts of one component share need no further comparison; those that others share do."""
     family = lambda x: [f"{x}0 " + " ".join(f"{x}{i}" for i in range(1, 60)) + f" {x}{end}" for end in ("a", "b", "c")]

@@ -1,8 +1,10 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from skyops.llm import simhash
 from skyops.llm.components import components
@@ -126,6 +128,46 @@ def test_independent_edits(spark, few_pairs, block):
     assert len(set(want.values())) < len(rows) - 100 and got == want
 
 
+def hashes(text):
+    return np.unique(np.array([xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles(text, 5)], np.uint64))
+
+
+def test_sketches_of_long_sets(spark):
+    """Sketches grow with their sets and fold to one another: they never differ in more bits than sets do in hashes, and long texts
+    that have little in common are ruled out by them alone."""
+    rng = np.random.default_rng(5)
+    pool = rng.integers(-(2**63), 2**63, 40_000, dtype=np.int64)
+    rows = []
+    for x, y, both in [(10, 12, 8), (1000, 1100, 950), (1020, 1030, 1015), (2000, 2100, 1900), (900, 9000, 850), (5000, 5200, 100), (17_000, 16_000, 9000)]:
+        x, y = pool[:x], np.concatenate((pool[:both], pool[20_000 : 20_000 + y - both]))
+        rows.append((len(np.setxor1d(x, y)), len(x) + len(y), simhash._parities(x).tolist(), simhash._parities(y).tolist()))
+    frame = spark.createDataFrame(rows, "differ int, total int, a array<long>, b array<long>")
+    got = frame.select("*", simhash._parity_difference(F.col("a"), F.col("b")).alias("bits")).collect()
+    assert all(r.bits <= r.differ for r in got) and got[0].bits >= got[0].differ - 2
+    # Sizes too far apart, the fifth pair, are ruled out by themselves.
+    assert [r.bits > r.total / 9 for r in got if r.total != 9900] == [r.differ > r.total / 9 for r in got if r.total != 9900]
+
+
+def test_rounds_that_spare_few_pairs_end(spark, monkeypatch):
+    """Rounds that join a pair of texts each but leave the groups as large as they were aren't gone through one by one."""
+    passage = " ".join(f"p{i}" for i in range(100))
+    text = lambda k, e: f"{passage} " + " ".join(f"k{k}x{i}" for i in range(80)) + f" e{e}"
+    rows = {2 * k + e: text(k, e) for k in range(8) for e in (0, 1)}
+    turns = []
+
+    def one_pair(apart, turn, min_similarity):
+        turns.append(turn)
+        keys = [xxhash.xxh64_intdigest(hashes(text((turn - 1) % 8, e)).tobytes(), 42) for e in (0, 1)]
+        ends = sorted(int(np.uint64(x).view(np.int64)) for x in keys)
+        return spark.createDataFrame([ends], "a long, b long")
+
+    monkeypatch.setattr(simhash, "_hub_pairs", one_pair)
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    found = simhash.similar_duplicates(docs, max_bits=0, bins=1, sample=64, few_pairs=0)
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: i - i % 2 for i in rows}
+    assert 1 <= len(turns) <= 2
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 1), (7, 7), (9, 8), (None, 4), (5, None), *[(100 + i, 101 + i) for i in range(60)], *[(500, 501 + i) for i in range(40)], (540, 20)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()}
