@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def local(spark: SparkSession, path: str) -> str | None:
+    """The plain path where ``path`` is in the file system of the machine (or one mounted there); None for any other store."""
+    system, folder = _folder(spark, path)
+    return system.makeQualified(folder).toUri().getPath() if system.getUri().getScheme() == "file" else None
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds, in order; none if there is no such folder."""
     system, folder = _folder(spark, path)

@@ -11,8 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from skyops.session import small_files
 from skyops.sources import files
 from skyops.sources.files import exists
 from skyops.sources.landing import source_options
@@ -88,8 +89,15 @@ def append_stream(
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    query = writer.trigger(availableNow=True).start(path)
-    query.awaitTermination()
+    return run_stream(writer, path)
+
+
+def run_stream(writer: DataStreamWriter, path: str | None = None) -> StreamingQuery:
+    """Everything that is available now, then stop. The settings hold until then: a file source reads those of the caller's
+    session, not of the stream's copy."""
+    with small_files(writer._spark):
+        query = writer.trigger(availableNow=True).start(path)
+        query.awaitTermination()
     return query
 
 

@@ -152,14 +152,8 @@ def update_flights(spark: SparkSession, layout: Layout, options: Mapping[str, st
     if not tables.exists(spark, layout.bronze("flight_status")):
         return None
     pages = tables.stream_table(spark, layout.bronze("flight_status"), BRONZE, options)
-    query = (
-        pages.writeStream.foreachBatch(process_pages(layout))
-        .option("checkpointLocation", layout.checkpoint("silver_flight_status"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    writer = pages.writeStream.foreachBatch(process_pages(layout)).option("checkpointLocation", layout.checkpoint("silver_flight_status"))
+    return tables.run_stream(writer)
 
 
 def scd2_stream(
@@ -174,11 +168,4 @@ def scd2_stream(
         finally:
             batch.unpersist()
 
-    query = (
-        changes.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    return tables.run_stream(changes.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint))
