@@ -65,3 +65,12 @@ def test_settings_hold_inside_only(spark):
     except ValueError:
         pass
     assert spark.conf.get(LISTING) == before
+
+
+def test_what_was_listed_is_not_kept_in_the_driver(spark, tmp_path):
+    landing.write_landing(odd_pages(spark), str(tmp_path), landing.FLIGHT_FOLDER)
+    size = "spark.sql.hive.filesourcePartitionFileCacheSize"
+    with small_files(spark):
+        assert spark.conf.get(size) == "0"
+    assert int(spark.conf.get(size)) > 0
+    assert len(read(spark, f"{tmp_path}/flight_status")) == 12
